@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = {
     "op1_bpe": "bpe",
     "op2_token_counts": "token_counts",
+    "op3_toxicity": "toxicity",
+    "op7_warc": "warc",
+    "op10_exact_dedup": "exact_dedup",
 }
 
 
