@@ -12,6 +12,7 @@ MODULES = {
     "op1_bpe": "bpe",
     "op2_token_counts": "token_counts",
     "op3_toxicity": "toxicity",
+    "op5_packing": "packing",
     "op7_warc": "warc",
     "op10_exact_dedup": "exact_dedup",
 }
