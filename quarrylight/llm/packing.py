@@ -32,10 +32,15 @@ CAPACITY = 2048
 GROUP_PIECES = 50_000
 
 
+_ENDS = (",", ".")
+
+
 class WordIds:
     """Ids of whole texts by a tokenizers file whose pre-tokens never hold white space.
 
     Words are encoded once as long as they stay in the caches; the ids of a text are those of its words, joined.
+    Texts are lower-cased first, as the file's normaliser does character by character, except where a capital sigma (whose
+    lower case Python takes from its place in the word) or the look of a special string forbids it.
     """
 
     def __init__(self, path: str, cache: int = 300_000):
@@ -56,15 +61,12 @@ class WordIds:
             self._old, self._young = self._young, {}
         if len(self._cut) > self.cache:
             self._cut.clear()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [(t.lower() if "\u03a3" not in t and "<|" not in t else t).replace("\n", " ").split(" ") for t in texts]
         known, young, old = self._cut, self._young, self._old
         new = [w for w in set().union(*split) if w not in known]
-        parts = []
-        for w in new:
-            # a comma or full stop after a letter is a pre-token of its own; ASCII words are lower-cased anyway
-            base, end = (w[:-1], w[-1]) if w[-1:] in (",", ".") and w[-2:-1].lower()[-1:].isalpha() else (w, "")
-            parts.append((w, base.lower() if base.isascii() else base, end))
-        wanted = {b for _, b, _ in parts} | {e for _, _, e in parts}
+        # a comma or full stop after a letter is a pre-token of its own
+        bases = [w[:-1] if w[-1:] in _ENDS and w[-2:-1].lower()[-1:].isalpha() else w for w in new]
+        wanted = {*bases, *_ENDS}
         unseen = []
         for b in wanted:
             if b not in young:
@@ -74,7 +76,8 @@ class WordIds:
                     unseen.append(b)
         if unseen:
             self._encode(unseen)
-        known.update((w, young[b] + young[e]) for w, b, e in parts)
+        ends = {n: young[e] for n, e in enumerate(_ENDS)}
+        known.update([(w, young[b] if len(w) == len(b) else young[b] + ends[w[-1] == "."]) for w, b in zip(new, bases)])
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
