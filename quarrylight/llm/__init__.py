@@ -14,6 +14,7 @@ MODULES = {
     "op3_toxicity": "toxicity",
     "op5_packing": "packing",
     "op7_warc": "warc",
+    "op8_minhash": "minhash",
     "op10_exact_dedup": "exact_dedup",
 }
 
