@@ -13,6 +13,7 @@ MODULES = {
     "op2_token_counts": "token_counts",
     "op3_toxicity": "toxicity",
     "op5_packing": "packing",
+    "op6_vector_links": "vector_links",
     "op7_warc": "warc",
     "op8_minhash": "minhash",
     "op10_exact_dedup": "exact_dedup",
