@@ -12,6 +12,7 @@ MODULES = {
     "op1_bpe": "bpe",
     "op2_token_counts": "token_counts",
     "op3_toxicity": "toxicity",
+    "op4_pii": "pii",
     "op5_packing": "packing",
     "op6_vector_links": "vector_links",
     "op7_warc": "warc",
