@@ -17,6 +17,7 @@ MODULES = {
     "op6_vector_links": "vector_links",
     "op7_warc": "warc",
     "op8_minhash": "minhash",
+    "op9_extraction": "extraction",
     "op10_exact_dedup": "exact_dedup",
 }
 
