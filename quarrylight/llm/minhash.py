@@ -8,7 +8,10 @@ is confirmed on the full sets of 64-bit shingle hashes.
 A bucket's pairs are never listed. First its members are compared with one pivot each round, a number of pairs linear
 in the members; the links found join most of a group of near copies into one component. Only buckets that still hold
 several components go on, and there only pairs between different components count: members outside the bucket's
-largest component are compared with all members in blocks, inside tasks, and only survivors leave the task. Links
+largest component are compared with all members in blocks, inside tasks, each pair in the first band it shares. Of the
+pairs that survive, a task returns the few best for each member, and which members had any; once those are confirmed
+and joined, members that had survivors in buckets that are still divided are compared again, this time with their full
+sets in the task, which confirms all surviving pairs between components and returns the links that join them. Links
 inside a component can't change the result, so what is left out is exactly what needs no look.
 
 Defined cases: texts that are null, empty or blank have no shingles and are linked with nothing (kept, each on its
@@ -47,6 +50,7 @@ class Rule:
     miss: float = 1e-6
     stars: int = 2
     block: int = 1024
+    best: int = 4
 
     @property
     def bands(self) -> int:
@@ -169,14 +173,17 @@ def prune(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     return sized.select("a", "b", "sa", "sb").mapInArrow(run, "a string, b string")
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
-    """Of pairs (a, b) of classes, those whose full sets are linked.
+def _linked(a: np.ndarray, b: np.ndarray, rule: Rule) -> bool:
+    both = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
+    return 100 * both >= rule.percent * (len(a) + len(b) - both)
+
 
-    Sets are made once from one document of each class concerned; a document whose set isn't the class's is passed over
-    (rows may share an id).
+def full_sets(fps: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
+    """(fp, s): the full sets of the classes in fps.
+
+    Made once from one document of each class; a document whose set isn't the class's is passed over (rows may share an id).
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(classes.select("fp", "rep"), "fp")
-    wanted = small(materialize(wanted, "wanted"))
+    wanted = small(materialize(fps.distinct().join(classes.select("fp", "rep"), "fp"), "wanted"))
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("t")).join(wanted, F.col("id").eqNullSafe(F.col("rep"))).select("fp", "t")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,18 +195,18 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule, i
                     out.append((fp, raw))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.string(), pa.binary()))], names=["fp", "s"])
 
-    sets = materialize(texts.mapInArrow(make, "fp string, s binary"), "sets")
+    return materialize(texts.mapInArrow(make, "fp string, s binary"), "sets")
+
+
+def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
+    """Of pairs (a, b) of classes, those whose full sets are linked."""
+    sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("fp")), classes, docs, rule, id_col, text_col)
     side = lambda x: sets.select(F.col("fp").alias(x), F.col("s").alias(f"s{x}"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in text_batches(batches, 500):
-            linked = []
-            for k, (a, b) in enumerate(zip(x.column(2).to_pylist(), x.column(3).to_pylist())):
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = len(a) + len(b) - len(np.union1d(a, b))
-                if 100 * both >= rule.percent * (len(a) + len(b) - both):
-                    linked.append(k)
-            at = pa.array(linked, pa.int64())
+            sides = zip(x.column(2).to_pylist(), x.column(3).to_pylist())
+            at = pa.array([k for k, (a, b) in enumerate(sides) if _linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), rule)], pa.int64())
             yield pa.RecordBatch.from_arrays([x.column(0).take(at), x.column(1).take(at)], names=["a", "b"])
 
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(check, "a string, b string")
@@ -217,13 +224,30 @@ def _blocks(members: DataFrame, rule: Rule) -> DataFrame:
     cut = lambda c: F.greatest(F.lit(1), F.ceil(c / rule.block)).cast("int")
     sided = sided.withColumn("nu", cut(F.col("m") - F.col("top.c"))).withColumn("nv", cut(F.col("m")))
     spread = lambda c: F.pmod(F.xxhash64("fp", "key"), c).cast("int")
-    us = sided.where("outside").select("key", "fp", "comp", "n", "sig", F.lit(True).alias("u"), spread(F.col("nu")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("j"))
-    vs = sided.select("key", "fp", "comp", "n", "sig", F.lit(False).alias("u"), F.explode(F.sequence(F.lit(0), F.col("nu") - 1)).alias("i"), spread(F.col("nv")).alias("j"))
+    carried = [c for c in members.columns if c not in ("key", "fp", "comp", "n")]
+    us = sided.where("outside").select("key", "fp", "comp", "n", *carried, F.lit(True).alias("u"), spread(F.col("nu")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("j"))
+    vs = sided.select("key", "fp", "comp", "n", *carried, F.lit(False).alias("u"), F.explode(F.sequence(F.lit(0), F.col("nu") - 1)).alias("i"), spread(F.col("nv")).alias("j"))
     return us.unionByName(vs)
 
 
-def _across(rule: Rule):
-    """Compares the two sides of each block pair. Rows come sorted by (key, i, j); a block pair may span batches."""
+class _Joined:
+    """Union-find over row numbers."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
+
+
+def _across(rule: Rule, exact: bool):
+    """Compares the two sides of each block pair. Rows come sorted by (key, i, j); a block pair may span batches.
+
+    Rows out are (key, a, b). Not exact: the best surviving pairs of each member outside, and (key, a, null) for each
+    member that has any. Exact, with sets in the rows: confirmed links between components, as many as join them.
+    """
     plan, step = least_matches(rule), 50_000
 
     def compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -231,13 +255,45 @@ def _across(rule: Rule):
         outside, n = rows.column("u").to_numpy(zero_copy_only=False), rows.column("n").to_numpy()
         comp = rows.column("comp").combine_chunks().dictionary_encode().indices.to_numpy()
         sig, fp = _matrix(rows.column("sig"), rule), rows.column("fp").combine_chunks()
+        keys = band_keys(sig, rule)
+        sets = rows.column("s") if exact else None
         ends = np.r_[np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1, len(key)]
         left, right, waiting = [], [], 0
 
-        def flush() -> pa.RecordBatch:
+        def batch(a: np.ndarray, b: np.ndarray | None, at: np.ndarray) -> pa.RecordBatch:
+            other = pa.nulls(len(a), pa.string()) if b is None else fp.take(pa.array(b))
+            return pa.RecordBatch.from_arrays([pa.array(key[at]), fp.take(pa.array(a)), other], names=["key", "a", "b"])
+
+        def flush() -> Iterator[pa.RecordBatch]:
             a, b = np.concatenate(left), np.concatenate(right)
+            shared = keys[a] == keys[b]  # the pair belongs to the first band that it shares
+            mine = keys[a, shared.argmax(1)] == key[a]
+            a, b = a[mine], b[mine]
             kept = survivors(sig[a], sig[b], rule, plan)
-            return pa.RecordBatch.from_arrays([fp.take(pa.array(a[kept])), fp.take(pa.array(b[kept]))], names=["a", "b"])
+            a, b = a[kept], b[kept]
+            order = np.lexsort((-(sig[a] == sig[b]).sum(1), a)) if len(a) else np.zeros(0, int)
+            a, b = a[order], b[order]
+            if not exact:
+                some = np.unique(np.r_[a, b])
+                yield batch(some, None, some)
+                nth = np.arange(len(a)) - np.maximum.accumulate(np.where(np.r_[True, a[1:] != a[:-1]], np.arange(len(a)), 0)) if len(a) else order
+                few = nth < rule.best
+                yield batch(a[few], b[few], a[few])
+                return
+            joined, made, known = _Joined(), [], {}
+            for x, y in zip(a.tolist(), b.tolist()):
+                p, q = joined.root(int(comp[x])), joined.root(int(comp[y]))
+                if p == q:
+                    continue
+                for r in (x, y):
+                    if r not in known:
+                        known[r] = np.frombuffer(sets[r].as_py(), np.uint64)
+                if _linked(known[x], known[y], rule):
+                    joined.up[p] = q
+                    made.append((x, y))
+            if made:
+                x, y = np.array(made).T
+                yield batch(x, y, x)
 
         for start, end in zip(np.r_[0, ends[:-1]], ends):
             us, vs = (start + np.flatnonzero(outside[start:end] == x) for x in (True, False))
@@ -249,10 +305,10 @@ def _across(rule: Rule):
                 right.append(b[keep])
                 waiting += int(keep.sum())
                 if waiting >= step:
-                    yield flush()
+                    yield from flush()
                     left, right, waiting = [], [], 0
         if waiting:
-            yield flush()
+            yield from flush()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = None
@@ -272,6 +328,11 @@ def _across(rule: Rule):
     return run
 
 
+def _compared(members: DataFrame, rule: Rule, exact: bool, name: str) -> DataFrame:
+    blocks = _blocks(members, rule).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return materialize(blocks.mapInArrow(_across(rule, exact), "key long, a string, b string"), name)
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
@@ -306,12 +367,18 @@ def links(docs: DataFrame, sketch: DataFrame, rule: Rule, id_col: str, text_col:
         open_ = materialize(_with_components(members, comps), "open")
         if open_.isEmpty():
             return classes, comps
-    signed = open_.join(classes.select("fp", "n", "sig"), "fp")
-    blocks = _blocks(signed, rule).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    rest = _ordered(blocks.mapInArrow(_across(rule), "a string, b string"))
-    rest = materialize(rest, "rest")
-    found.append(materialize(confirm(rest, classes, docs, rule, id_col, text_col), "confirmed"))
-    return classes, components(_union(found))
+    light = classes.select("fp", "n", "sig")
+    near = _compared(open_.join(light, "fp"), rule, False, "near")
+    best = materialize(_ordered(near.where("b is not null")), "best")
+    found.append(materialize(confirm(best, classes, docs, rule, id_col, text_col), "confirmed"))
+    comps = components(_union(found))
+    flagged = near.where("b is null").select("key", F.col("a").alias("fp")).distinct()
+    open_ = materialize(_with_components(flagged, comps), "open")
+    if not open_.isEmpty():
+        sets = full_sets(open_.select("fp"), classes, docs, rule, id_col, text_col)
+        found.append(_compared(open_.join(light, "fp").join(sets.dropDuplicates(["fp"]), "fp"), rule, True, "rest").select("a", "b"))
+        comps = components(_union(found))
+    return classes, comps
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
