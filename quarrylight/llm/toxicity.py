@@ -224,15 +224,15 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, sample_ch
     return fit([r.text for r in rows], [r.toxic for r in rows], shape)
 
 
-def score(docs: DataFrame, model: SubwordModel | None, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(id, *keep, score, predicted) for every row. Narrow: one pass over the scan; the broadcast model has a fixed size."""
+def score(docs: DataFrame, model: SubwordModel | None, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, score_col: str = "score", flag_col: str = "predicted") -> DataFrame:
+    """(id or the columns in keep, score, predicted) for every row. Narrow: one pass over the scan; the broadcast model has a fixed size."""
     columns = [id_col] if keep is None else keep
     field = {f.name: f for f in docs.schema.fields}
     schema = ", ".join(f"`{c}` {field[c].dataType.simpleString()}" for c in columns)
     names = [f"c{k}" for k in range(len(columns))]
     narrow = docs.select(*[F.col(c).alias(n) for c, n in zip(columns, names)], text_or_empty(text_col).alias("__t"))
     if model is None:
-        out = narrow.select(*[F.col(n).alias(c) for n, c in zip(names, columns)], F.lit(0.0).alias("score"))
+        out = narrow.select(*[F.col(n).alias(c) for n, c in zip(names, columns)], F.lit(0.0).alias(score_col))
     else:
         of_gram, bias = model.margins()
         shared = docs.sparkSession.sparkContext.broadcast((of_gram, bias, model.shape))
@@ -241,10 +241,16 @@ def score(docs: DataFrame, model: SubwordModel | None, threshold: float = 0.3, i
             scorer = Scorer(*shared.value)
             for b in text_batches(batches, 1000):
                 out = pa.array(scorer.scores(b.column(len(columns)).to_pylist()), pa.float64())
-                yield pa.RecordBatch.from_arrays([*b.columns[: len(columns)], out], names=[*columns, "score"])
+                yield pa.RecordBatch.from_arrays([*b.columns[: len(columns)], out], names=[*columns, score_col])
 
-        out = narrow.mapInArrow(run, f"{schema}, score double")
-    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+        out = narrow.mapInArrow(run, f"{schema}, `{score_col}` double")
+    return out.withColumn(flag_col, (F.col(score_col) >= threshold).cast("int"))
+
+
+def reject(docs: DataFrame, model: SubwordModel | None, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that score under the threshold, with all their columns."""
+    scored = score(docs, model, threshold, id_col, text_col, keep=docs.columns, score_col="__score", flag_col="__toxic")
+    return scored.where("__toxic = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
