@@ -13,6 +13,7 @@ they occur; an empty table gives an empty result; input columns besides the two
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -32,53 +33,50 @@ CAPACITY = 2048
 GROUP_PIECES = 50_000
 
 
-_ENDS = (",", ".")
+#: A comma or full stop after a letter or digit is a pre-token of its own; after anything else it may be part of one.
+_JOINED = re.compile(r"[^\w\s][,.] |_[,.] ")
 
 
 class WordIds:
     """Ids of whole texts by a tokenizers file whose pre-tokens never hold white space.
 
-    Words are encoded once as long as they stay in the caches; the ids of a text are those of its words, joined.
-    Texts are lower-cased first, as the file's normaliser does character by character, except where a capital sigma (whose
+    Words are encoded once as long as they stay in the cache; the ids of a text are those of its words, joined. Texts
+    are lower-cased first, as the file's normaliser does character by character, except where a capital sigma (whose
     lower case Python takes from its place in the word) or the look of a special string forbids it.
     """
 
-    def __init__(self, path: str, cache: int = 300_000):
+    def __init__(self, path: str, cache: int = 350_000):
         import tokenizers
 
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.cache = cache
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
-        self._cut: dict[str, bytes] = {}
 
-    def _encode(self, words: list[str]) -> None:
-        out = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        self._young.update((w, struct.pack(f"<{len(e.ids)}I", *e.ids)) for w, e in zip(words, out))
+    def _words(self, text: str) -> list[str]:
+        if "\u03a3" not in text and "<|" not in text:
+            text = text.lower()
+        text = text.replace("\n", " ")
+        if not _JOINED.search(text):
+            text = text.replace(", ", " , ").replace(". ", " . ")
+        return text.split(" ")
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        if len(self._young) > self.cache:
+        if len(self._young) > self.cache:  # what is asked for again comes back from the older generation
             self._old, self._young = self._young, {}
-        if len(self._cut) > self.cache:
-            self._cut.clear()
-        split = [(t.lower() if "\u03a3" not in t and "<|" not in t else t).replace("\n", " ").split(" ") for t in texts]
-        known, young, old = self._cut, self._young, self._old
-        new = [w for w in set().union(*split) if w not in known]
-        # a comma or full stop after a letter is a pre-token of its own
-        bases = [w[:-1] if w[-1:] in _ENDS and w[-2:-1].lower()[-1:].isalpha() else w for w in new]
-        wanted = {*bases, *_ENDS}
+        young, old = self._young, self._old
+        split = list(map(self._words, texts))
         unseen = []
-        for b in wanted:
-            if b not in young:
-                if b in old:
-                    young[b] = old[b]
+        for w in set().union(*split):
+            if w not in young:
+                if w in old:
+                    young[w] = old[w]
                 else:
-                    unseen.append(b)
+                    unseen.append(w)
         if unseen:
-            self._encode(unseen)
-        ends = {n: young[e] for n, e in enumerate(_ENDS)}
-        known.update([(w, young[b] if len(w) == len(b) else young[b] + ends[w[-1] == "."]) for w, b in zip(new, bases)])
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+            out = self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)
+            young.update([(w, struct.pack(f"<{len(ids)}I", *ids)) for w, ids in zip(unseen, [e.ids for e in out])])
+        return [b"".join(map(young.__getitem__, words)) for words in split]
 
 
 @lru_cache(maxsize=2)
