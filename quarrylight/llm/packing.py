@@ -34,7 +34,7 @@ GROUP_PIECES = 50_000
 
 
 #: A comma or full stop after a letter or digit is a pre-token of its own; after anything else it may be part of one.
-_JOINED = re.compile(r"[^\w\s][,.] |_[,.] ")
+_JOINED = re.compile(r"[,.] (?<=[^\w ]..|_..)")
 
 
 class WordIds:
@@ -54,9 +54,9 @@ class WordIds:
         self._old: dict[str, bytes] = {}
 
     def _words(self, text: str) -> list[str]:
-        if "\u03a3" not in text and "<|" not in text:
-            text = text.lower()
-        text = text.replace("\n", " ")
+        if "\u03a3" in text or "<|" in text:
+            return text.split(" ")
+        text = text.lower().replace("\n", " ")
         if not _JOINED.search(text):
             text = text.replace(", ", " , ").replace(". ", " . ")
         return text.split(" ")
