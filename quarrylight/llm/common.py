@@ -48,9 +48,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def modest_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Documents are long: smaller Arrow batches bound what a Python worker and its JVM hold at once. Keeps a smaller setting."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: writes df as Parquet in the shared folder and reads it back, so lost executors cost no recomputation."""
     spark = df.sparkSession
+    modest_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -65,6 +73,7 @@ def drop_table(df: DataFrame) -> None:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    modest_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -31,20 +31,24 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
+def _sums(links: DataFrame) -> tuple:
+    """Number and hash sum of links: equal sums mean that a round has changed nothing."""
+    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(a, b) links, b smaller than a or not, to (a, b) with b the smallest vertex that a reaches; such b aren't listed as a.
 
     Links of a vertex to itself and rows with a null count for nothing.
     """
-    now = materialize(links.select("a", "b").where("a <> b").distinct(), "links")
-    if now.isEmpty():
-        return now
-    state = None
-    while True:
+    now = materialize(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    state = _sums(now)
+    while state[0]:
         after = materialize(_small_star(_large_star(now)), "links")
-        sums = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        sums = _sums(after)
         drop_table(now)
         now = after
         if sums == state:
             return now
         state = sums
+    return now

@@ -48,7 +48,7 @@ class Rule:
     rows: int = 5
     batch: int = 20
     miss: float = 1e-6
-    stars: int = 2
+    stars: int = 1
     block: int = 1024
     best: int = 4
 
@@ -266,11 +266,11 @@ def _across(rule: Rule, exact: bool):
 
         def flush() -> Iterator[pa.RecordBatch]:
             a, b = np.concatenate(left), np.concatenate(right)
+            kept = survivors(sig[a], sig[b], rule, plan)
+            a, b = a[kept], b[kept]
             shared = keys[a] == keys[b]  # the pair belongs to the first band that it shares
             mine = keys[a, shared.argmax(1)] == key[a]
             a, b = a[mine], b[mine]
-            kept = survivors(sig[a], sig[b], rule, plan)
-            a, b = a[kept], b[kept]
             order = np.lexsort((-(sig[a] == sig[b]).sum(1), a)) if len(a) else np.zeros(0, int)
             a, b = a[order], b[order]
             if not exact:
@@ -351,7 +351,7 @@ def links(docs: DataFrame, sketch: DataFrame, rule: Rule, id_col: str, text_col:
     banded = classes.select("fp", F.explode("keys").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     members = materialize(banded.join(shared, "key"), "members")
-    found, comps, open_ = [], None, members.withColumn("comp", F.col("fp"))
+    comps, open_ = None, members.withColumn("comp", F.col("fp"))
     for k in range(rule.stars):
         least = F.min_by("fp", F.xxhash64("fp", F.lit(k))).alias("pivot")
         pool = open_
@@ -362,30 +362,28 @@ def links(docs: DataFrame, sketch: DataFrame, rule: Rule, id_col: str, text_col:
         pivots = pool.groupBy("key").agg(least)
         pairs = _ordered(open_.join(pivots, "key").select(F.col("fp").alias("a"), F.col("pivot").alias("b")))
         kept = materialize(prune(pairs, classes, rule), "survivors")
-        found.append(materialize(confirm(kept, classes, docs, rule, id_col, text_col), "confirmed"))
-        comps = components(_union(found))
+        comps = _joined_by(comps, confirm(kept, classes, docs, rule, id_col, text_col))
         open_ = materialize(_with_components(members, comps), "open")
         if open_.isEmpty():
             return classes, comps
     light = classes.select("fp", "n", "sig")
     near = _compared(open_.join(light, "fp"), rule, False, "near")
     best = materialize(_ordered(near.where("b is not null")), "best")
-    found.append(materialize(confirm(best, classes, docs, rule, id_col, text_col), "confirmed"))
-    comps = components(_union(found))
+    comps = _joined_by(comps, confirm(best, classes, docs, rule, id_col, text_col))
     flagged = near.where("b is null").select("key", F.col("a").alias("fp")).distinct()
     open_ = materialize(_with_components(flagged, comps), "open")
     if not open_.isEmpty():
         sets = full_sets(open_.select("fp"), classes, docs, rule, id_col, text_col)
-        found.append(_compared(open_.join(light, "fp").join(sets.dropDuplicates(["fp"]), "fp"), rule, True, "rest").select("a", "b"))
-        comps = components(_union(found))
+        comps = _joined_by(comps, _compared(open_.join(light, "fp").join(sets.dropDuplicates(["fp"]), "fp"), rule, True, "rest").select("a", "b"))
     return classes, comps
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _joined_by(comps: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components after more links."""
+    links = materialize(links, "confirmed")
+    if comps is None:
+        return components(links)
+    return comps if links.isEmpty() else components(comps.unionByName(links))
 
 
 def groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -163,7 +163,7 @@ def fit(texts: list[str], toxic: list[int], shape: Shape = Shape()) -> SubwordMo
 class Scorer:
     """Scores whole texts; keeps the margins of recent words, at most ``cache`` in each of two generations."""
 
-    def __init__(self, of_gram: np.ndarray, bias: float, shape: Shape, cache: int = 250_000):
+    def __init__(self, of_gram: np.ndarray, bias: float, shape: Shape, cache: int = 150_000):
         self.of_gram, self.bias, self.shape, self.cache = of_gram.astype(np.float64), bias, shape, cache
         self._young: dict[str, float] = {}
         self._old: dict[str, float] = {}

@@ -302,7 +302,7 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("rule", [minhash.Rule(), minhash.FIVE_WORDS, minhash.Rule(stars=1, block=4), minhash.Rule(stars=1, block=4, best=1)])
+@pytest.mark.parametrize("rule", [minhash.Rule(), minhash.FIVE_WORDS, minhash.Rule(stars=2, block=4), minhash.Rule(stars=1, block=4, best=1)])
 def test_near_duplicates_match_brute_force(spark, rule):
     rows = near_rows()
     got = minhash.groups(table(spark, rows), rule).collect()
