@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import search
+from . import corpus, runs, search
 
-MODULES = [search]
+MODULES = [search, corpus, runs]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -22,7 +22,7 @@ def reduced(events: DataFrame) -> DataFrame:
     """Per run: last phase and value by event order, first time, whether the run has ended (its last phase is a purchase)."""
     order = F.struct("ts", "event_id")
     agg = events.groupBy("user_id").agg(F.max_by("event_type", order).alias("last_phase"), F.max_by("value", order).alias("last_value"), F.min("ts").alias("began"), F.max("ts").alias("ended"), F.countDistinct("event_type").alias("phases"))
-    return agg.withColumn("seconds", (F.col("ended").cast("double") - F.col("began").cast("double")).cast("long")).drop("ended", "began")
+    return agg.withColumn("seconds", F.floor((F.unix_micros(F.col("ended").cast("timestamp")) - F.unix_micros(F.col("began").cast("timestamp"))) / 1000000)).drop("ended", "began")
 
 
 def windowed(events: DataFrame, length: str = "1 hour", late: str = "10 minutes") -> DataFrame:

@@ -24,8 +24,9 @@ def drain(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
-def step_states(events: DataFrame, timeout_ms: int = 180_000) -> DataFrame:
-    """(run, steps, last_phase, status): each run's state after each micro-batch; runs without news are interrupted.
+def step_states(events: DataFrame, timeout_ms: int | None = 180_000) -> DataFrame:
+    """(run, steps, last_phase, status): each run's state after each micro-batch; runs without news for timeout_ms are interrupted
+    (None: never, for streams that end).
 
     Rows of a batch that arrive again (same event id or older) change nothing.
     """
@@ -41,7 +42,8 @@ def step_states(events: DataFrame, timeout_ms: int = 180_000) -> DataFrame:
             if len(rows):
                 steps, last_id, phase = steps + len(rows), int(rows["event_id"].iloc[-1]), str(rows["event_type"].iloc[-1])
         state.update((steps, last_id, phase))
-        state.setTimeoutDuration(timeout_ms)
+        if timeout_ms:
+            state.setTimeoutDuration(timeout_ms)
         yield pd.DataFrame({"user_id": [key[0]], "steps": [steps], "last_phase": [phase], "status": ["running"]})
 
-    return events.groupBy("user_id").applyInPandasWithState(update, "user_id long, steps long, last_phase string, status string", "steps long, last_id long, phase string", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return events.groupBy("user_id").applyInPandasWithState(update, "user_id long, steps long, last_phase string, status string", "steps long, last_id long, phase string", "append", GroupStateTimeout.ProcessingTimeTimeout if timeout_ms else GroupStateTimeout.NoTimeout)
