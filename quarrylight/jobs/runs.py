@@ -52,7 +52,9 @@ def stream_steps(spark: SparkSession, sf: str) -> DataFrame:
 def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Windows over the events as a stream with a watermark; those that the watermark has closed are out."""
     base = _folder(spark, "windows")
-    return streams.drain(events.windowed(streams.read(spark, f"{sf}/events.parquet")), f"{base}/out", f"{base}/state")
+    timed = streams.read(spark, f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = streams.drain(events.windowed(timed), f"{base}/out", f"{base}/state")
+    return out.withColumn("begin", F.col("begin").cast("timestamp_ntz"))
 
 
 def conversation_history(spark: SparkSession, sf: str) -> DataFrame:
