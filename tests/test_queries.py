@@ -2,6 +2,7 @@
 
 import collections
 
+import pandas as pd
 import pytest
 
 from quarrylight.jobs import registry
@@ -9,7 +10,7 @@ from quarrylight.jobs import registry
 
 def rows(df):
     names = sorted(df.columns)
-    plain = lambda v: None if v is None or v != v else int(v) if isinstance(v, float) and v == int(v) else v
+    plain = lambda v: None if pd.isna(v) else int(v) if isinstance(v, float) and v == int(v) else v
     return names, collections.Counter(tuple(map(plain, r)) for r in df[names].astype(object).values.tolist())
 
 
