@@ -163,7 +163,7 @@ def fit(texts: list[str], toxic: list[int], shape: Shape = Shape()) -> SubwordMo
 class Scorer:
     """Scores whole texts; keeps the margins of recent words, at most ``cache`` in each of two generations."""
 
-    def __init__(self, of_gram: np.ndarray, bias: float, shape: Shape, cache: int = 150_000):
+    def __init__(self, of_gram: np.ndarray, bias: float, shape: Shape, cache: int = 60_000):
         self.of_gram, self.bias, self.shape, self.cache = of_gram.astype(np.float64), bias, shape, cache
         self._young: dict[str, float] = {}
         self._old: dict[str, float] = {}
@@ -239,7 +239,7 @@ def score(docs: DataFrame, model: SubwordModel | None, threshold: float = 0.3, i
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             scorer = Scorer(*shared.value)
-            for b in text_batches(batches, 1000):
+            for b in text_batches(batches, 500):
                 out = pa.array(scorer.scores(b.column(len(columns)).to_pylist()), pa.float64())
                 yield pa.RecordBatch.from_arrays([*b.columns[: len(columns)], out], names=[*columns, score_col])
 
