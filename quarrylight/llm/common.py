@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,3 +107,4 @@ def text_batches(batches: Iterable, rows: int = 2000) -> Iterator:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()  # workers are used again; what Arrow holds back would add up

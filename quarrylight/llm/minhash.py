@@ -248,7 +248,7 @@ def _across(rule: Rule, exact: bool):
     Rows out are (key, a, b). Not exact: the best surviving pairs of each member outside, and (key, a, null) for each
     member that has any. Exact, with sets in the rows: confirmed links between components, as many as join them.
     """
-    plan, step = least_matches(rule), 50_000
+    plan, step = least_matches(rule), 20_000
 
     def compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         key, i, j = (rows.column(c).to_numpy() for c in ("key", "i", "j"))

@@ -45,7 +45,7 @@ class WordIds:
     lower case Python takes from its place in the word) or the look of a special string forbids it.
     """
 
-    def __init__(self, path: str, cache: int = 350_000):
+    def __init__(self, path: str, cache: int = 250_000):
         import tokenizers
 
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
@@ -97,7 +97,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, uid, mark = word_ids(path), TaskContext.get().partitionId() << 40, np.array([end_id], "<u4").tobytes()
-        for b in text_batches(batches, 1000):
+        for b in text_batches(batches, 500):
             rows, uids, numbers, starts, lengths, sums, ids = [], [], [], [], [], [], []
             for k, encoded in enumerate(words.encode_many(b.column(1).to_pylist())):
                 encoded += mark
