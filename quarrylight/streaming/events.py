@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -28,7 +29,7 @@ def step_states(events: DataFrame, timeout_ms: int | None = 180_000) -> DataFram
     """(run, steps, last_phase, status): each run's state after each micro-batch; runs without news for timeout_ms are interrupted
     (None: never, for streams that end).
 
-    Rows of a batch that arrive again (same event id or older) change nothing.
+    Rows that arrive again (an event id of an earlier batch or older, or one twice in a batch) change nothing.
     """
 
     def update(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -37,10 +38,15 @@ def step_states(events: DataFrame, timeout_ms: int | None = 180_000) -> DataFram
             state.remove()
             yield pd.DataFrame({"user_id": [key[0]], "steps": [steps], "last_phase": [phase], "status": ["interrupted"]})
             return
-        for rows in frames:
-            rows = rows[rows["event_id"] > last_id].drop_duplicates("event_id").sort_values("event_id")
+        known, new = last_id, [np.empty(0, np.int64)]
+        for rows in frames:  # a large group comes in several frames, in no order
+            rows = rows[rows["event_id"] > known]
             if len(rows):
-                steps, last_id, phase = steps + len(rows), int(rows["event_id"].iloc[-1]), str(rows["event_type"].iloc[-1])
+                new.append(rows["event_id"].to_numpy())
+                top = rows["event_id"].idxmax()
+                if rows["event_id"][top] > last_id:
+                    last_id, phase = int(rows["event_id"][top]), str(rows["event_type"][top])
+        steps += len(np.unique(np.concatenate(new)))
         state.update((steps, last_id, phase))
         if timeout_ms:
             state.setTimeoutDuration(timeout_ms)
