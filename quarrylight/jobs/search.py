@@ -1,18 +1,19 @@
 """Search queries: lexical, dense and fused rankings of benchmark passages against documents and of vectors against vectors.
 
-A passage's first TERMS tokens are its query; every passage is a query, every document and vector is searched. Where
+All tokens of a passage are its query; every passage is a query, every document and vector is searched. Where
 dense and lexical rankings meet, a passage takes the vector with its number as its own and a vector stands for the
 document with its number: the tables share no other key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrylight.functions.text import bounded_lines, blank_tokens, line_windows, word_tokens
 from quarrylight.operators import dense, evaluation, fusion, lexical
 
+#: Only in the SQL below, which asks for a passage's first tokens; the queries ask for all.
 TERMS = 12
 K = 6
 
@@ -26,8 +27,7 @@ def _tokens(docs: DataFrame, tokens=word_tokens) -> DataFrame:
 
 
 def _asked(spark: SparkSession, sf: str, tokens=word_tokens) -> DataFrame:
-    first: Column = F.slice(tokens(F.col("text")), 1, TERMS)
-    return lexical.query_terms(_t(spark, sf, "benchmark"), first)
+    return lexical.query_terms(_t(spark, sf, "benchmark"), tokens(F.col("text")))
 
 
 def _scored(spark: SparkSession, sf: str, plus: bool, docs: DataFrame | None = None, tokens=word_tokens) -> DataFrame:
