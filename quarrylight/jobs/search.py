@@ -50,8 +50,7 @@ def product_search(spark: SparkSession, sf: str) -> DataFrame:
     posted = lexical.postings(kept, "key")
     idf = lexical.plus_idf(lexical.document_frequencies(posted), lexical.corpus_totals(kept))
     scored = lexical.bm25(posted, idf, _asked(spark, sf), True, id_col="key")
-    ranked = lexical.top_k(scored, 20, id_col="key").withColumn("doc_id", F.substring_index("key", ":", 1).cast("long"))
-    out = lexical.diversified(ranked, "doc_id", 2, K)
+    out = lexical.diverse_top(scored.withColumn("doc_id", F.substring_index("key", ":", 1).cast("long")), "doc_id", 2, K, id_col="key")
     return out.select("item_id", "doc_id", F.substring_index("key", ":", -1).cast("long").alias("start_line"), F.col("place").cast("long").alias("place"), F.round("score", 6).alias("score"))
 
 
@@ -81,8 +80,7 @@ def routed_bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 def diversified_topk(spark: SparkSession, sf: str) -> DataFrame:
     sources = _t(spark, sf, "documents").select("doc_id", "source")
-    ranked = lexical.top_k(_scored(spark, sf, True), 20).join(sources, "doc_id")
-    return lexical.diversified(ranked, "source", 2, K).select("item_id", "doc_id", "source", F.col("place").cast("long").alias("place"))
+    return lexical.diverse_top(_scored(spark, sf, True).join(sources, "doc_id"), "source", 2, K).select("item_id", "doc_id", "source", F.col("place").cast("long").alias("place"))
 
 
 def doc_router(spark: SparkSession, sf: str) -> DataFrame:

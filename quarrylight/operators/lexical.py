@@ -77,6 +77,19 @@ def diversified(ranked: DataFrame, group_col: str, cap: int, k: int, query_col:
     return ranked.withColumn("__nth", nth).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("__nth")
 
 
+def diverse_top(scored: DataFrame, group_col: str, cap: int, k: int, query_col: str = "item_id", id_col: str = "doc_id", score_col: str = "score") -> DataFrame:
+    """diversified() over all of a query's scored rows, in the order of top_k(), without ranking them all.
+
+    Among the k are at most k of a group's rows beyond its first ``cap``, so its best cap + k decide; Spark cuts each
+    task's rows to those before the shuffle.
+    """
+    best = [F.round(score_col, 6).desc(), id_col]
+    nth = F.row_number().over(Window.partitionBy(query_col, group_col).orderBy(*best))
+    first = scored.withColumn("__nth", nth).where(F.col("__nth") <= cap + k)
+    order = Window.partitionBy(query_col).orderBy(F.col("__nth") > cap, *best)
+    return first.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("__nth")
+
+
 def router(descriptors: DataFrame, terms: DataFrame, share: float = 0.8, query_col: str = "item_id", group_col: str = "source") -> DataFrame:
     """Groups that a query's distinctive terms point to: (query, group, score) with score at least ``share`` of the best.
 

@@ -47,3 +47,13 @@ def test_later_terms_count_in_routes_and_hits(spark, long_passage):
 def test_router_sees_later_terms(spark, tmp_path):
     docs = [(k, text, "en", f"s{k}") for k, text in enumerate(("plain words", "w14 words", "plain text", "some text", "some other", "more"))]
     assert [r.source for r in search.doc_router(spark, tables(spark, tmp_path, docs, [ASKED])).collect()] == ["s1"]
+
+
+def test_no_group_fills_the_places_of_others(spark, tmp_path):
+    docs = [(k, "w1 " * 40 + "pad " * k, "en", "hot") for k in range(1, 31)] + [(k, "w1 " + "pad " * 30 * k, "en", f"s{k}") for k in (50, 51, 52)]
+    sf = tables(spark, tmp_path / "a", docs, ["w1"])
+    got = search.diversified_topk(spark, sf).orderBy("place").collect()
+    assert [r.doc_id for r in got] == [1, 2, 50, 51, 52, 3] and [r.place for r in got] == [1, 2, 3, 4, 5, 6]
+    docs = [(1, "\n".join("w1 w1 w1 w1" for _ in range(500)), "en", "a"), (2, "w1 " + "pad " * 80, "en", "a"), (3, "w1 " + "pad " * 90, "en", "a"), (4, "pad", "en", "a")]
+    got = search.product_search(spark, tables(spark, tmp_path / "b", docs, ["w1"])).orderBy("place").collect()
+    assert [r.doc_id for r in got] == [1, 1, 2, 3, 1, 1]
