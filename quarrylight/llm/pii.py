@@ -87,9 +87,9 @@ def base_spans(text: str) -> list[Span]:
 # ---- candidate segments -------------------------------------------------------------------------------------------
 
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\s]")
-_TRIGGER = re.compile(r"[0-9]|@|[(\[{]\s?(?:at|AT)\s?[)\]}]|\b(?:at|AT)\s\S+\s(?:dot|DOT)\b")
+_TRIGGER = re.compile(r"[0-9]|@|[(\[{]\s?at\s?[)\]}]|\b(?P<word>at)\b", re.I)
 _AT = re.compile(r"@|[(\[{]\s?at\s?[)\]}]|\bat\b", re.I)
-_DOT = re.compile(r"[^\s]\.[^\s]|[(\[{]\s?(?:dot|\.)\s?[)\]}]|\bdot\b", re.I)
+_DOT = re.compile(r"\w\.\w|[(\[{]\s?(?:dot|\.)\s?[)\]}]|\bdot\b", re.I)
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -99,7 +99,7 @@ def _shape(text: str) -> str:
 
 
 def regions(text: str, taken: list[Span]) -> list[tuple[int, int]]:
-    """Parts around digits and written-out at signs that no base span covers; base spans bound them."""
+    """Parts around digits and at signs, also written out where a dot is near, that no base span covers; base spans bound them."""
     if not _TRIGGER.search(text):
         return []
     blocks = sorted((s, e) for _, s, e in taken)
@@ -114,6 +114,8 @@ def regions(text: str, taken: list[Span]) -> list[tuple[int, int]]:
         low = blocks[k - 1][1] if k else 0
         high = blocks[k][0] if k < len(blocks) else len(text)
         start, end = max(low, at - AROUND), min(high, m.end() + AROUND)
+        if m["word"] and not _DOT.search(text, start, end):
+            continue  # the common word
         if out and start <= out[-1][1] and low <= out[-1][0]:
             out[-1][1] = max(out[-1][1], end)
         else:
