@@ -55,26 +55,46 @@ _WORD = re.compile(r"[A-Za-z]{2,}")
 _RAW_END = {t: re.compile(rf"</{t}\b", re.I) for t in RAW}
 
 
+class Path:
+    """An open element: its tag, the element around it, its depth, and the buckets that it adds to those of its ancestors."""
+
+    __slots__ = ("depth", "new", "outer", "tag")
+
+    def __init__(self, tag: str, outer: Path | None, new: tuple[int, ...]):
+        self.tag, self.outer, self.new = tag, outer, new
+        self.depth = outer.depth + 1 if outer else 1
+
+
 class Block:
-    """path: names of the ancestors from the outside in; text: decoded, white space collapsed; linked: share in links."""
+    """path: its innermost ancestor; text: decoded, white space collapsed; linked: share in links."""
 
     __slots__ = ("linked", "path", "text")
 
-    def __init__(self, path: tuple[str, ...], text: str, linked: float):
+    def __init__(self, path: Path | None, text: str, linked: float):
         self.path, self.text, self.linked = path, text, linked
 
 
+def _hash(feature: str) -> int:
+    return zlib.crc32(feature.encode()) % WEIGHTS
+
+
 @lru_cache(maxsize=20_000)
-def _element(tag: str, attributes: str) -> str:
-    """An element's tag and the words of its class, id and role."""
-    words = [w.lower() for m in _NAMES.finditer(attributes) for w in _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", next(filter(None, m.groups()), "")))]
-    return " ".join([tag, *sorted(set(words))])
+def _element(tag: str, attributes: str) -> tuple[int, ...]:
+    """Buckets of an element's tag and of the words of its class, id and role."""
+    words = {w.lower() for m in _NAMES.finditer(attributes) for w in _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", next(filter(None, m.groups()), "")))}
+    return tuple(sorted({_hash(f) for f in (f"in:{tag}", *(f"name:{w}" for w in words), *(f"stem:{w[:4]}" for w in words))}))
+
+
+@lru_cache(maxsize=20_000)
+def _pair(outer: str, inner: str) -> int:
+    return _hash(f"pair:{outer}>{inner}")
 
 
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order."""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    stack: list[Path] = []
+    seen: set[int] = set()  # buckets of the open elements
     text: list[str] = []
     linked, link, hidden, at = 0, 0, 0, 0
 
@@ -91,17 +111,25 @@ def blocks(page: str) -> list[Block]:
             whole = "".join(text)
             clean = " ".join(html.unescape(whole).split())
             if clean:
-                path = tuple(e for _, e in stack)
-                out.append(Block(path if len(path) <= DEPTH else (path[0], *path[1 - DEPTH :]), clean, linked / len(whole)))
+                out.append(Block(stack[-1] if stack else None, clean, linked / len(whole)))
             text.clear()
         linked = 0
 
     def pop_to(k: int) -> None:
         nonlocal hidden
-        for tag, _ in stack[k:]:
-            hidden -= tag in NEVER
+        for element in stack[k:]:
+            hidden -= element.tag in NEVER
+            seen.difference_update(element.new)
         del stack[k:]
 
+    def push(tag: str, attributes: str) -> None:
+        nonlocal hidden
+        outer = stack[-1] if stack else None
+        buckets = {*_element(tag, attributes), _pair(outer.tag, tag)} if outer else {*_element(tag, attributes)}
+        stack.append(Path(tag, outer, tuple(buckets - seen)))
+        seen.update(buckets)
+        hidden += tag in NEVER
+
     m = _TAG.search(page, 0)
     while m:
         if m.start() > at:
@@ -127,21 +155,20 @@ def blocks(page: str) -> list[Block]:
                 flush()
                 if closing:
                     for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] == tag:
+                        if stack[k].tag == tag:
                             pop_to(k)
                             break
                 else:
                     ends, bounds = IMPLIED.get(tag, _CLOSES_P)
                     cut = len(stack)
                     for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] in bounds:
+                        if stack[k].tag in bounds:
                             break
-                        if stack[k][0] in ends:
+                        if stack[k].tag in ends:
                             cut = k
                     pop_to(cut)
                     if not m.group(3).endswith("/"):
-                        stack.append((tag, _element(tag, m.group(3))))
-                        hidden += tag in NEVER
+                        push(tag, m.group(3))
         m = _TAG.search(page, at)
     add(page[at:])
     flush()
@@ -153,22 +180,22 @@ def blocks(page: str) -> list[Block]:
 CUES = re.compile(r"cookie|consent|privacy|newsletter|subscri|sign (?:in|up)|log ?in|copyright|rights reserved|©|advert|sponsor|share|tweet|comment|repl(?:y|ies)|related|read more|previous|next|posted|menu|search|terms|contact", re.I)
 
 
-def _hash(feature: str) -> int:
-    return zlib.crc32(feature.encode()) % WEIGHTS
+@lru_cache(maxsize=20_000)
+def _own(tag: str, depth: int) -> tuple[int, int]:
+    return _hash(f"own:{tag}"), _hash(f"depth:{depth}")
+
 
+def own_features(path: Path | None) -> tuple[int, int]:
+    return _own(path.tag, min(path.depth, 6)) if path else _own("none", 0)
 
-@lru_cache(maxsize=50_000)
-def path_features(path: tuple[str, ...]) -> tuple[int, ...]:
-    own = path[-1].split(" ") if path else ["none"]
-    found = {f"own:{own[0]}", f"depth:{min(len(path), 6)}"}
-    for element in path:
-        tag, *names = element.split(" ")
-        found.add(f"in:{tag}")
-        found.update(f"name:{n}" for n in names)
-        found.update(f"stem:{n[:4]}" for n in names)
-    for outer, inner in zip(path, path[1:]):
-        found.add(f"pair:{outer.split(' ')[0]}>{inner.split(' ')[0]}")
-    return tuple(sorted({_hash(f) for f in found}))
+
+def path_features(path: Path | None) -> set[int]:
+    """Buckets of a block's place: its own element and names, tags and pairs of all its ancestors."""
+    found = {*own_features(path)}
+    while path:
+        found.update(path.new)
+        path = path.outer
+    return found
 
 
 def text_features(block: Block) -> list[int]:
@@ -185,32 +212,34 @@ class ChainModel:
 
     def __init__(self):
         self.weights, self.transitions, self.start = np.zeros(WEIGHTS), np.zeros((2, 2)), np.zeros(2)
-        self._paths: dict[tuple[str, ...], float] = {}
 
     def __getstate__(self):
         return self.weights, self.transitions, self.start
 
     def __setstate__(self, state):
         self.weights, self.transitions, self.start = state
-        self._paths = {}
 
-    def score(self, block: Block) -> float:
-        known = self._paths.get(block.path)
-        if known is None:
-            if len(self._paths) > 50_000:
-                self._paths.clear()
-            known = self._paths[block.path] = float(self.weights[list(path_features(block.path))].sum())
-        return known + sum(map(self.weights.item, text_features(block)))
+    def score(self, block: Block, known: dict[Path | None, float]) -> float:
+        """known: sums over the paths of a page, each from that of the element around it, so deep pages cost no more a tag."""
+        weight, path, above = self.weights.item, block.path, []
+        while path and path not in known:
+            above.append(path)
+            path = path.outer
+        total = known[path] if path else 0.0
+        for path in reversed(above):
+            total = known[path] = total + sum(map(weight, path.new))
+        return total + sum(map(weight, own_features(block.path))) + sum(map(weight, text_features(block)))
 
     def decode(self, page: list[Block]) -> list[bool]:
         """Viterbi over the blocks of a page."""
         if not page:
             return []
+        known: dict[Path | None, float] = {}
         (t00, t01), (t10, t11) = self.transitions.tolist()
-        a, b = float(self.start[0]), float(self.start[1]) + self.score(page[0])
+        a, b = float(self.start[0]), float(self.start[1]) + self.score(page[0], known)
         back = []
         for block in page[1:]:
-            s = self.score(block)
+            s = self.score(block, known)
             back.append((a + t00 < b + t10, a + t01 < b + t11))
             a, b = max(a + t00, b + t10), max(a + t01, b + t11) + s
         label, out = b > a, []
@@ -256,7 +285,15 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
     words = lambda a, b: " ".join(word() for _ in range(rng.randint(a, b)))
     sentence = lambda: words(4, 18).capitalize() + rng.choice(".....!?")
 
+    deep = rng.randint(8, 20) if rng.random() < 0.2 else 0
+
     def block(tag: str, content: str, label: bool, attributes: str = "") -> None:
+        if deep and rng.random() < 0.7:
+            opened, closed = rng.choice((("<div>" * deep, "</div>" * deep), ("<table><tbody><tr><td>" * (deep // 4), "</td></tr></tbody></table>" * (deep // 4))))
+            inside = bool(attributes) and tag != "p"
+            parts.append(f"<{tag}{attributes}>{opened}{content}{closed}</{tag}>" if inside else f"{opened}<{tag}{attributes}>{content}</{tag}>{closed}")
+            labels.append(label)
+            return
         parts.append(f"<{tag}{attributes}>{content}" + ("" if tag in ("p", "li") and rng.random() < 0.2 else f"</{tag}>"))
         labels.append(label)
 
@@ -342,7 +379,8 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
             comments()
         parts.append(f"</{tag}>" + "</main>" * wrap)
 
-    parts.append("<!DOCTYPE html><html><head><title>x</title></head><body>")
+    shell = rng.randint(0, 4) if deep else 0
+    parts.append("<!DOCTYPE html><html><head><title>x</title></head><body>" + "<div>" * shell)
     for _ in range(rng.randint(1, 4)):
         rng.choice(boilerplate)()
     article()
@@ -352,6 +390,7 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
         rng.choice(boilerplate)()
     if rng.random() < 0.85:
         box("footer", rng.choice(("", named("footer bottom"))), cue="© All rights reserved") if rng.random() < 0.8 else box("div", named("footer copyright bottom legal"), cue="©")
+    parts.append("</div>" * shell)
     return "".join(parts), labels
 
 
