@@ -72,8 +72,8 @@ def upsert_changed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def index_sync(spark: SparkSession, sf: str) -> DataFrame:
-    """What an index of the labelled documents must add and delete to hold the older corpus."""
-    return corpus.index_changes(_t(spark, sf, "labels").select("doc_id"), _stored(spark, sf).select("doc_id"), "doc_id")
+    """What an index of the labelled documents must add and delete to hold all documents."""
+    return corpus.index_changes(_t(spark, sf, "labels").select("doc_id"), _t(spark, sf, "documents").select("doc_id"), "doc_id")
 
 
 def corpus_audit(spark: SparkSession, sf: str) -> DataFrame:
