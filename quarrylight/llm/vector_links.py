@@ -33,9 +33,9 @@ SAMPLE = 4096
 BLOCK = 1024
 DIMENSIONS = 6
 #: Bits of a block's number in the sequence that each level of the recursion drops, from the longest intervals down.
-LEVELS = (24, 18, 12, 6, 0)
-#: Bits for the number of a block in its partition.
-WITHIN = 12
+LEVELS = (36, 30, 24, 18, 12, 6, 0)
+#: Bits for the number of a block in its partition; as many rows as blocks, if every row has a label of its own.
+WITHIN = 24
 
 
 def _rows(column: pa.Array) -> np.ndarray:
@@ -100,6 +100,8 @@ def sequence_blocks(points: DataFrame, axes: np.ndarray, epsilon: float, block:
             x = rows.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
             one = lambda c: rows.column(c).slice(0, 1).combine_chunks()
             wide = lambda c, kind: pa.array([rows.column(c).to_pylist()], kind)
+            if number >> WITHIN:
+                raise OverflowError(f"more than {1 << WITHIN} blocks in a partition")
             return pa.RecordBatch.from_arrays([pa.array([base + number], pa.int64()), one("label"), one("dim"), pa.array([lo], pa.list_(pa.float64())), pa.array([hi], pa.list_(pa.float64())), wide("cid", pa.list_(rows.schema.field("cid").type)), wide("m", pa.list_(pa.int64())), pa.array([x.tobytes()], pa.binary())], names=["block", "label", "dim", "lo", "hi", "cids", "ms", "x"])
 
         for b in batches:
