@@ -17,11 +17,17 @@ _CLEANED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a local one only where that is unset (tests)."""
+    """The folder that the cluster names in spark.checkpoint.dir.
+
+    Where that is unset: the warehouse folder, which all executors share too; only a driver that runs its tasks itself
+    (local mode, as in tests) takes a folder of its own.
+    """
     global _OWN_DIR
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     if _OWN_DIR is None:
         _OWN_DIR = "file://" + tempfile.mkdtemp(prefix="quarrylight-")
     return _OWN_DIR
@@ -73,6 +79,31 @@ def drop_table(df: DataFrame) -> None:
             delete_path(spark, folder)
 
 
+def renamed(df: DataFrame) -> DataFrame:
+    """df with columns c0, c1, ...: names that nothing an operator adds can clash with. ``toDF(*df.columns)`` gives them back."""
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns))))
+
+
+#: Keys that hold more than one row in so many, and more than so many rows, are joined by broadcast; there can be no more of them than SHARE.
+SHARE, FEW = 10_000, 1000
+
+
+def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], count_col: str, how: str = "inner") -> DataFrame:
+    """rows joined with table, whose rows hold a key each and, in count_col, how many rows it has.
+
+    A key with more than 1/SHARE of all rows is hot. There are at most SHARE of those, so they are broadcast and their
+    rows stay where they are; the others shuffle, and no task gets more than that share of rows for one key.
+    """
+    total = table.agg(F.sum(count_col)).first()[0] or 0
+    limit = max(FEW, total // SHARE)
+    hot = table.where(F.col(count_col) > limit)
+    if hot.isEmpty():
+        return rows.join(table, keys, how)
+    near = rows.join(F.broadcast(hot), keys)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(table.where(F.col(count_col) <= limit), keys, how)
+    return near.unionByName(rest)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     modest_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -1,12 +1,15 @@
 """Exact deduplication by progressive refinement, in DataFrame functions only.
 
-Texts are equal when they are identical after each run of white space became one blank. Rows are grouped by the length
-of that text, groups of two and more by a hash of its first characters, and only for groups that are left is a full
-hash taken. Only narrow keys are shuffled, never texts.
+Texts are equal when they are identical after each run of white space became one blank. Rows are counted by the length
+of that text; lengths that recur are counted by a hash of the first characters; only rows whose length and prefix hash
+both recur are open, and only open rows get a full hash. Only narrow keys are shuffled, never texts.
+
+Which keys are open is told to the scan of texts by a bit table of fixed size (BITS bits, at most 16 MB), at every size
+of the input alike. A bit that another key has set opens a row in vain and costs one full hash, never a result.
 
 Defined cases: a null text counts as empty; of equal texts the row with the smallest id stays, ids that are null come
 last; of rows that repeat id and text one stays; an empty table gives an empty result; input columns besides the two
-named are neither read nor returned by ``groups``, and all returned unchanged by ``deduplicate``.
+named are neither read nor returned by ``groups``, and all returned unchanged by ``deduplicate``, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,10 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, materialize, text_or_empty
+from .common import documents, materialize, renamed, spread_join, text_or_empty
 
 #: Most keys (of some 16 bytes) that are broadcast; beyond that the same join shuffles narrow rows.
 BROADCAST_KEYS = 200_000
+#: Size of the bit table of open keys.
+BITS = 1 << 27
 
 
 def normalised(text_col: str = "text") -> Column:
@@ -29,56 +34,78 @@ def small(df: DataFrame, bound: int = BROADCAST_KEYS) -> DataFrame:
     return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
 
 
-def refine(docs: DataFrame, id_col: str, text_col: str, prefix_chars: int, all_digests: bool) -> DataFrame:
-    """(__id, __n, __prefix, __open, __sha) of each row: __open where length and prefix hash occur again.
+def _sketch(text: Column, prefix_chars: int) -> list[Column]:
+    return [F.length(text).alias("__n"), F.xxhash64(F.substring(text, 1, prefix_chars)).alias("__prefix")]
+
+
+def _bit(*key: str) -> Column:
+    """A key's bit, from 1 to BITS."""
+    return F.pmod(F.xxhash64(*key), F.lit(BITS)) + 1
+
+
+def open_keys(docs: DataFrame, text_col: str, prefix_chars: int) -> DataFrame:
+    """(bucket, bits): the bit table of (length, prefix hash) pairs that more than one row has."""
+    pairs = docs.select(*_sketch(normalised(text_col), prefix_chars)).groupBy("__n", "__prefix").agg(F.count("*").alias("c"))
+    pairs = materialize(pairs, "exact-keys")
+    lengths = pairs.groupBy("__n").agg(F.sum("c").alias("rows"), F.count("*").alias("pairs")).where("rows > 1").select("__n", "pairs")
+    again = spread_join(pairs, materialize(lengths, "exact-lengths"), ["__n"], "pairs").where("c > 1").select(_bit("__n", "__prefix").alias("bit"))
+    table = again.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    return materialize(table, "exact-open")
 
-    Without all_digests, __sha is taken of those rows only.
-    """
-    text = normalised(text_col)
-    sketch = [F.length(text).alias("__n"), F.xxhash64(F.substring(text, 1, prefix_chars)).alias("__prefix")]
-    keys = materialize(docs.select(*sketch), "exact-keys")
-    lengths = keys.groupBy("__n").count().where("count > 1").select("__n")
-    again = keys.join(lengths, "__n", "left_semi").groupBy("__n", "__prefix").count().where("count > 1").select("__n", "__prefix", F.lit(True).alias("__again"))
-    again = materialize(again, "exact-again")
-    rows = docs.select(F.col(id_col).alias("__id"), text.alias("__t"), *sketch)
-    if again.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
-        rows = rows.join(F.broadcast(again), ["__n", "__prefix"], "left")
-        sha = F.sha2("__t", 256) if all_digests else F.when(F.col("__again"), F.sha2("__t", 256))
-        rows = rows.select("__id", "__n", "__prefix", F.coalesce("__again", F.lit(False)).alias("__open"), sha.alias("__sha"))
-    else:
-        rows = rows.select("__id", "__n", "__prefix", F.sha2("__t", 256).alias("__sha")).join(again, ["__n", "__prefix"], "left")
-        rows = rows.select("__id", "__n", "__prefix", F.coalesce("__again", F.lit(False)).alias("__open"), "__sha")
-    return materialize(rows, "exact-rows")
+
+def with_digests(docs: DataFrame, text_col: str, prefix_chars: int, every: bool = False) -> DataFrame:
+    """Adds __sha, the full hash of rows that are open (null for others; taken of all with ``every``), and __open."""
+    table = open_keys(docs, text_col, prefix_chars)
+    rows = docs.withColumn("__t", normalised(text_col))
+    rows = rows.select("*", *_sketch(F.col("__t"), prefix_chars))
+    rows = rows.withColumn("__bit", _bit("__n", "__prefix")).withColumn("bucket", F.bitmap_bucket_number("__bit"))
+    rows = rows.join(F.broadcast(table), "bucket", "left").withColumn("__at", F.bitmap_bit_position("__bit").cast("int"))
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("__at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_open = F.coalesce(F.call_function("shiftright", byte, F.col("__at") % 8).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    sha = F.sha2("__t", 256)
+    return rows.select(*docs.columns, is_open.alias("__open"), (sha if every else F.when(is_open, sha)).alias("__sha"))
+
+
+def _decided(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(distinct __id and __sha of open rows with their number __m, (__sha, keep_id, group_size))."""
+    repeats = materialize(rows.where("__open").groupBy("__id", "__sha").agg(F.count("*").alias("__m")), "exact-repeats")
+    totals = repeats.groupBy("__sha").agg(F.min("__id").alias("keep_id"), F.sum("__m").alias("group_size"))
+    return repeats, materialize(totals, "exact-groups")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 64, all_digests: bool = True) -> DataFrame:
-    """(id, keep_id, group_size, kept, text_sha256), one row for each input row, dropped ones too."""
-    rows = refine(docs, id_col, text_col, prefix_chars, all_digests)
-    key = ["__n", "__prefix", "__sha"]
-    repeats = rows.where("__open").groupBy("__id", *key).agg(F.count("*").alias("__m"))
-    totals = repeats.groupBy(*key).agg(F.min("__id").alias("keep_id"), F.sum("__m").alias("group_size"))
-    grouped = repeats.join(totals, key).select("__id", "keep_id", "group_size", "__sha", F.explode(F.sequence(F.lit(1), F.col("__m").cast("int"))).alias("__copy"))
+    """(id, keep_id, group_size, kept, text_sha256), one row for each input row, dropped ones too.
+
+    Without all_digests, text_sha256 is null where length and prefix hash alone tell a text from all others.
+    """
+    narrow = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    rows = materialize(with_digests(narrow, "__text", prefix_chars, all_digests).drop("__text"), "exact-rows")
+    repeats, totals = _decided(rows)
+    grouped = spread_join(repeats, totals, ["__sha"], "group_size").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__m").cast("int"))))
     kept = F.col("__id").eqNullSafe(F.col("keep_id")) & (F.col("__copy") == 1)
     out = grouped.select(F.col("__id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), F.col("__sha").alias("text_sha256"))
     alone = rows.where("not __open").select(F.col("__id").alias(id_col), F.col("__id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("__sha").alias("text_sha256"))
     return alone.unionByName(out)
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    decided = materialize(groups(docs, id_col, text_col, all_digests=False).where("group_size > 1").select(F.col(id_col).alias("__id"), "kept", F.col("text_sha256").alias("__sha")), "exact-decided")
-    sha = F.sha2(normalised(text_col), 256)
-    dropped = decided.groupBy("__id", "__sha").agg(F.max("kept").alias("__stays"), F.count("*").alias("__m"))
-    gone = dropped.where("not __stays").select("__id", "__sha")
-    repeated = materialize(dropped.where("__stays and __m > 1").select("__id", "__sha"), "exact-repeated")
-    here = lambda ids: F.col(id_col).eqNullSafe(ids["__id"]) & (sha == ids["__sha"])
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 64) -> DataFrame:
+    """The rows of docs that stay, with all their columns. Rows that are not open stay without a full hash."""
+    columns, plain = docs.columns, renamed(docs)
+    id_, text = plain.columns[columns.index(id_col)], plain.columns[columns.index(text_col)]
+    digested = with_digests(plain, text, prefix_chars)
+    rows = digested.select(F.col(id_).alias("__id"), "__open", "__sha")
+    repeats, totals = _decided(rows)
+    named = spread_join(repeats, totals, ["__sha"], "group_size").where("group_size > 1")
+    decided = materialize(named.select("__id", "__sha", F.col("__id").eqNullSafe(F.col("keep_id")).alias("__stays"), "__m"), "exact-decided")
+    gone = decided.where("not __stays").select("__id", F.col("__sha").alias("__gone"))
+    repeated = decided.where("__stays and __m > 1").select("__id", F.col("__sha").alias("__gone"))
+    here = lambda ids: F.col(id_).eqNullSafe(ids["__id"]) & (F.col("__sha") == ids["__gone"])
     if repeated.isEmpty():
         gone = small(gone)
-        return docs.join(gone, here(gone), "left_anti")
-    rest = small(gone.unionByName(repeated))
-    once = small(repeated)
-    one_each = docs.join(once, here(once), "left_semi").withColumn("__sha", sha).dropDuplicates([id_col, "__sha"]).drop("__sha")
-    return docs.join(rest, here(rest), "left_anti").unionByName(one_each)
+        return digested.join(gone, here(gone), "left_anti").select(*plain.columns).toDF(*columns)
+    rest, once = small(gone.unionByName(repeated)), small(repeated)
+    one_each = digested.join(once, here(once), "left_semi").dropDuplicates([id_, "__sha"])
+    return digested.join(rest, here(rest), "left_anti").unionByName(one_each).select(*plain.columns).toDF(*columns)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,16 +1,20 @@
 """Toxicity by bags of subword embeddings, averaged into a linear softmax.
 
 A word's vector is the mean of the vectors of its character n-grams (and of itself), all kept in one hashed table; a
-window's vector is the mean of its words (of at least half a window; zero vectors fill shorter ones); a linear softmax turns that into two classes. Table and softmax are trained
-together in numpy. A document is toxic if any of its windows is, so its score is 1 - prod(1 - p(window)), and the
-training loss is that of the document's label. Misspelt words share n-grams, hence vectors, with words seen in training.
+window's vector is the mean of its words (of at least half a window; zero vectors fill shorter ones); a linear softmax
+turns that into two classes. Table and softmax are trained together in numpy. A document is toxic if any of its windows
+is, so its score is 1 - prod(1 - p(window)), and the training loss is that of the document's label. Misspelt words share
+n-grams, hence vectors, with words seen in training. With ``window=0`` a document is one bag, averaged whole, and its
+score the plain softmax: a few toxic words then weigh the less the longer the text (README has figures of both).
 
 Training takes a bounded sample of labelled rows (``sample_rows`` of each class, texts of at most ``sample_chars``
 characters, chosen by a hash of the id); only these reach the driver. Scoring covers every row and its whole text.
 
 Defined cases: a null or empty text has one window without words and so the score of the softmax's bias; labels that
 are null are ignored and of repeated ones the largest counts; without a labelled row of either class every score is 0;
-an empty table gives an empty result; input columns besides the two named are neither read nor returned.
+rows that repeat get the same score each; very long texts are scored whole, their windows one after the other; an empty
+table gives an empty result; input columns besides the two named are neither read nor returned by ``score`` and all
+returned unchanged by ``reject``, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, text_batches, text_or_empty
+from .common import documents, renamed, text_batches, text_or_empty
 
 EDGES = ".,;:!?\"'()[]{}<>*_-"
 
@@ -79,7 +83,7 @@ def bag(text: str) -> list[str]:
 
 def windows(n_words: int, window: int) -> np.ndarray:
     """First word of each window: as many windows of nearly equal size as come closest to ``window`` words each."""
-    n = max(1, round(n_words / window))
+    n = max(1, round(n_words / window)) if window else 1
     return (np.arange(n) * n_words) // n
 
 
@@ -249,8 +253,10 @@ def score(docs: DataFrame, model: SubwordModel | None, threshold: float = 0.3, i
 
 def reject(docs: DataFrame, model: SubwordModel | None, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that score under the threshold, with all their columns."""
-    scored = score(docs, model, threshold, id_col, text_col, keep=docs.columns, score_col="__score", flag_col="__toxic")
-    return scored.where("__toxic = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    columns, plain = docs.columns, renamed(docs)
+    id_, text = plain.columns[columns.index(id_col)], plain.columns[columns.index(text_col)]
+    scored = score(plain, model, threshold, id_, text, keep=plain.columns, score_col="__score", flag_col="__toxic")
+    return scored.where("__toxic = 0").select(*plain.columns).toDF(*columns)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

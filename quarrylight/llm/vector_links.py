@@ -3,21 +3,25 @@
 Unit vectors with cosine >= c lie within epsilon = sqrt(2 - 2c). Vectors are projected on leading principal dimensions
 (which can only shorten distances), sorted by grid cells of side epsilon there, and cut into blocks of the sequence.
 Intervals of the sequence are joined recursively: pairs of long intervals first, then the pairs of their parts, and
-only pairs whose bounding boxes come within epsilon go on. Pairs of blocks that are left are compared in double
-precision inside tasks, which return for each vector its number of links and one link into its local component; links
-of a pair of blocks are never listed.
+only pairs whose bounding boxes come within epsilon go on. Pairs of blocks that are left are dealt to tasks as tiles of
+the pair grid, so that a block travels once a tile, and compared in double precision there; a task returns for each
+vector its number of links and one link into its local component; links of a pair of blocks are never listed.
 
-Vectors that are equal (and of one label) are one vertex with a multiplicity from the start. Principal dimensions are
-fitted on at most ``sample`` vertices chosen by hash; they steer the pruning only, never the result.
+Vectors that are equal (and of one label) are one vertex with a multiplicity from the start, named by a 128-bit digest
+of label and components; only digests are grouped and joined, vectors travel as bytes and only to the comparison.
+Principal dimensions are fitted on at most ``sample`` vertices chosen by hash; they steer the pruning only, never the
+result.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, vectors whose label or id is
 null, and vectors of different dimension link with nothing (0 links; the component is the own id); rows that repeat
-count as vectors of their own; an empty table gives an empty result; input columns besides the three named are neither
+count as vectors of their own, also where an id repeats with another vector or label: each row has the links and the
+component of its own vector; an empty table gives an empty result; input columns besides the three named are neither
 read nor returned.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,25 +30,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, spread_join, text_batches
 from .components import components
 
 SAMPLE = 4096
 BLOCK = 1024
 DIMENSIONS = 6
-#: Bits of a block's number in the sequence that each level of the recursion drops, from the longest intervals down.
-LEVELS = (36, 30, 24, 18, 12, 6, 0)
-#: Bits for the number of a block in its partition; as many rows as blocks, if every row has a label of its own.
-WITHIN = 24
+#: Bits for the number of a block in its partition: more than a partition can hold rows.
+WITHIN = 32
+#: Bits of a block's number in the sequence that each level of the recursion drops: intervals of partitions, partitions, intervals of blocks, blocks.
+LEVELS = (50, 44, 38, 32, 12, 6, 0)
+#: Bits of the side of a tile: 8 x 8 block pairs go to one task.
+TILE = 3
 
 
-def _rows(column: pa.Array) -> np.ndarray:
-    """Lists of one length as a matrix."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
-
-
-def principal(sample: list[list[float]], dimensions: int) -> np.ndarray:
+def principal(sample: list[np.ndarray], dimensions: int) -> np.ndarray:
     """Leading principal directions (columns) of the unit vectors of the commonest length."""
     if not sample:
         return np.zeros((0, 0))
@@ -56,38 +56,48 @@ def principal(sample: list[list[float]], dimensions: int) -> np.ndarray:
     return np.atleast_2d(vectors)[:, ::-1][:, :dimensions]
 
 
-def vertices(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
-    """(usable rows: id, label, v), (vertices: cid, label, v, m)."""
-    v, d = F.col(vector_col), "array<double>"
+def named_rows(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
+    """(id, label, dim, cid, x) of every row: x the doubles as bytes, cid the vertex; label to x are null where a row can't link."""
+    v = F.col(vector_col)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    usable = vectors.where(v.isNotNull() & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-    usable = usable.where(finite & F.exists(v, lambda x: x != 0)).select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), v.cast(d).alias("v"))
-    usable = usable.where(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x).between(1e-290, 1e290))
-    return usable, usable.groupBy("label", "v").agg(F.min("id").alias("cid"), F.count("*").alias("m"))
+    square = F.aggregate(v.cast("array<double>"), F.lit(0.0), lambda s, x: s + x * x)
+    usable = v.isNotNull() & F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & finite & F.exists(v, lambda x: x != 0)
+    usable = F.coalesce(usable & square.between(1e-290, 1e290), F.lit(False))
+    kind = vectors.schema[id_col].dataType.simpleString()
+    rows = vectors.select(F.col(id_col).alias("id"), F.when(usable, F.col(label_col).cast("string")).alias("label"), F.when(usable, v.cast("array<double>")).alias("v"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_batches(batches):
+            dims, cids, raws = [], [], []
+            for label, v in zip(b.column(1).to_pylist(), b.column(2)):
+                x = None if label is None else (v.values.to_numpy(zero_copy_only=False) + 0.0).tobytes()  # no negative zeros
+                raws.append(x)
+                dims.append(None if x is None else len(x) // 8)
+                cids.append(None if x is None else hashlib.blake2b(label.encode("utf-8", "surrogatepass") + b"\0" + x, digest_size=16).hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(dims, pa.int32()), pa.array(cids, pa.string()), pa.array(raws, pa.binary())], names=["id", "label", "dim", "cid", "x"])
+
+    return rows.mapInArrow(run, f"id {kind}, label string, dim int, cid string, x binary")
 
 
 def sequence_blocks(points: DataFrame, axes: np.ndarray, epsilon: float, block: int) -> DataFrame:
     """(block, label, dim, lo, hi, cids, ms, x): blocks of the grid order; x holds the vertices' doubles, row by row."""
     k = axes.shape[1]
-    label = points.schema["label"].dataType.simpleString()
-    cid = points.schema["cid"].dataType.simpleString()
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lists = b.column(2)
-            sizes = np.diff(lists.offsets.to_numpy())
-            p = np.zeros((len(lists), k))
+        for b in text_batches(batches):
+            sizes = b.column(2).to_numpy()
+            p = np.zeros((b.num_rows, k))
             fit = np.flatnonzero(sizes == axes.shape[0]) if k else []
             if len(fit):
-                x = _rows(lists.take(pa.array(fit)))
+                x = np.frombuffer(b"".join(b.column(3).take(pa.array(fit)).to_pylist()), np.float64).reshape(len(fit), -1)
                 p[fit] = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ axes
             cells = np.floor(p / epsilon).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sizes.astype(np.int32)), pa.array(list(cells), pa.list_(pa.int32())), pa.array(list(p), pa.list_(pa.float64()))], names=["cid", "label", "v", "m", "dim", "cell", "p"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(list(cells), pa.list_(pa.int32())), pa.array(list(p), pa.list_(pa.float64()))], names=["cid", "label", "dim", "x", "m", "cell", "p"])
 
-    placed = points.select("cid", "label", "v", "m").mapInArrow(project, f"cid {cid}, label {label}, v array<double>, m long, dim int, cell array<int>, p array<double>")
+    placed = points.select("cid", "label", "dim", "x", "m").mapInArrow(project, "cid string, label string, dim int, x binary, m long, cell array<int>, p array<double>")
     placed = materialize(placed, "placed")
     n = placed.count()
-    order = [F.col("label"), F.col("dim"), F.col("cell"), F.xxhash64("cid")]
+    order = [F.col("label"), F.col("dim"), F.col("cell"), F.col("cid")]
     ranged = placed.repartitionByRange(max(1, -(-n // (8 * block))), *order).sortWithinPartitions(*order)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,20 +105,18 @@ def sequence_blocks(points: DataFrame, axes: np.ndarray, epsilon: float, block:
         carry = None
 
         def emit(rows: pa.Table, number: int) -> pa.RecordBatch:
-            p = _rows(rows.column("p").combine_chunks()) if k else np.zeros((rows.num_rows, 0))
+            p = rows.column("p").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, k)
             lo, hi = p.min(0), p.max(0)
-            x = rows.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            x = b"".join(rows.column("x").to_pylist())
             one = lambda c: rows.column(c).slice(0, 1).combine_chunks()
             wide = lambda c, kind: pa.array([rows.column(c).to_pylist()], kind)
-            if number >> WITHIN:
-                raise OverflowError(f"more than {1 << WITHIN} blocks in a partition")
-            return pa.RecordBatch.from_arrays([pa.array([base + number], pa.int64()), one("label"), one("dim"), pa.array([lo], pa.list_(pa.float64())), pa.array([hi], pa.list_(pa.float64())), wide("cid", pa.list_(rows.schema.field("cid").type)), wide("m", pa.list_(pa.int64())), pa.array([x.tobytes()], pa.binary())], names=["block", "label", "dim", "lo", "hi", "cids", "ms", "x"])
+            return pa.RecordBatch.from_arrays([pa.array([base + number], pa.int64()), one("label"), one("dim"), pa.array([lo], pa.list_(pa.float64())), pa.array([hi], pa.list_(pa.float64())), wide("cid", pa.list_(pa.string())), wide("m", pa.list_(pa.int64())), pa.array([x], pa.binary())], names=["block", "label", "dim", "lo", "hi", "cids", "ms", "x"])
 
         for b in batches:
             rows = pa.Table.from_batches([b]) if carry is None else pa.concat_tables([carry, pa.Table.from_batches([b])])
             while rows.num_rows:
-                same = np.array([v == rows.column("label")[0].as_py() for v in rows.column("label").slice(0, block).to_pylist()])
-                same &= rows.column("dim").slice(0, block).to_numpy() == rows.column("dim")[0].as_py()
+                label, dim = rows.column("label").slice(0, block).to_numpy(), rows.column("dim").slice(0, block).to_numpy()
+                same = (label == label[0]) & (dim == dim[0])
                 end = int(np.argmin(same)) if not same.all() else len(same)
                 if end == rows.num_rows and end < block:
                     break
@@ -118,7 +126,7 @@ def sequence_blocks(points: DataFrame, axes: np.ndarray, epsilon: float, block:
         if carry is not None:
             yield emit(carry, number)
 
-    schema = f"block long, label {label}, dim int, lo array<double>, hi array<double>, cids array<{cid}>, ms array<long>, x binary"
+    schema = "block long, label string, dim int, lo array<double>, hi array<double>, cids array<string>, ms array<long>, x binary"
     return materialize(ranged.mapInArrow(cut, schema), "blocks")
 
 
@@ -147,67 +155,82 @@ def near_blocks(blocks: DataFrame, epsilon: float) -> DataFrame:
 
 
 def compare_blocks(pairs: DataFrame, blocks: DataFrame, cosine: float) -> DataFrame:
-    """(cid, links, root): for each vertex of a pair of blocks with links there, their number and the smallest id of its part."""
-    cid = blocks.schema["cids"].dataType.elementType.simpleString()
-    side = lambda s: blocks.select(F.col("block").alias(s), F.col("dim").alias(f"{s}d"), F.col("cids").alias(f"{s}c"), F.col("ms").alias(f"{s}m"), F.col("x").alias(f"{s}x"))
-    both = pairs.join(side("i"), "i").join(side("j"), "j").select("i", "j", "id", "ic", "im", "ix", "jc", "jm", "jx")
+    """(cid, links, root): for each vertex of a pair of blocks with links there, their number and a vertex of its part.
+
+    A tile holds at most 8 x 8 pairs and so 16 blocks; each block is sent to a tile once, with the partners it has there.
+    """
+    tiled = pairs.withColumn("ti", F.shiftright("i", TILE)).withColumn("tj", F.shiftright("j", TILE))
+    rows_of = tiled.groupBy("ti", "tj", F.col("i").alias("block")).agg(F.collect_list("j").alias("partners"))
+    columns_of = tiled.select("ti", "tj", F.col("j").alias("block")).distinct().join(rows_of.select("ti", "tj", "block"), ["ti", "tj", "block"], "left_anti")
+    wanted = rows_of.unionByName(columns_of.withColumn("partners", F.array().cast("array<long>")))
+    dealt = wanted.join(blocks.select("block", "dim", "cids", "ms", "x"), "block")
 
     def unit(x: np.ndarray) -> np.ndarray:
         return x / np.sqrt((x * x).sum(1, keepdims=True))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                i, j, dim, ic, im, ix, jc, jm, jx = (c[r].as_py() for c in batch.columns)
-                x, y = (np.frombuffer(v, np.float64).reshape(-1, dim) for v in (ix, jx))
-                g = unit(x) @ unit(y).T
-                mask = g >= cosine
-                for a, b in np.argwhere(np.abs(g - cosine) < 1e-9):  # rounding could decide: by the plain formula
-                    mask[a, b] = (x[a] * y[b]).sum() / np.sqrt((x[a] * x[a]).sum() * (y[b] * y[b]).sum()) >= cosine
-                if i == j:
-                    mask &= mask.T
-                    np.fill_diagonal(mask, False)
-                if not mask.any():
-                    continue
-                ids, at = np.unique(np.array(ic + jc), return_inverse=True)
-                a_at, b_at = at[: len(ic)], at[len(ic) :]
-                count = np.zeros(len(ids), np.int64)
-                count[a_at] += mask @ np.array(jm, np.int64)
-                if i != j:
-                    count[b_at] += np.array(im, np.int64) @ mask
-                root = np.arange(len(ids))
-                while True:  # smallest label over links, until nothing changes
-                    a, b = root[a_at], root[b_at]
-                    new_a = np.minimum(a, np.where(mask, b, len(ids)).min(1))
-                    new_b = np.minimum(b, np.where(mask, new_a[:, None], len(ids)).min(0))
-                    if (new_a == a).all() and (new_b == b).all():
-                        break
-                    np.minimum.at(root, a_at, new_a)
-                    np.minimum.at(root, b_at, new_b)
-                some = np.flatnonzero(count)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(count[some]), pa.array(ids[root[some]])], names=["cid", "links", "root"])
-
-    return both.mapInArrow(run, f"cid {cid}, links long, root {cid}")
+    def linked(ic, im, x, jc, jm, y, same: bool) -> pa.RecordBatch | None:
+        g = unit(x) @ unit(y).T
+        mask = g >= cosine
+        for a, b in np.argwhere(np.abs(g - cosine) < 1e-9):  # rounding could decide: by the plain formula
+            mask[a, b] = (x[a] * y[b]).sum() / np.sqrt((x[a] * x[a]).sum() * (y[b] * y[b]).sum()) >= cosine
+        if same:
+            mask &= mask.T
+            np.fill_diagonal(mask, False)
+        if not mask.any():
+            return None
+        ids = ic if same else ic + jc
+        a_at = np.arange(len(ic))
+        b_at = a_at if same else len(ic) + np.arange(len(jc))
+        count = np.zeros(len(ids), np.int64)
+        count[a_at] += mask @ jm
+        if not same:
+            count[b_at] += im @ mask
+        root = np.arange(len(ids))
+        while True:  # smallest label over links, until nothing changes
+            a, b = root[a_at], root[b_at]
+            new_a = np.minimum(a, np.where(mask, b, len(ids)).min(1))
+            new_b = np.minimum(b, np.where(mask, new_a[:, None], len(ids)).min(0))
+            if (new_a == a).all() and (new_b == b).all():
+                break
+            np.minimum.at(root, a_at, new_a)
+            np.minimum.at(root, b_at, new_b)
+        some = np.flatnonzero(count)
+        return pa.RecordBatch.from_arrays([pa.array([ids[k] for k in some]), pa.array(count[some]), pa.array([ids[k] for k in root[some]])], names=["cid", "links", "root"])
+
+    def run(tile: pa.Table) -> pa.Table:
+        held = {}
+        for block, dim, cids, ms, x in zip(*(tile.column(c).to_pylist() for c in ("block", "dim", "cids", "ms", "x"))):
+            held[block] = cids, np.array(ms, np.int64), np.frombuffer(x, np.float64).reshape(-1, dim)
+        out = []
+        for i, partners in zip(tile.column("block").to_pylist(), tile.column("partners").to_pylist()):
+            out.extend(linked(*held[i], *held[j], i == j) for j in partners)
+        schema = pa.schema([("cid", pa.string()), ("links", pa.int64()), ("root", pa.string())])
+        return pa.Table.from_batches([b for b in out if b is not None], schema)
+
+    return dealt.groupBy("ti", "tj").applyInArrow(run, "cid string, links long, root string")
 
 
 def link_vectors(vectors: DataFrame, cosine: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """(id, n_links, component_id, kept), one row for each input row."""
     epsilon = float(np.sqrt(2 - 2 * cosine))
-    usable, points = vertices(vectors, id_col, vector_col, label_col)
+    rows = materialize(named_rows(vectors, id_col, vector_col, label_col), "vector-rows")
+    points = rows.where("cid is not null").groupBy("cid").agg(F.any_value("label").alias("label"), F.any_value("dim").alias("dim"), F.any_value("x").alias("x"), F.min("id").alias("id"), F.count("*").alias("m"))
     points = materialize(points, "vertices")
-    picked = points.orderBy(F.xxhash64("cid"), "cid").limit(sample).select("v").collect()
-    axes = principal([r.v for r in picked], DIMENSIONS)
+    picked = points.orderBy("cid").limit(sample).select("x").collect()
+    axes = principal([np.frombuffer(r.x, np.float64) for r in picked], DIMENSIONS)
     blocks = sequence_blocks(points, axes, epsilon, block)
     pairs = materialize(near_blocks(blocks, epsilon), "block-pairs")
-    found = materialize(compare_blocks(pairs.repartition("i", "j"), blocks, cosine), "vector-links")
+    found = materialize(compare_blocks(pairs, blocks, cosine), "vector-links")
     counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
     comps = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b"))).select(F.col("a").alias("cid"), F.col("b").alias("root"))
-    named = points.join(counts, "cid", "left").join(comps, "cid", "left")
-    named = named.select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("links"), F.coalesce("root", "cid").alias("root"))
-    done = usable.join(named, ["label", "v"]).select("id", "links", "root")
-    rows = vectors.select(F.col(id_col).alias("id"))
-    several = done.groupBy("id").agg(F.max("links").alias("links"), F.min("root").alias("root"))
-    out = rows.join(several, "id", "left").select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "id").alias("component_id"))
+    named = points.select("cid", "id", "m").join(counts, "cid", "left").join(comps, "cid", "left")
+    named = materialize(named.select("cid", "id", "m", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("links"), F.coalesce("root", "cid").alias("root")), "named")
+    least = materialize(named.groupBy("root").agg(F.min("id").alias("least"), F.count("*").alias("c")), "least")
+    done = spread_join(named, least, ["root"], "c").select("cid", "m", "links", "least")
+    ids = rows.select("id", "cid")
+    linked = spread_join(ids.where("cid is not null"), materialize(done, "done"), ["cid"], "m").select("id", "links", "least")
+    apart = ids.where("cid is null").select("id", F.lit(0).cast("long").alias("links"), F.col("id").alias("least"))
+    out = linked.unionByName(apart).select(F.col("id").alias(id_col), F.col("links").alias("n_links"), F.col("least").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
 
 
