@@ -10,8 +10,9 @@ Scripts, styles, comments, markup and what browsers never show as text are no bl
 white space inside a block becomes one blank, and content blocks are joined in page order by one blank.
 
 Defined cases: html that is null, empty or without content gives an empty text; unclosed tags, comments and scripts run
-to the end of the page; rows repeat as in the input; an empty table gives an empty result; input columns besides those
-named are neither read nor returned.
+to the end of the page, quotes in a tag count only after an equals sign, ``<!-->`` and ``<!--->`` are whole comments; pages
+of any length and depth are read in time linear in their length; rows repeat as in the input; an empty table gives an
+empty result; input columns besides those named are neither read nor returned.
 """
 
 from __future__ import annotations
@@ -31,9 +32,6 @@ from pyspark.sql import functions as F
 from .common import text_batches, text_or_empty
 
 WEIGHTS = 1 << 14
-#: Innermost ancestors whose names count; deeper nesting keeps the outermost and these.
-DEPTH = 8
-
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style".split())
@@ -49,7 +47,8 @@ IMPLIED = {
 }
 _CLOSES_P = (frozenset({"p"}), frozenset({"div", "article", "section", "main", "td", "li", "body", "blockquote", "aside", "form"}))
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+#: Quotes hold a value only directly after an equals sign; elsewhere in a tag they are characters like others.
+_TAG = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|=)*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[A-Za-z]{2,}")
 _RAW_END = {t: re.compile(rf"</{t}\b", re.I) for t in RAW}
@@ -95,6 +94,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[Path] = []
     seen: set[int] = set()  # buckets of the open elements
+    opened: dict[str, int] = {}  # open elements by name: a name that isn't open is never searched for
     text: list[str] = []
     linked, link, hidden, at = 0, 0, 0, 0
 
@@ -119,6 +119,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal hidden
         for element in stack[k:]:
             hidden -= element.tag in NEVER
+            opened[element.tag] -= 1
             seen.difference_update(element.new)
         del stack[k:]
 
@@ -128,6 +129,7 @@ def blocks(page: str) -> list[Block]:
         buckets = {*_element(tag, attributes), _pair(outer.tag, tag)} if outer else {*_element(tag, attributes)}
         stack.append(Path(tag, outer, tuple(buckets - seen)))
         seen.update(buckets)
+        opened[tag] = opened.get(tag, 0) + 1
         hidden += tag in NEVER
 
     m = _TAG.search(page, 0)
@@ -153,20 +155,26 @@ def blocks(page: str) -> list[Block]:
                     flush()
             else:
                 flush()
-                if closing:
+                if closing and not opened.get(tag):
+                    pass
+                elif closing:
                     for k in range(len(stack) - 1, -1, -1):
                         if stack[k].tag == tag:
                             pop_to(k)
                             break
                 else:
                     ends, bounds = IMPLIED.get(tag, _CLOSES_P)
-                    cut = len(stack)
-                    for k in range(len(stack) - 1, -1, -1):
-                        if stack[k].tag in bounds:
-                            break
-                        if stack[k].tag in ends:
-                            cut = k
-                    pop_to(cut)
+                    left = sum(opened.get(t, 0) for t in ends)
+                    if left:
+                        cut = len(stack)
+                        for k in range(len(stack) - 1, -1, -1):
+                            if stack[k].tag in bounds:
+                                break
+                            if stack[k].tag in ends:
+                                cut, left = k, left - 1
+                                if not left:
+                                    break
+                        pop_to(cut)
                     if not m.group(3).endswith("/"):
                         push(tag, m.group(3))
         m = _TAG.search(page, at)

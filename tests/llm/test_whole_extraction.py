@@ -32,3 +32,23 @@ def test_nested_texts_cost_linear_time():
     model, began = extraction.trained(), time.process_time()
     extraction.main_text("".join(f"<div class='c{k} n{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676 % 26)}'>text {k}" for k in range(15_000)), model)
     assert time.process_time() - began < 10
+
+
+def test_quotes_in_tags_and_short_comments_lose_nothing():
+    model = extraction.trained()
+    prose = ["The ver unde mo listan quever the on.", "Enla reverun the osté staver io cheun.", "Mo li un de io cheun the last one."]
+    plain = "".join(f"<p>{p}</p>" for p in prose)
+    assert extraction.main_text(f"<body><article>{plain}</article>", model) == " ".join(prose)
+    for odd in ("<img alt=Tom's src=a.png>", "<hr o'clock>", '<img alt=5"tall>', "<!-->", "<!--->", "<!-- a > b -->", "<!-- x --!>", "<img alt='a > b' x=\"c > d\">", "<hr x = 'a>b'>", "<img a=\"it's\">"):
+        page = f"<body><article><p>{prose[0]}</p>{odd}<p>{prose[1]}</p><p>{prose[2]}</p></article>"
+        assert extraction.main_text(page, model) == " ".join(prose), odd
+    assert [b.text for b in extraction.blocks("<p>a<p title=\"never closed > b")] == ["a"]
+
+
+def test_deep_pages_cost_linear_time():
+    model = extraction.trained()
+    for tag, n in (("<div>x", 50_000), ("<div>", 50_000), ("unknown names", 0), ("</i></b></section>", 50_000), ("<p>x<b1>", 50_000)):
+        page = "".join(f"<x{k}>y" for k in range(50_000)) if not n else tag * n
+        began = time.process_time()
+        extraction.main_text(page, model)
+        assert time.process_time() - began < 5, tag
