@@ -253,8 +253,10 @@ def test_warc_round_trip(spark):
         kind = re.search(rb"WARC-Type: (\w+)", head).group(1).decode()
         assert rest[n : n + 4] == b"\r\n\r\n"
         found[kind, rest[:n].decode()] += 1
+        assert not n or int(re.search(rb"Content-Length: (\d+)", rest).group(1)) == n - rest.index(b"\r\n\r\n") - 4
         data = rest[n + 4 :]
-    assert found == collections.Counter({("response", "<p>x</p>"): 1, ("revisit", ""): 4, ("response", ""): 1, ("response", "é\r\n\r\ny"): 1})
+    block = lambda t: f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(t.encode())}\r\n\r\n{t}"
+    assert found == collections.Counter({("response", block("<p>x</p>")): 1, ("revisit", ""): 4, ("response", block("")): 1, ("response", block("é\r\n\r\ny")): 1})
     all_responses = tempfile.mkdtemp() + "/w"
     warc.write(pages, all_responses, min_bytes=100)
     assert warc.read_index(spark, all_responses).where("record_type <> 'response'").count() == 0
