@@ -27,6 +27,10 @@ def _grams(token: Column, n: int) -> Column:
 def word_tokens(text: Column) -> Column:
     """Lower-cased ASCII words; runs of ideographs as overlapping pairs, single ones as they are."""
     found = F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
+    return F.when(~text.rlike(r"[\x{4e00}-\x{9fff}]"), found).otherwise(_with_pairs(found))
+
+
+def _with_pairs(found: Column) -> Column:
     return F.flatten(F.transform(found, lambda t: F.when(t.rlike(r"^[\x{4e00}-\x{9fff}]{2,}$"), _grams(t, 2)).otherwise(F.array(t))))
 
 
@@ -69,6 +73,15 @@ def line_windows(bounded: Column, size: int = WINDOW_LINES, step: int = WINDOW_S
     return F.transform(starts, lambda s: F.struct((s + 1).alias("start_line"), F.slice(bounded, s + 1, F.lit(size)).alias("lines")))
 
 
+def windowed_tokens(bounded: Column, size: int = WINDOW_LINES, step: int = WINDOW_STEP) -> Column:
+    """array<struct<start_line, lettered, tokens>>: the windows of line_windows() with their word tokens; a line is tokenised once."""
+    told = F.transform(bounded, lambda line: F.struct(line.rlike(LETTER).alias("lettered"), word_tokens(line).alias("tokens")))
+    starts = F.when(F.size(bounded) > 0, F.sequence(F.lit(0), F.size(bounded) - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
+    part = lambda lines: lambda s: F.slice(lines, s + 1, F.lit(size))
+    whole = lambda lines: F.transform(starts, lambda s: F.struct((s + 1).alias("start_line"), F.exists(part(lines)(s), lambda x: x["lettered"]).alias("lettered"), F.flatten(F.transform(part(lines)(s), lambda x: x["tokens"])).alias("tokens")))
+    return F.flatten(F.transform(F.array(told), whole))
+
+
 def sentences(text: Column) -> Column:
     """Pieces after each end mark or line break, trimmed, without blank ones."""
     pieces = F.regexp_extract_all(text, F.lit(r"[^。！？.!?\n]*[。！？.!?\n]|[^。！？.!?\n]+$"), F.lit(0))

@@ -2,19 +2,18 @@
 
 All tokens of a passage are its query; every passage is a query, every document and vector is searched. Where
 dense and lexical rankings meet, a passage takes the vector with its number as its own and a vector stands for the
-document with its number: the tables share no other key.
+document with its number: the tables share no other key. A document's source stands for its title, and of pages the
+html title and address describe them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrylight.functions.text import bounded_lines, blank_tokens, line_windows, word_tokens
-from quarrylight.operators import dense, evaluation, fusion, lexical
+from quarrylight.functions.text import blank_tokens, bounded_lines, clean, folded, lexical_tokens, windowed_tokens, word_tokens
+from quarrylight.operators import dense, evaluation, fusion, lexical, web
 
-#: Only in the SQL below, which asks for a passage's first tokens; the queries ask for all.
-TERMS = 12
 K = 6
 
 
@@ -30,11 +29,10 @@ def _asked(spark: SparkSession, sf: str, tokens=word_tokens) -> DataFrame:
     return lexical.query_terms(_t(spark, sf, "benchmark"), tokens(F.col("text")))
 
 
-def _scored(spark: SparkSession, sf: str, plus: bool, docs: DataFrame | None = None, tokens=word_tokens) -> DataFrame:
-    kept = _tokens(_t(spark, sf, "documents") if docs is None else docs, tokens)
-    posted = lexical.postings(kept)
-    idf = (lexical.plus_idf if plus else lexical.okapi_idf)(lexical.document_frequencies(posted), lexical.corpus_totals(kept))
-    return lexical.bm25(posted, idf, _asked(spark, sf, tokens), plus)
+def _best(spark: SparkSession, sf: str, k: int, plus: bool = True, docs: DataFrame | None = None, tokens=word_tokens, allowed_col: str | None = None) -> DataFrame:
+    """The k best documents of each passage: (item_id, doc_id, score, rank)."""
+    docs = _tokens(_t(spark, sf, "documents") if docs is None else docs, tokens)
+    return lexical.top_k(lexical.search(docs, _asked(spark, sf, tokens), plus, k, allowed_col=allowed_col), k)
 
 
 def _shown(ranked: DataFrame) -> DataFrame:
@@ -42,51 +40,98 @@ def _shown(ranked: DataFrame) -> DataFrame:
 
 
 def product_search(spark: SparkSession, sf: str) -> DataFrame:
-    """Line windows by BM25 with at most two of a document before the others, best window first."""
-    docs = _t(spark, sf, "documents")
-    windows = docs.select("doc_id", F.explode(line_windows(bounded_lines(F.col("text")))).alias("w")).select("doc_id", F.col("w.start_line").alias("start_line"), F.array_join("w.lines", "\n").alias("text"))
-    windows = windows.where(F.col("text").rlike(r"[A-Za-z\x{4e00}-\x{9fff}]")).withColumn("key", F.concat_ws(":", F.format_string("%012d", "doc_id"), F.format_string("%06d", "start_line")))
-    kept = lexical.with_tokens(windows, word_tokens(F.col("text")))
-    posted = lexical.postings(kept, "key")
-    idf = lexical.plus_idf(lexical.document_frequencies(posted), lexical.corpus_totals(kept))
-    scored = lexical.bm25(posted, idf, _asked(spark, sf), True, id_col="key")
-    out = lexical.diverse_top(scored.withColumn("doc_id", F.substring_index("key", ":", 1).cast("long")), "doc_id", 2, K, id_col="key")
-    return out.select("item_id", "doc_id", F.substring_index("key", ":", -1).cast("long").alias("start_line"), F.col("place").cast("long").alias("place"), F.round("score", 6).alias("score"))
+    """Line windows, led by the title, by BM25; at most two of a document before the others, best window first."""
+    docs = _t(spark, sf, "documents").select("doc_id", "source", F.explode(windowed_tokens(bounded_lines(F.col("text")))).alias("w")).where("w.lettered")
+    windows = docs.select("doc_id", F.col("w.start_line").cast("long").alias("start_line"), F.concat(word_tokens(F.col("source")), F.col("w.tokens")).alias("t"))
+    found = lexical.search(lexical.with_tokens(windows, F.col("t")), _asked(spark, sf), True, 2 + K, id_cols=("doc_id", "start_line"), group_col="doc_id")
+    out = lexical.diverse_top(found, "doc_id", 2, K, id_cols=("doc_id", "start_line"))
+    return out.select("item_id", "doc_id", "start_line", F.col("place").cast("long").alias("place"), "score")
 
 
 def bm25_stats(spark: SparkSession, sf: str) -> DataFrame:
-    posted = lexical.postings(_tokens(_t(spark, sf, "documents")))
-    return posted.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    """Document and corpus frequency of every term."""
+    return lexical.term_counts(_tokens(_t(spark, sf, "documents")))
 
 
 def bm25_plus_topk(spark: SparkSession, sf: str) -> DataFrame:
-    return _shown(lexical.top_k(_scored(spark, sf, True), K))
+    """The best documents of each passage by BM25 with a floor for terms that a document lacks."""
+    return _shown(_best(spark, sf, K))
 
 
 def bm25_okapi_topk(spark: SparkSession, sf: str) -> DataFrame:
-    return _shown(lexical.top_k(_scored(spark, sf, False, tokens=blank_tokens), K))
+    """The best documents by plain BM25 on tokens between blanks."""
+    return _shown(_best(spark, sf, K, plus=False, tokens=blank_tokens))
 
 
 def scoped_bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The scope filters before statistics are taken."""
-    return _shown(lexical.top_k(_scored(spark, sf, True, _t(spark, sf, "documents").where("lang = 'en'")), K))
+    return _shown(_best(spark, sf, K, docs=_t(spark, sf, "documents").where("lang = 'en'")))
 
 
 def routed_bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The route filters after scoring with the statistics of the whole corpus."""
-    scope = _t(spark, sf, "documents").where("lang = 'en'").select("doc_id")
-    return _shown(lexical.top_k(_scored(spark, sf, True).join(scope, "doc_id", "left_semi"), K))
+    docs = _t(spark, sf, "documents").withColumn("may", F.coalesce(F.col("lang") == "en", F.lit(False)))
+    return _shown(_best(spark, sf, K, docs=docs, allowed_col="may"))
 
 
 def diversified_topk(spark: SparkSession, sf: str) -> DataFrame:
-    sources = _t(spark, sf, "documents").select("doc_id", "source")
-    return lexical.diverse_top(_scored(spark, sf, True).join(sources, "doc_id"), "source", 2, K).select("item_id", "doc_id", "source", F.col("place").cast("long").alias("place"))
+    """At most two documents of a source before the others."""
+    found = lexical.search(_tokens(_t(spark, sf, "documents")), _asked(spark, sf), True, 2 + K, group_col="source")
+    return lexical.diverse_top(found, "source", 2, K).select("item_id", "doc_id", "source", F.col("place").cast("long").alias("place"))
+
+
+def _pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages as documents: title and address describe them, title and plain body are searched; tokens with inner joiners."""
+    html = F.col("html")
+    pages = _t(spark, sf, "pages").select("page_id", "url", clean(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"), web.plain(html).alias("body"))
+    both = pages.select("page_id", folded(F.concat_ws(" ", "title", "url")).alias("d"), folded(F.concat_ws("\n", "title", "body")).alias("b"))
+    return both.select("page_id", lexical_tokens(F.col("d")).alias("descriptor"), lexical_tokens(F.col("b")).alias("t"))
+
+
+def _folded_queries(spark: SparkSession, sf: str) -> DataFrame:
+    texts = _t(spark, sf, "benchmark").select("item_id", folded(F.col("text")).alias("text"))
+    return lexical.query_terms(texts, lexical_tokens(F.col("text")))
+
+
+def _routes(spark: SparkSession, sf: str) -> DataFrame:
+    descriptors = _pages(spark, sf).select("page_id", F.explode(F.array_distinct("descriptor")).alias("term"))
+    return lexical.router(descriptors, _folded_queries(spark, sf), group_col="page_id")
 
 
 def doc_router(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _t(spark, sf, "documents")
-    descriptors = docs.select("source", F.explode(F.array_distinct(word_tokens(F.col("text")))).alias("term")).distinct()
-    return lexical.router(descriptors, _asked(spark, sf)).select("item_id", "source", F.round("score", 6).alias("score"))
+    """Pages that a passage names by distinctive words of their titles and addresses."""
+    return _routes(spark, sf).select("item_id", "page_id", F.round("score", 6).alias("score"))
+
+
+def _routed_lexical(spark: SparkSession, sf: str, k: int) -> DataFrame:
+    """The k best pages of each passage among those it is routed to, or all; then positive scores only."""
+    docs = lexical.with_tokens(_pages(spark, sf), F.col("t"))
+    found = lexical.search(docs, _folded_queries(spark, sf), False, k, id_cols=("page_id",), routes=_routes(spark, sf).select("item_id", "page_id"))
+    return lexical.top_k(found, k, id_col="page_id").where("score > 0")
+
+
+def lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Routed lexical search of pages by words with inner joiners; documents without a positive score go after the cut."""
+    return _routed_lexical(spark, sf, K).select("item_id", "page_id", F.col("rank").cast("long").alias("rank"), "score")
+
+
+def routed_fusion(spark: SparkSession, sf: str) -> DataFrame:
+    """Dense and lexical rankings of routed pages, fused by weighted reciprocal ranks; with each branch's rank and score."""
+    routes = _routes(spark, sf).select("item_id", "page_id")
+    pages = _t(spark, sf, "pages").select("page_id")
+    near = _item_dense(spark, sf, pages.count()).select("item_id", F.col("doc_id").alias("page_id"), "score").join(pages, "page_id", "left_semi")
+    asked = routes.select("item_id").distinct().withColumn("routed", F.lit(True))
+    near = near.join(asked, "item_id", "left").join(routes.withColumn("to", F.lit(True)), ["item_id", "page_id"], "left").where("routed is null or to")
+    dense_20 = lexical.top_k(near.select("item_id", "page_id", "score"), 20, id_col="page_id")
+    return _branches(dense_20, _routed_lexical(spark, sf, 20), 0.4, 4).join(asked, "item_id", "left").select("*", F.coalesce("routed", F.lit(False)).alias("metadata_routed")).drop("routed")
+
+
+def _branches(dense_20: DataFrame, lexical_20: DataFrame, weight: float, k: int) -> DataFrame:
+    side = lambda df, name: df.select("item_id", "page_id", F.col("rank").cast("long").alias(f"{name}_rank"), F.round("score", 6).alias(f"{name}_score"))
+    both = side(dense_20, "dense").join(side(lexical_20, "lexical"), ["item_id", "page_id"], "full")
+    part = lambda w, c: F.coalesce(F.lit(w) / (fusion.RANK_OFFSET + F.col(c)), F.lit(0.0))
+    scored = both.withColumn("score", part(weight, "dense_rank") + part(1 - weight, "lexical_rank"))
+    return lexical.top_k(scored, k, id_col="page_id").withColumn("rank", F.col("rank").cast("long")).withColumn("score", F.round("score", 6))
 
 
 def _vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -130,23 +175,26 @@ def _item_dense(spark: SparkSession, sf: str, k: int) -> DataFrame:
 
 
 def rrf_equal(spark: SparkSession, sf: str) -> DataFrame:
-    rankings = [(_item_dense(spark, sf, 20), 1.0), (lexical.top_k(_scored(spark, sf, True), 20), 1.0)]
+    """Both rankings fused by reciprocal ranks of equal weight."""
+    rankings = [(_item_dense(spark, sf, 20), 1.0), (_best(spark, sf, 20), 1.0)]
     return _shown(lexical.top_k(fusion.reciprocal_ranks(rankings, "item_id", "doc_id"), K))
 
 
 def rrf_weighted(spark: SparkSession, sf: str) -> DataFrame:
-    rankings = [(_item_dense(spark, sf, 20), 0.4), (lexical.top_k(_scored(spark, sf, True), 20), 0.6)]
+    """The same with weights."""
+    rankings = [(_item_dense(spark, sf, 20), 0.4), (_best(spark, sf, 20), 0.6)]
     return _shown(lexical.top_k(fusion.reciprocal_ranks(rankings, "item_id", "doc_id"), 4))
 
 
 def alpha_fusion(spark: SparkSession, sf: str) -> DataFrame:
-    fused = fusion.weighted(_item_dense(spark, sf, 20), lexical.top_k(_scored(spark, sf, False, tokens=blank_tokens), 20), 0.7, "item_id", "doc_id")
+    """Scores of both sides, normalised and weighted."""
+    fused = fusion.weighted(_item_dense(spark, sf, 20), _best(spark, sf, 20, plus=False, tokens=blank_tokens), 0.7, "item_id", "doc_id")
     return _shown(lexical.top_k(fused, K))
 
 
 def experiment_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """Share of toxic-labelled hits and mean score for each weight of the dense side."""
-    d, x = _item_dense(spark, sf, 20), lexical.top_k(_scored(spark, sf, True), 20)
+    """Number of hits, share of those labelled good, and mean score, for each weight of the dense side."""
+    d, x = _item_dense(spark, sf, 20), _best(spark, sf, 20)
     labels = _t(spark, sf, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     runs = None
     for alpha in (0.3, 0.5, 0.7, 1.0):
@@ -159,16 +207,16 @@ def experiment_summary(spark: SparkSession, sf: str) -> DataFrame:
 def eval_term_hit(spark: SparkSession, sf: str) -> DataFrame:
     """Whether one of the first four documents has all terms of the query."""
     kept = _tokens(_t(spark, sf, "documents"))
-    hits = lexical.top_k(_scored(spark, sf, True), 4).join(kept.select("doc_id", "tokens"), "doc_id")
+    hits = _best(spark, sf, 4).join(kept.select("doc_id", "tokens"), "doc_id")
     return evaluation.term_hits(hits, _asked(spark, sf).select("item_id", "term"))
 
 
 _W = r"[a-z0-9_]+|[\x{4e00}-\x{9fff}]+"
 
 
-def _bm25_sql(plus: bool, where: str = "", words: bool = True) -> str:
+def _bm25_sql(plus: bool, where: str = "", words: bool = True, tok: str = "") -> str:
     """Common table expressions up to s(item_id, doc_id, score)."""
-    tok = f"regexp_extract_all(lower(text), '{_W}')" if words else r"list_filter(string_split_regex(lower(text), '\s+'), lambda t: t <> '')"
+    tok = tok or f"regexp_extract_all(lower(text), '{_W}')" if words else tok or r"list_filter(string_split_regex(lower(text), '\s+'), lambda t: t <> '')"
     idf = "ln((n + 1) / df)" if plus else "CASE WHEN ln(n - df + 0.5) - ln(df + 0.5) < 0 THEN 0.25 * avg(ln(n - df + 0.5) - ln(df + 0.5)) OVER () ELSE ln(n - df + 0.5) - ln(df + 0.5) END"
     base = " + (SELECT sum(qf * idf) FROM a WHERE a.item_id = x.item_id)" if plus else ""
     return f"""
@@ -176,7 +224,7 @@ t AS (SELECT doc_id, CASE WHEN len({tok}) > 0 THEN {tok} ELSE ['_empty_'] END AS
 p AS (SELECT doc_id, dl, term, count(*) AS tf FROM (SELECT doc_id, len(tokens) AS dl, unnest(tokens) AS term FROM t) GROUP BY ALL),
 z AS (SELECT count(*)::DOUBLE AS n, avg(len(tokens)::DOUBLE) AS avgdl FROM t),
 i AS (SELECT term, avgdl, {idf} AS idf FROM (SELECT term, count(*) AS df FROM p GROUP BY term), z),
-q AS (SELECT item_id, term, count(*) AS qf FROM (SELECT item_id, unnest(list_slice({tok}, 1, {TERMS})) AS term FROM benchmark) GROUP BY ALL),
+q AS (SELECT item_id, term, count(*) AS qf FROM (SELECT item_id, unnest({tok}) AS term FROM benchmark) GROUP BY ALL),
 a AS (SELECT item_id, term, qf, idf, avgdl FROM q JOIN i USING (term)),
 x AS (SELECT item_id, doc_id, sum(qf * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))) AS score FROM p JOIN a USING (term) GROUP BY item_id, doc_id),
 s AS (SELECT item_id, doc_id, score{base} AS score FROM x)"""
@@ -209,27 +257,42 @@ def _fused(alpha: str) -> str:
     return f"SELECT item_id, doc_id, {alpha} * coalesce(a.v, 0) + (1 - {alpha}) * coalesce(b.v, 0) AS score FROM ({_norm('d')}) a FULL JOIN ({_norm('l')}) b USING (item_id, doc_id)"
 
 
-QUERIES = {f.__name__: f for f in (product_search, bm25_stats, bm25_plus_topk, bm25_okapi_topk, scoped_bm25_topk, routed_bm25_topk, diversified_topk, doc_router, dense_topk, dense_threshold, dense_label_recall, mmr_topk, rrf_equal, rrf_weighted, alpha_fusion, experiment_summary, eval_term_hit)}
+QUERIES = {f.__name__: f for f in (product_search, bm25_stats, bm25_plus_topk, bm25_okapi_topk, scoped_bm25_topk, routed_bm25_topk, diversified_topk, doc_router, lexical_search, routed_fusion, dense_topk, dense_threshold, dense_label_recall, mmr_topk, rrf_equal, rrf_weighted, alpha_fusion, experiment_summary, eval_term_hit)}
+
+_LINES = r"""b0 AS (SELECT doc_id, source, CASE WHEN text = '' THEN [] WHEN l[-1] = '' THEN l[:-2] ELSE l END AS l FROM (SELECT doc_id, source, text, string_split_regex(text, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]') AS l FROM documents)),
+b AS (SELECT doc_id, source, flatten(list_transform(l, lambda s: list_transform(range(0, greatest(len(s), 1), 300), lambda k: substr(s, k + 1, 300)))) AS l FROM b0),
+w AS (SELECT doc_id, source, st + 1 AS start_line, array_to_string(list_slice(l, st + 1, st + 24), chr(10)) AS text FROM (SELECT doc_id, source, l, unnest(range(0, len(l), 16)) AS st FROM b)),
+documents AS (SELECT printf('%012d', doc_id) || ':' || printf('%09d', start_line) AS doc_id, source || ' ' || text AS text FROM w WHERE regexp_matches(text, '[A-Za-z\x{4e00}-\x{9fff}]'))"""
 
-_LINES = r"""b0 AS (SELECT doc_id, CASE WHEN text = '' THEN [] WHEN l[-1] = '' THEN l[:-2] ELSE l END AS l FROM (SELECT doc_id, text, string_split_regex(text, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]') AS l FROM documents)),
-b AS (SELECT doc_id, flatten(list_transform(l, lambda s: list_transform(range(0, greatest(len(s), 1), 300), lambda k: substr(s, k + 1, 300)))) AS l FROM b0),
-w AS (SELECT doc_id, st + 1 AS start_line, array_to_string(list_slice(l, st + 1, st + 24), chr(10)) AS text FROM (SELECT doc_id, l, unnest(range(0, len(l), 16)) AS st FROM b)),
-documents AS (SELECT printf('%012d', doc_id) || ':' || printf('%06d', start_line) AS doc_id, text FROM w WHERE regexp_matches(text, '[A-Za-z\x{4e00}-\x{9fff}]'))"""
+#: Pages routed to: o(item_id, page_id, score); and their okapi scores after routing: g(item_id, doc_id, score).
+_T3 = r"regexp_extract_all(replace(lower({}), 'ß', 'ss'), '[a-z0-9]+(?:[._+#/-][a-z0-9]+)*|[\x{{3400}}-\x{{9fff}}]+')"
+_ROUTED = rf"""pg AS (SELECT page_id, url, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')) AS title,
+trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<title[^>]*>.*?</title>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS body FROM pages),
+ds AS (SELECT DISTINCT page_id, unnest({_T3.format("title || ' ' || url")}) AS term FROM pg),
+nn AS (SELECT count(DISTINCT page_id) AS n FROM ds), f AS (SELECT term, ln((n + 1) / (count(*) + 1)::DOUBLE) + 1 AS w FROM ds, nn GROUP BY term, n HAVING n >= 2 AND count(*) <= greatest(1, n // 3)),
+dq AS (SELECT DISTINCT item_id, unnest({_T3.format("text")}) AS term FROM benchmark),
+h AS (SELECT item_id, page_id, sum(w) AS score FROM dq JOIN f USING (term) JOIN ds USING (term) GROUP BY ALL),
+o AS (SELECT * FROM h QUALIFY max(score) OVER (PARTITION BY item_id) > 0 AND round(score, 6) >= round(0.8::DOUBLE * max(score) OVER (PARTITION BY item_id), 6))"""
+_PAGES_BM25 = f"""t AS (SELECT page_id AS doc_id, {_T3.format("title || chr(10) || body")} AS tokens FROM pg),
+{_bm25_sql(False, tok=_T3.format("text")).split("FROM documents ),", 1)[1]},
+g AS (SELECT s.* FROM s WHERE item_id NOT IN (SELECT item_id FROM o) OR (item_id, doc_id) IN (SELECT (item_id, page_id) FROM o))"""
 
 ORACLES = {
-    "product_search": f"WITH {_LINES}, {_bm25_sql(True)}, r AS ({_ranked('', 20)}), e AS (SELECT item_id, split_part(doc_id, ':', 1)::BIGINT AS d, split_part(doc_id, ':', 2)::BIGINT AS start_line, rank, score, row_number() OVER (PARTITION BY item_id, split_part(doc_id, ':', 1) ORDER BY rank) AS nth FROM r) "
-    f"SELECT item_id, d AS doc_id, start_line, row_number() OVER (PARTITION BY item_id ORDER BY nth > 2, rank) AS place, round(score, 6) AS score FROM e QUALIFY place <= {K}",
+    "product_search": f"WITH {_LINES}, {_bm25_sql(True)}, e AS (SELECT item_id, split_part(doc_id, ':', 1)::BIGINT AS d, split_part(doc_id, ':', 2)::BIGINT AS start_line, score, row_number() OVER (PARTITION BY item_id, split_part(doc_id, ':', 1) ORDER BY round(score, 6) DESC, doc_id) AS nth FROM s) "
+    f"SELECT item_id, d AS doc_id, start_line, row_number() OVER (PARTITION BY item_id ORDER BY nth > 2, round(score, 6) DESC, d, start_line) AS place, round(score, 6) AS score FROM e QUALIFY place <= {K}",
     "bm25_stats": f"WITH {_bm25_sql(True)} SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM p GROUP BY term",
     "bm25_plus_topk": _top_sql(_bm25_sql(True)),
     "bm25_okapi_topk": _top_sql(_bm25_sql(False, words=False)),
     "scoped_bm25_topk": _top_sql(_bm25_sql(True, "WHERE lang = 'en'")),
     "routed_bm25_topk": _top_sql(_bm25_sql(True) + ", o AS (SELECT * FROM s WHERE doc_id IN (SELECT doc_id FROM documents WHERE lang = 'en'))", name="o"),
-    "diversified_topk": f"WITH {_bm25_sql(True)}, r AS ({_ranked('', 20)}), e AS (SELECT r.*, source, row_number() OVER (PARTITION BY item_id, source ORDER BY rank) AS nth FROM r JOIN documents USING (doc_id)) SELECT item_id, doc_id, source, row_number() OVER (PARTITION BY item_id ORDER BY nth > 2, rank) AS place FROM e QUALIFY place <= {K}",
-    "doc_router": f"""WITH d AS (SELECT DISTINCT source, unnest(regexp_extract_all(lower(text), '{_W}')) AS term FROM documents),
-n AS (SELECT count(DISTINCT source) AS n FROM d), f AS (SELECT term, ln((n + 1) / (count(*) + 1)::DOUBLE) + 1 AS w FROM d, n GROUP BY term, n HAVING n >= 2 AND count(*) <= greatest(1, n // 3)),
-q AS (SELECT DISTINCT item_id, unnest(list_slice(regexp_extract_all(lower(text), '{_W}'), 1, {TERMS})) AS term FROM benchmark),
-h AS (SELECT item_id, source, sum(w) AS score FROM q JOIN f USING (term) JOIN d USING (term) GROUP BY ALL)
-SELECT item_id, source, round(score, 6) AS score FROM h QUALIFY max(score) OVER (PARTITION BY item_id) > 0 AND round(score, 6) >= round(0.8::DOUBLE * max(score) OVER (PARTITION BY item_id), 6)""",
+    "diversified_topk": f"WITH {_bm25_sql(True)}, e AS (SELECT s.*, source, row_number() OVER (PARTITION BY item_id, source ORDER BY round(score, 6) DESC, doc_id) AS nth FROM s JOIN documents USING (doc_id)) SELECT item_id, doc_id, source, row_number() OVER (PARTITION BY item_id ORDER BY nth > 2, round(score, 6) DESC, doc_id) AS place FROM e QUALIFY place <= {K}",
+    "doc_router": f"WITH {_ROUTED} SELECT item_id, page_id, round(score, 6) AS score FROM o",
+    "lexical_search": f"WITH {_ROUTED}, {_PAGES_BM25}, r AS ({_ranked('', K, 'g')}) SELECT item_id, doc_id AS page_id, rank, round(score, 6) AS score FROM r WHERE round(score, 6) > 0",
+    "routed_fusion": f"""WITH {_ROUTED}, {_PAGES_BM25}, l AS (SELECT * FROM ({_ranked('', 20, 'g')}) WHERE round(score, 6) > 0), u AS ({_UNIT}),
+c AS (SELECT a.vec_id AS item_id, b.vec_id AS doc_id, list_dot_product(a.v, b.v) / (a.n * b.n) AS score FROM u a JOIN benchmark ON item_id = a.vec_id CROSS JOIN u b WHERE b.vec_id IN (SELECT page_id FROM pages)
+  AND (a.vec_id NOT IN (SELECT item_id FROM o) OR (a.vec_id, b.vec_id) IN (SELECT (item_id, page_id) FROM o))), d AS ({_ranked('', 20, 'c')}),
+y AS (SELECT item_id, doc_id, d.rank AS dense_rank, round(d.score, 6) AS dense_score, l.rank AS lexical_rank, round(l.score, 6) AS lexical_score, coalesce(0.4::DOUBLE / (60 + d.rank), 0) + coalesce(0.6::DOUBLE / (60 + l.rank), 0) AS score FROM d FULL JOIN l USING (item_id, doc_id))
+SELECT item_id, doc_id AS page_id, dense_rank, dense_score, lexical_rank, lexical_score, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) AS rank, round(score, 6) AS score, item_id IN (SELECT item_id FROM o) AS metadata_routed FROM y QUALIFY rank <= 4""",
     "dense_topk": f"WITH {_NEAR} SELECT query_id, vec_id, rank, round(cosine, 6) AS cosine FROM r WHERE rank <= 5",
     "dense_threshold": f"WITH {_NEAR} SELECT query_id, vec_id, round(cosine, 6) AS cosine FROM r WHERE rank <= 8 AND round(cosine, 6) >= 0.35",
     "dense_label_recall": f"WITH {_NEAR}, m AS (SELECT query_id, gold, min(CASE WHEN label = gold THEN rank END) AS first FROM r WHERE rank <= 5 GROUP BY ALL) SELECT gold, count(*) AS cases, round(avg((first IS NOT NULL)::INT), 6) AS recall, round(avg(coalesce(1.0::DOUBLE / first, 0)), 6) AS mrr FROM m GROUP BY gold",

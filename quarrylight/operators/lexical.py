@@ -1,15 +1,28 @@
-"""Lexical ranking: postings, corpus statistics and BM25, by joins on terms.
+"""Lexical ranking: corpus statistics and BM25 for a stated set of queries, in two passes over the documents.
 
-Postings are aggregated before they are shuffled; queries meet documents only through equal terms.
+The queries' terms are counted and go to the tasks; documents stay where they are. The first pass counts how many
+documents have each of those terms, and all documents and tokens. The second counts terms inside each document, scores a
+batch of documents against all queries as one matrix product, and returns a task's best rows of each query. Only those
+are shuffled. Query sets of more than PASS terms are asked in several passes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 K1, B, DELTA, EPSILON = 1.5, 0.75, 1.0, 0.25
 EMPTY = "_empty_"
+#: Most (query, term) rows that one pass asks for; most cells (documents x tokens) and queries of a matrix in a task.
+PASS, CELLS = 2_000_000, 8_000_000
+ITEMS = 256
 
 
 def with_tokens(docs: DataFrame, tokens: Column) -> DataFrame:
@@ -17,30 +30,11 @@ def with_tokens(docs: DataFrame, tokens: Column) -> DataFrame:
     return docs.withColumn("tokens", F.when(F.size(tokens) > 0, tokens).otherwise(F.array(F.lit(EMPTY))))
 
 
-def postings(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, dl, term, tf)."""
-    terms = docs.select(id_col, F.size("tokens").cast("long").alias("dl"), F.explode("tokens").alias("term"))
-    return terms.groupBy(id_col, "dl", "term").agg(F.count("*").alias("tf"))
-
-
-def corpus_totals(docs: DataFrame) -> DataFrame:
-    """One row: n documents, avgdl."""
-    return docs.agg(F.count("*").alias("n"), F.avg(F.size("tokens").cast("double")).alias("avgdl"))
-
-
-def document_frequencies(posted: DataFrame) -> DataFrame:
-    return posted.groupBy("term").agg(F.count("*").alias("df"))
-
-
-def plus_idf(frequencies: DataFrame, totals: DataFrame) -> DataFrame:
-    return frequencies.crossJoin(F.broadcast(totals)).select("term", "n", "avgdl", F.log((F.col("n") + 1) / F.col("df")).alias("idf"))
-
-
-def okapi_idf(frequencies: DataFrame, totals: DataFrame) -> DataFrame:
-    """Negative values are replaced by a share of the mean over all terms."""
-    raw = frequencies.crossJoin(F.broadcast(totals)).select("term", "n", "avgdl", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"))
-    mean = raw.agg(F.avg("raw").alias("mean"))
-    return raw.crossJoin(F.broadcast(mean)).select("term", "n", "avgdl", F.when(F.col("raw") < 0, EPSILON * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
+def term_counts(docs: DataFrame) -> DataFrame:
+    """(term, df, cf) of all terms: documents that have it, and its occurrences. Tasks add up before the one shuffle, on the term."""
+    has = docs.select(F.explode(F.array_distinct("tokens")).alias("term"), F.lit(1).alias("d"), F.lit(0).alias("c"))
+    all_ = docs.select(F.explode("tokens").alias("term"), F.lit(0).alias("d"), F.lit(1).alias("c"))
+    return has.unionByName(all_).groupBy("term").agg(F.sum("d").alias("df"), F.sum("c").alias("cf"))
 
 
 def query_terms(queries: DataFrame, tokens: Column, id_col: str = "item_id") -> DataFrame:
@@ -48,20 +42,163 @@ def query_terms(queries: DataFrame, tokens: Column, id_col: str = "item_id") ->
     return queries.select(id_col, F.explode(tokens).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("qf"))
 
 
-def bm25(posted: DataFrame, idf: DataFrame, terms: DataFrame, plus: bool, query_col: str = "item_id", id_col: str = "doc_id") -> DataFrame:
-    """(query, id, score) of documents that share a term with the query.
-
-    With plus, a term that a document lacks still counts delta * idf, so the constant of all query terms known to the
-    corpus is added per query.
+@dataclass
+class Asked:
+    """Queries of one pass: ids, terms, and postings (term, query, qf) in the order of terms."""
+
+    ids: list
+    terms: list[str]
+    term: np.ndarray
+    query: np.ndarray
+    qf: np.ndarray
+
+
+def passes(terms: DataFrame, query_col: str) -> Iterator[Asked]:
+    """The query set as passes of bounded size; a query's terms are all in one pass."""
+    n = max(1, -(-terms.count() // PASS))
+    for k in range(n):
+        part = terms if n == 1 else terms.where(F.pmod(F.xxhash64(query_col), F.lit(n)) == k)
+        table = part.select(query_col, "term", F.col("qf").cast("double").alias("qf")).toArrow().combine_chunks()
+        if table.num_rows:
+            ids, words = (table.column(c).combine_chunks().dictionary_encode() for c in (query_col, "term"))
+            term, query = words.indices.to_numpy(), ids.indices.to_numpy()
+            order = np.lexsort((query, term))
+            yield Asked(ids.dictionary.to_pylist(), words.dictionary.to_pylist(), term[order], query[order], table.column("qf").to_numpy()[order])
+
+
+def _batches(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """Slices of batches whose documents times tokens, in the lists at column ``at``, stay within CELLS; or one document."""
+    for b in batches:
+        ends = b.column(at).offsets.to_numpy().astype(np.int64)
+        start = 0
+        while start < b.num_rows:
+            cells = (ends[start + 1 :] - ends[start]) * np.arange(1, b.num_rows - start + 1)
+            n = max(1, int(np.searchsorted(cells, CELLS, "right")))
+            yield b.slice(start, n)
+            start += n
+
+
+def _matched(lists: pa.ListArray, terms: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, occurrences) of queried terms in each list, and the lists' lengths."""
+    sizes = np.diff(lists.offsets.to_numpy())
+    codes = pc.fill_null(pc.index_in(lists.flatten(), value_set=terms), -1).to_numpy()
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    known = codes >= 0
+    keys, tf = np.unique(rows[known].astype(np.int64) * len(terms) + codes[known], return_counts=True)
+    return keys // len(terms), keys % len(terms), tf, sizes
+
+
+def statistics(docs: DataFrame, asked: Asked) -> tuple[int, float, np.ndarray]:
+    """(documents, mean length, document frequency of each asked term). A task returns one row for each term it has met."""
+    shared = docs.sparkSession.sparkContext.broadcast(asked.terms)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = pa.array(shared.value, pa.string())
+        df, n, tokens = np.zeros(len(terms), np.int64), 0, 0
+        for b in _batches(batches, 0):
+            _, term, _, sizes = _matched(b.column(0), terms)
+            df += np.bincount(term, minlength=len(terms))
+            n, tokens = n + len(sizes), tokens + int(sizes.sum())
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, -2, some]), pa.array(np.r_[n, tokens, df[some]])], names=["term", "c"])
+
+    found = {r["term"]: r["c"] for r in docs.select("tokens").mapInArrow(run, "term long, c long").groupBy("term").agg(F.sum("c").alias("c")).collect()}
+    n, tokens = found.pop(-1, 0), found.pop(-2, 0)
+    df = np.zeros(len(asked.terms))
+    df[list(found)] = list(found.values())
+    return n, tokens / n if n else 0.0, df
+
+
+def plus_idf(n: int, df: np.ndarray) -> np.ndarray:
+    return np.where(df > 0, np.log((n + 1) / np.maximum(df, 1)), 0.0)
+
+
+def okapi_idf(docs: DataFrame, n: int, df: np.ndarray) -> np.ndarray:
+    """Negative values are replaced by a share of the mean over all terms of the corpus, one aggregate over their frequencies."""
+    each = docs.select(F.explode(F.array_distinct("tokens")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    mean = each.agg(F.avg(F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("m")).first()["m"] or 0.0
+    raw = np.log(n - df + 0.5) - np.log(df + 0.5)
+    return np.where(df > 0, np.where(raw < 0, EPSILON * mean, raw), 0.0)
+
+
+def search(docs: DataFrame, terms: DataFrame, plus: bool, k: int, query_col: str = "item_id", id_cols: tuple[str, ...] = ("doc_id",), group_col: str | None = None, allowed_col: str | None = None, routes: DataFrame | None = None) -> DataFrame:
+    """(query, ids, group, score): rows of documents that share a term with the query, k of the best of each query and task at least.
+
+    docs: id_cols (numbers), tokens, maybe a group and whether a document may be found (it counts in the statistics
+    anyhow). With a group: k of the best of each query, group and task. Scores are rounded to 6 places, of equal ones
+    the smaller ids come first. With plus, a term that a document lacks still counts delta * idf. With routes (query,
+    id), a query that occurs there finds only documents that it is routed to.
     """
-    asked = terms.join(idf, "term")
-    length = F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl"))
-    score = F.col("qf") * F.col("idf") * F.col("tf") * (K1 + 1) / length
-    shared = posted.join(asked, "term").groupBy(query_col, id_col).agg(F.sum(score).alias("score"))
-    if not plus:
-        return shared
-    constant = asked.groupBy(query_col).agg(F.sum(F.col("qf") * DELTA * F.col("idf")).alias("base"))
-    return shared.join(constant, query_col).select(query_col, id_col, (F.col("score") + F.col("base")).alias("score"))
+    spark, out = docs.sparkSession, None
+    extra = [c for c in (group_col,) if c and c not in id_cols]
+    columns = [*id_cols, *extra]
+    kinds = {c: docs.schema[c].dataType.simpleString() for c in columns}
+    query_kind = terms.schema[query_col].dataType
+    schema = f"`{query_col}` {query_kind.simpleString()}, " + ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", score double"
+    routed: set = set()
+    if routes is not None:  # at most as many routed queries as queries, and so long lists of them
+        routed = {r[0] for r in routes.select(query_col).distinct().collect()}
+        by_doc = routes.groupBy(id_cols[0]).agg(F.collect_set(query_col).alias("__to"))
+        docs = docs.join(by_doc, id_cols[0], "left")
+    to = F.col("__to") if routes is not None else F.lit(None).cast(ArrayType(query_kind))
+    given = docs.select(*columns, "tokens", (F.col(allowed_col) if allowed_col else F.lit(True)).alias("__may"), to.alias("__to"))
+    at, may, ids_at = len(columns), len(columns) + 1, range(len(id_cols))
+    for asked in passes(terms, query_col):
+        n, mean, df = statistics(docs, asked)
+        idf = plus_idf(n, df) if plus else okapi_idf(docs, n, df)
+        base = np.bincount(asked.query, asked.qf * DELTA * idf[asked.term] * plus, len(asked.ids))
+        shared = spark.sparkContext.broadcast((asked, idf, mean, base))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            asked, idf, mean, base = shared.value
+            words = pa.array(asked.terms, pa.string())
+            first = np.searchsorted(asked.term, np.arange(len(words) + 1))
+            for b in _batches(batches, at):
+                row, term, tf, sizes = _matched(b.column(at), words)
+                keep = b.column(may).to_numpy(zero_copy_only=False)[row]
+                row, term, tf = row[keep], term[keep], tf[keep]
+                if not len(row):
+                    continue
+                here, row = np.unique(row, return_inverse=True)
+                there, term = np.unique(term, return_inverse=True)
+                weight, has = np.zeros((len(here), len(there))), np.zeros((len(here), len(there)), np.float32)
+                weight[row, term] = idf[there[term]] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[here[row]] / mean))
+                has[row, term] = 1
+                n_postings = first[there + 1] - first[there]
+                local = np.repeat(np.arange(len(there)), n_postings)
+                posting = np.repeat(first[there] - (np.cumsum(n_postings) - n_postings), n_postings) + np.arange(len(local))
+                ids = [b.column(c).to_numpy(zero_copy_only=False)[here] for c in ids_at]
+                group = np.unique(b.column(columns.index(group_col)).take(pa.array(here)).to_pandas().astype(str), return_inverse=True)[1] if group_col else np.zeros(len(here), int)
+                reach = None
+                if routed:  # which documents each query may find
+                    number = {x: k for k, x in enumerate(asked.ids)}
+                    reach = np.ones((len(here), len(asked.ids)), bool)
+                    reach[:, [number[x] for x in routed if x in number]] = False
+                    for d, items in enumerate(b.column(may + 1).take(pa.array(here)).to_pylist()):
+                        reach[d, [number[x] for x in items or () if x in number]] = True
+                for begin in range(0, len(asked.ids), ITEMS):
+                    mine = (asked.query[posting] >= begin) & (asked.query[posting] < begin + ITEMS)
+                    if not mine.any():
+                        continue
+                    table, told = np.zeros((len(there), ITEMS)), np.zeros((len(there), ITEMS), np.float32)
+                    table[local[mine], asked.query[posting[mine]] - begin] = asked.qf[posting[mine]]
+                    told[local[mine], asked.query[posting[mine]] - begin] = 1
+                    met = has @ told > 0
+                    if reach is not None:
+                        met[:, : reach.shape[1] - begin] &= reach[:, begin : begin + ITEMS]
+                    d, q = np.nonzero(met)
+                    score = np.round((weight @ table)[d, q] + base[np.minimum(begin + q, len(base) - 1)], 6)
+                    order = np.lexsort((*(i[d] for i in reversed(ids)), -score, group[d], q))
+                    d, q, score = d[order], q[order], score[order]
+                    new = np.r_[True, (q[1:] != q[:-1]) | (group[d][1:] != group[d][:-1])]
+                    nth = np.arange(len(q)) - np.maximum.accumulate(np.where(new, np.arange(len(q)), 0))
+                    best = nth < k
+                    d, q, score = pa.array(here[d[best]]), q[best] + begin, score[best]
+                    yield pa.RecordBatch.from_arrays([pa.array([asked.ids[x] for x in q]), *(b.column(c).take(d) for c in range(len(columns))), pa.array(score)], names=[query_col, *columns, "score"])
+
+        found = given.mapInArrow(run, schema)
+        out = found if out is None else out.unionByName(found)
+    return spark.createDataFrame([], schema) if out is None else out
 
 
 def top_k(scored: DataFrame, k: int, query_col: str = "item_id", id_col: str = "doc_id", score_col: str = "score") -> DataFrame:
@@ -77,13 +214,13 @@ def diversified(ranked: DataFrame, group_col: str, cap: int, k: int, query_col:
     return ranked.withColumn("__nth", nth).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("__nth")
 
 
-def diverse_top(scored: DataFrame, group_col: str, cap: int, k: int, query_col: str = "item_id", id_col: str = "doc_id", score_col: str = "score") -> DataFrame:
+def diverse_top(scored: DataFrame, group_col: str, cap: int, k: int, query_col: str = "item_id", id_cols: tuple[str, ...] = ("doc_id",), score_col: str = "score") -> DataFrame:
     """diversified() over all of a query's scored rows, in the order of top_k(), without ranking them all.
 
     Among the k are at most k of a group's rows beyond its first ``cap``, so its best cap + k decide; Spark cuts each
     task's rows to those before the shuffle.
     """
-    best = [F.round(score_col, 6).desc(), id_col]
+    best = [F.round(score_col, 6).desc(), *id_cols]
     nth = F.row_number().over(Window.partitionBy(query_col, group_col).orderBy(*best))
     first = scored.withColumn("__nth", nth).where(F.col("__nth") <= cap + k)
     order = Window.partitionBy(query_col).orderBy(F.col("__nth") > cap, *best)

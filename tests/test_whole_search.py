@@ -45,8 +45,11 @@ def test_later_terms_count_in_routes_and_hits(spark, long_passage):
 
 
 def test_router_sees_later_terms(spark, tmp_path):
-    docs = [(k, text, "en", f"s{k}") for k, text in enumerate(("plain words", "w14 words", "plain text", "some text", "some other", "more"))]
-    assert [r.source for r in search.doc_router(spark, tables(spark, tmp_path, docs, [ASKED])).collect()] == ["s1"]
+    titles = ("plain words", "w14 words", "plain text", "some text", "some other", "more")
+    sf = tables(spark, tmp_path, [(1, "x", "en", "a")], [ASKED])
+    spark.createDataFrame([(k, f"http://h/{k}", f"<title>{t}</title><p>w1 body of {t}") for k, t in enumerate(titles)], "page_id long, url string, html string").write.parquet(f"{sf}/pages.parquet")
+    assert [r.page_id for r in search.doc_router(spark, sf).collect()] == [1]
+    assert [r.page_id for r in search.lexical_search(spark, sf).collect()] == [1]
 
 
 def test_no_group_fills_the_places_of_others(spark, tmp_path):
