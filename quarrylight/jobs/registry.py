@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import corpus, runs, search
+from . import corpus, records, runs, search
 
-MODULES = [search, corpus, runs]
+MODULES = [search, corpus, records, runs]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

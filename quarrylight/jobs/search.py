@@ -118,11 +118,14 @@ def lexical_search(spark: SparkSession, sf: str) -> DataFrame:
 def routed_fusion(spark: SparkSession, sf: str) -> DataFrame:
     """Dense and lexical rankings of routed pages, fused by weighted reciprocal ranks; with each branch's rank and score."""
     routes = _routes(spark, sf).select("item_id", "page_id")
-    pages = _t(spark, sf, "pages").select("page_id")
-    near = _item_dense(spark, sf, pages.count()).select("item_id", F.col("doc_id").alias("page_id"), "score").join(pages, "page_id", "left_semi")
     asked = routes.select("item_id").distinct().withColumn("routed", F.lit(True))
-    near = near.join(asked, "item_id", "left").join(routes.withColumn("to", F.lit(True)), ["item_id", "page_id"], "left").where("routed is null or to")
-    dense_20 = lexical.top_k(near.select("item_id", "page_id", "score"), 20, id_col="page_id")
+    v = _vectors(spark, sf).select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    items = _t(spark, sf, "benchmark").select("item_id").join(v.select(F.col("vec_id").alias("item_id"), "embedding"), "item_id")
+    paged = v.join(_t(spark, sf, "pages").select(F.col("page_id").alias("vec_id")), "vec_id", "left_semi")
+    free = dense.nearest(items.join(asked, "item_id", "left_anti"), paged, 20, query_col="item_id", include_self=True).select("item_id", F.col("vec_id").alias("page_id"), F.col("cosine").alias("score"))
+    pairs = routes.join(items, "item_id").join(paged.select(F.col("vec_id").alias("page_id"), F.col("embedding").alias("other")), "page_id")
+    near = pairs.select("item_id", "page_id", dense.cosine(F.col("embedding"), F.col("other")).alias("score")).unionByName(free)
+    dense_20 = lexical.top_k(near, 20, id_col="page_id")
     return _branches(dense_20, _routed_lexical(spark, sf, 20), 0.4, 4).join(asked, "item_id", "left").select("*", F.coalesce("routed", F.lit(False)).alias("metadata_routed")).drop("routed")
 
 

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 2048
@@ -71,13 +71,21 @@ def diverse(candidates: DataFrame, vectors: DataFrame, k: int = 4, weight: float
     return joined.groupBy(query_col).applyInPandas(choose, f"{query_col} {kinds[0]}, {id_col} {kinds[1]}, place int")
 
 
+def dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+
+def cosine(a: Column, b: Column) -> Column:
+    """Of two double arrays."""
+    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+
+
 def adjacent_similarity(vectors: DataFrame, group_col: str, order_col: str, vector_col: str = "embedding") -> DataFrame:
     """Adds sim: the cosine with the row before it in its group; null at the first."""
     w = Window.partitionBy(group_col).orderBy(order_col)
     v = F.col(vector_col).cast("array<double>")
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     before = F.lag(v).over(w)
-    return vectors.withColumn("sim", dot(v, before) / F.sqrt(dot(v, v) * dot(before, before)))
+    return vectors.withColumn("sim", cosine(v, before))
 
 
 def segments(similar: DataFrame, group_col: str, order_col: str, share: float = 0.3, longest: int = 10) -> DataFrame:
