@@ -94,11 +94,11 @@ def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], count_col: s
     A key with more than 1/SHARE of all rows is hot. There are at most SHARE of those, so they are broadcast and their
     rows stay where they are; the others shuffle, and no task gets more than that share of rows for one key.
     """
-    total = table.agg(F.sum(count_col)).first()[0] or 0
-    limit = max(FEW, total // SHARE)
-    hot = table.where(F.col(count_col) > limit)
-    if hot.isEmpty():
+    total, most = table.agg(F.sum(count_col), F.max(count_col)).first()
+    limit = max(FEW, (total or 0) // SHARE)
+    if (most or 0) <= limit:
         return rows.join(table, keys, how)
+    hot = table.where(F.col(count_col) > limit)
     near = rows.join(F.broadcast(hot), keys)
     rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(table.where(F.col(count_col) <= limit), keys, how)
     return near.unionByName(rest)

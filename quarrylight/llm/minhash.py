@@ -219,8 +219,8 @@ def _blocks(members: DataFrame, rule: Rule) -> DataFrame:
     by a hash, and each block goes to the tasks of all blocks of the other side.
     """
     sizes = members.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    per = materialize(sizes.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m")), "sizes")
-    sided = spread_join(members, per, ["key"], "m").withColumn("outside", F.col("comp") != F.col("top.comp"))
+    per = sizes.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"))
+    sided = members.join(per, "key").withColumn("outside", F.col("comp") != F.col("top.comp"))
     cut = lambda c: F.greatest(F.lit(1), F.ceil(c / rule.block)).cast("int")
     sided = sided.withColumn("nu", cut(F.col("m") - F.col("top.c"))).withColumn("nv", cut(F.col("m")))
     spread = lambda c: F.pmod(F.xxhash64("fp", "key"), c).cast("int")
@@ -340,14 +340,13 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _with_components(members: DataFrame, comps: DataFrame) -> DataFrame:
     """Adds each member's component and keeps the buckets that hold several."""
     named = members.join(comps.select(F.col("a").alias("fp"), F.col("b").alias("c")), "fp", "left").select("key", "fp", F.coalesce("c", "fp").alias("comp"))
-    named = materialize(named, "named")
-    several = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m")).where("x <> y").select("key", "m")
-    return spread_join(named, materialize(several, "several"), ["key"], "m").select("key", "fp", "comp")
+    several = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
+    return named.join(several, "key", "left_semi")
 
 
 def links(docs: DataFrame, sketch: DataFrame, rule: Rule, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(classes, components of classes): fp, n, rep (smallest id), size; and (a, b) as components() gives them."""
-    classes = sketch.where("fp is not null").groupBy("fp").agg(F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig"), F.any_value("keys").alias("keys"))
+    classes = sketch.where("fp is not null").groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("size"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig"), F.any_value("keys").alias("keys"))
     classes = materialize(classes, "classes")
     banded = classes.select("fp", F.explode("keys").alias("key"))
     shared = materialize(banded.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "buckets")
@@ -360,8 +359,8 @@ def links(docs: DataFrame, sketch: DataFrame, rule: Rule, id_col: str, text_col:
             sizes = open_.groupBy("key", "comp").count()
             top = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("top"))
             pool = open_.join(top, "key").where("comp <> top")
-        pivots = materialize(pool.groupBy("key").agg(least).join(open_.groupBy("key").agg(F.count("*").alias("m")), "key"), "pivots")
-        pairs = _ordered(spread_join(open_, pivots, ["key"], "m").select(F.col("fp").alias("a"), F.col("pivot").alias("b")))
+        pivots = materialize(pool.groupBy("key").agg(least), "pivots")  # a table of its own: a skewed join without a grouping can be split
+        pairs = _ordered(open_.join(pivots, "key").select(F.col("fp").alias("a"), F.col("pivot").alias("b")))
         kept = materialize(prune(pairs, classes, rule), "survivors")
         comps = _joined_by(comps, confirm(kept, classes, docs, rule, id_col, text_col))
         open_ = materialize(_with_components(members, comps), "open")
@@ -392,12 +391,11 @@ def groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_co
     sketch = materialize(sketches(docs, rule, id_col, text_col), "sketch")
     classes, comps = links(docs, sketch, rule, id_col, text_col)
     named = classes.select("fp", "rep").join(comps.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    named = materialize(named, "roots")
-    least = materialize(named.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("c")), "least")
-    of_class = spread_join(named, least, ["root"], "c").select("fp", "component_id")
+    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    of_class = named.join(least, "root").select("fp", "component_id")
+    sized = materialize(of_class.join(classes.select("fp", "size"), "fp"), "of-class")
     rows = sketch.groupBy("id", "n", "fp").agg(F.count("*").cast("int").alias("m"))
-    sized = materialize(of_class.join(rows.where("fp is not null").groupBy("fp").agg(F.count("*").alias("c")), "fp"), "of-class")
-    joined = spread_join(rows, sized, ["fp"], "c", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("m"))))
+    joined = spread_join(rows, sized, ["fp"], "size", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("m"))))
     component = F.when(F.col("fp").isNull(), F.col("id")).otherwise(F.col("component_id"))
     kept = F.col("fp").isNull() | (F.col("id").eqNullSafe(component) & (F.col("copy") == 1))
     return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
