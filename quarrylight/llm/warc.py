@@ -88,8 +88,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     record = lambda block: F.concat(F.col("header").cast("binary"), block, F.lit(b"\r\n\r\n")).alias("record")
     revisit = field("WARC-Type") == "revisit"
     own = headers.where(~revisit)
-    sized = payloads.join(own.groupBy("sha256").agg(F.count("*").alias("__uses")), "sha256")
-    whole = spread_join(own, materialize(sized, "warc-used"), ["sha256"], "__uses", "left").select("page_id", "sha256", "header", record(F.col("payload")))
+    uses = materialize(own.groupBy("sha256").agg(F.count("*").alias("__uses")), "warc-uses")
+    whole = spread_join(own, payloads.join(uses, "sha256"), ["sha256"], "__uses", "left").select("page_id", "sha256", "header", record(F.col("payload")))
     return whole.unionByName(headers.where(revisit).select("page_id", "sha256", "header", record(F.lit(b""))))
 
 
