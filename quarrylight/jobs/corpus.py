@@ -90,7 +90,8 @@ def chunk_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def read_window(spark: SparkSession, sf: str) -> DataFrame:
-    return reading.read_lines(_t(spark, sf, "documents"))
+    """The first 100 bounded lines of every document within the budget."""
+    return reading.read_lines(_t(spark, sf, "documents")).withColumn("text", F.sha2("text", 256))
 
 
 def section_window(spark: SparkSession, sf: str) -> DataFrame:
@@ -159,10 +160,9 @@ substr(sha256(text), 1, 24) AS chunk_key FROM {_L}""",
     "corpus_audit": "SELECT lang, count(*) AS files, sum(strlen(text))::BIGINT AS bytes, sum(length(text))::BIGINT AS chars, bool_and(length(text) > 0) AS all_filled, count(DISTINCT sha256(text)) AS contents FROM documents GROUP BY lang",
     "exact_duplicates": "SELECT sha256(text) AS sha, count(*) AS copies, min(doc_id) AS first_id, max(doc_id) AS last_id FROM documents GROUP BY 1 HAVING count(*) > 1",
     "chunk_statistics": f"SELECT source, count(*) AS chunks, min(length(x)) AS shortest, max(length(x)) AS longest, round(avg(length(x)), 2) AS mean_chars FROM (SELECT source, array_to_string(wl, chr(10)) AS x FROM {_WIN}) GROUP BY source",
-    "read_window": f"""WITH x AS (SELECT doc_id, generate_subscripts(ls, 1) AS pos, unnest(ls) AS line FROM {_L}),
-u AS (SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos) AS used FROM x)
-SELECT doc_id, 1::BIGINT AS start_line, count(*) FILTER (pos <= 100 AND (used <= 10000 OR pos = 1)) AS lines_read, sum(CASE WHEN pos <= 100 AND (used <= 10000 OR pos = 1) THEN length(line) ELSE 0 END)::BIGINT AS chars_read,
-CASE WHEN count(*) FILTER (pos <= 100 AND (used <= 10000 OR pos = 1)) < count(*) THEN 1 + count(*) FILTER (pos <= 100 AND (used <= 10000 OR pos = 1)) END AS next_start_line FROM u GROUP BY doc_id""",
+    "read_window": f"""WITH x AS (SELECT doc_id, len(bl) AS n, list_slice(bl, 1, 100) AS c FROM {_B} WHERE len(bl) > 0),
+u AS (SELECT doc_id, n, c, len(list_filter(range(1, len(c) + 1), lambda k: list_sum(list_transform(list_slice(c, 1, k), lambda s: len(s) + 1)) <= 10000)) AS m FROM x)
+SELECT doc_id, 1::BIGINT AS start_line, m AS lines_read, coalesce(list_sum(list_transform(list_slice(c, 1, m), lambda s: len(s))), 0)::BIGINT AS chars_read, CASE WHEN 1 + m <= n THEN 1 + m END AS next_start_line, sha256(array_to_string(list_slice(c, 1, m), chr(10))) AS text FROM u""",
     "page_snapshot": r"""WITH s AS (SELECT page_id, url, html, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')) AS title,
 regexp_extract_all(html, '(?is)<h[1-3][^>]*>(.*?)</h[1-3]>', 1) AS heads, list_distinct(regexp_extract_all(html, '(?i)<a\s[^>]*href="([^"#]*)', 1)) AS links,
 trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<title[^>]*>.*?</title>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS body FROM pages)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrylight.functions.text import word_tokens
+from quarrylight.jobs.shared import folder
 from quarrylight.operators import decisions, evaluation, events, web
 from quarrylight.streaming import events as streams
 
@@ -17,11 +15,6 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="quarrylight-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def stage_telemetry(spark: SparkSession, sf: str) -> DataFrame:
     return events.stage_times(_t(spark, sf, "events"))
 
@@ -44,14 +37,14 @@ def event_sessions(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_steps(spark: SparkSession, sf: str) -> DataFrame:
     """The stateful reducer over the events as a stream: the last state of each run."""
-    base = _folder(spark, "steps")
+    base = folder(spark, "steps")
     out = streams.drain(streams.step_states(streams.read(spark, f"{sf}/events.parquet"), None), f"{base}/out", f"{base}/state")
     return out.groupBy("user_id").agg(F.max_by("last_phase", "steps").alias("last_phase"), F.max("steps").alias("steps"))
 
 
 def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Windows over the events as a stream with a watermark; those that the watermark has closed are out."""
-    base = _folder(spark, "windows")
+    base = folder(spark, "windows")
     timed = streams.read(spark, f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     out = streams.drain(events.windowed(timed), f"{base}/out", f"{base}/state")
     return out.withColumn("begin", F.col("begin").cast("timestamp_ntz"))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 #: Separators from coarse to fine; the first ones with whether a piece keeps the separator at its end.
 PLAIN = (("\n\n", False), ("\n", False), ("。", True), (".", True), ("！", True), ("!", True), ("？", True), ("?", True), ("；", True), (";", True), ("，", True), (",", True), (" ", False), ("", False))
 MERGED = ("\n\n", "\n", "。", "；", "！", "？", "，", "、", " ", "")
-END_MARKS = "。！？.!?，,；;"
+PAGED = ("\n\n", "\n", "。", ". ", " ", "")
+END_MARKS = "。！？!?；;，,"
 
 
 def split_plain(text: str, size: int, separators: tuple[tuple[str, bool], ...] = PLAIN) -> list[str]:
@@ -33,65 +34,81 @@ def recursive(text: str, size: int = 512, overlap: int = 64) -> list[str]:
     return [(pieces[k - 1][-overlap:] if k and overlap else "") + p for k, p in enumerate(pieces)]
 
 
-def merging(text: str, size: int = 872, overlap: int = 160, separators: tuple[str, ...] = MERGED) -> list[tuple[int, str]]:
-    """(start, chunk): separators stay at the end of pieces, pieces are packed up to ``size`` with up to ``overlap`` carried over."""
-
-    def cut(part: str, rest: tuple[str, ...]) -> list[str]:
-        mark = next((m for m in rest if m == "" or m in part), "")
-        finer = rest[rest.index(mark) + 1 :] if mark else ()
-        found = list(part) if mark == "" else [p for p in re.split(f"(?<={re.escape(mark)})", part) if p]
-        out: list[str] = []
-        for p in found:
-            out.extend([p] if len(p) <= size or not finer else cut(p, finer))
-        return out
-
-    chunks: list[tuple[int, str]] = []
-    held: list[str] = []
-    total, at, begin = 0, 0, 0
-
-    def emit() -> None:
-        whole = "".join(held)
-        lead = len(whole) - len(whole.lstrip())
-        if whole.strip():
-            chunks.append((begin + lead, whole.strip()))
-
-    for p in cut(text, separators):
-        if held and total + len(p) > size:
-            emit()
-            while held and (total > overlap or total + len(p) > size):
-                total -= len(held[0])
-                begin += len(held.pop(0))
-        if not held:
-            begin = at
-        held.append(p)
+def _pieces(text: str, mark: str, side: str) -> list[str]:
+    """The text cut at a mark, which stays at the end of the piece before or at the start of the piece after it."""
+    if mark == "":
+        return list(text)
+    parts = text.split(mark)
+    kept = [p + mark for p in parts[:-1]] + parts[-1:] if side == "end" else parts[:1] + [mark + p for p in parts[1:]]
+    return [p for p in kept if p]
+
+
+def _packed(pieces: list[str], size: int, overlap: int) -> list[str]:
+    """Runs of pieces up to ``size``, each led by what fits of the run before in ``overlap``; trimmed, blank ones dropped."""
+    out, run, total = [], [], 0
+    for p in pieces:
+        if run and total + len(p) > size:
+            out.append("".join(run))
+            while run and (total > overlap or total + len(p) > size):
+                total -= len(run.pop(0))
+        run.append(p)
         total += len(p)
-        at += len(p)
-    if held:
-        emit()
-    return chunks
+    out.append("".join(run))
+    return [c for c in map(str.strip, out) if c]
+
+
+def merging(text: str, size: int = 872, overlap: int = 160, separators: tuple[str, ...] = MERGED, side: str = "end") -> list[tuple[int, str]]:
+    """(start, chunk): runs of pieces under ``size`` are packed together; a longer piece is cut by finer separators on its own.
+
+    Nothing is packed across such a piece. start is where the chunk is found, from the least place it can have.
+    """
+
+    def cut(part: str, marks: tuple[str, ...]) -> list[str]:
+        k = next((k for k, m in enumerate(marks) if m in part), len(marks) - 1)
+        out, run = [], []
+        for p in _pieces(part, marks[k], side):
+            if len(p) < size:
+                run.append(p)
+                continue
+            out += _packed(run, size, overlap)
+            run = []
+            out += cut(p, marks[k + 1 :]) if k + 1 < len(marks) else [p]
+        return out + _packed(run, size, overlap)
+
+    found, at, before = [], 0, 0
+    for c in cut(text, separators):
+        at = text.find(c, max(0, at + before - overlap))
+        before = len(c)
+        found.append((at, c))
+    return found
 
 
 def chunk(docs: DataFrame, mode: str = "recursive", size: int = 512, overlap: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, chunk_index, chunk) of every text; mode recursive or merging."""
+    """(id, chunk_index, start, chunk) of every text; mode recursive (start is null), merging or paged (separators of pages)."""
+
+    def one(text: str) -> list[tuple[int | None, str]]:
+        if mode == "recursive":
+            return [(None, c) for c in recursive(text, size, overlap)]
+        return merging(text, size, overlap) if mode == "merging" else merging(text, size, overlap, PAGED, "start")
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf("array<struct<start: int, chunk: string>>")
     def cut(text: pd.Series) -> pd.Series:
-        one = (lambda t: recursive(t, size, overlap)) if mode == "recursive" else (lambda t: [c for _, c in merging(t, size, overlap)])
-        return text.map(lambda t: one(t or ""))
+        return text.map(lambda t: [{"start": s, "chunk": c} for s, c in one(t or "")])
 
-    return docs.select(id_col, F.posexplode(cut(F.col(text_col))).alias("chunk_index", "chunk"))
+    return docs.select(id_col, F.posexplode(cut(F.col(text_col))).alias("chunk_index", "c")).select(id_col, "chunk_index", F.col("c.start").alias("start"), F.col("c.chunk").alias("chunk"))
 
 
 def subtitle_pieces(text: str, most: int) -> list[str]:
-    """A transcript segment in pieces: punctuation-bounded parts packed up to ``most`` characters, longer ones cut hard."""
-    parts = [p for p in re.split(f"(?<=[{END_MARKS}])", text) if p]
+    """A transcript segment in pieces: parts up to an end mark, trimmed and packed up to ``most`` characters; a longer part is cut hard on its own."""
+    if len(text) <= most:
+        return [text]
     out, held = [], ""
-    for p in parts:
-        if held and len(held) + len(p) > most:
+    for part in map(str.strip, re.findall(f"[^{END_MARKS}]+[{END_MARKS}]?", text) or [text]):
+        if len(held) + len(part) > most and held:
             out.append(held)
             held = ""
-        while len(p) > most:
-            out.append(p[:most])
-            p = p[most:]
-        held += p
+        if len(part) > most:
+            out += [part[i : i + most] for i in range(0, len(part), most)]
+        else:
+            held += part
     return out + [held] if held else out

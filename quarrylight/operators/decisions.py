@@ -36,37 +36,68 @@ def repair_decision(blocked: Column, items: Column, supported: Column, rounds: C
     )
 
 
-def report_status(status: Column, valid_ids: Column, gap: Column) -> Column:
-    """A supported or partial claim needs evidence; a supported one with a gap is partial."""
-    return F.when(status.isin("supported", "partial") & (valid_ids == 0), "unsupported").when((status == "supported") & gap.isNotNull(), "partial").otherwise(status)
+def report_status(status: Column, ids: Column, valid_ids: Column, gap: Column, next_action: Column) -> Column:
+    """struct(status, gap, next_action) of a report's item; ids: how many pieces of evidence it names, valid_ids: how many of them were read.
 
+    Claims need evidence, all of it read; only an inventory may say that the corpus lacks something; a supported item with
+    a gap is partial; gaps in the output are answered and gaps in the conditions asked about.
+    """
+    unread = ((ids == 0) | (valid_ids < ids)) & status.isin("supported", "partial")
+    missing = F.when(unread, "unknown").otherwise(gap) == "corpus_missing"
+    gap_now = F.when(unread | missing, "unknown").otherwise(gap)
+    status_now = F.when(unread | missing, "unsupported").when((status == "supported") & (gap_now != "none"), "partial").otherwise(status)
+    action = F.when(gap_now == "output", "answer").when(gap_now == "conditions", "clarify").when(unread, "stop").otherwise(next_action)
+    return F.struct(status_now.alias("status"), gap_now.alias("gap"), action.alias("next_action"))
 
-def policy_route(intent: Column, route: Column, scoped: Column, matches: Column, ready: Column, level: Column) -> Column:
-    """Where a question goes: scope first, then readiness, then the classifier's word unless the level or a scope needs research."""
-    return (
-        F.when(scoped & (matches == 0), "scope_missing")
-        .when(scoped & (matches > 1), "scope_ambiguous")
-        .when(~ready & (intent != "social"), "not_ready")
-        .when((intent == "knowledge_only") | scoped | (intent == "specific") | (level == "high"), "research")
-        .otherwise(route)
-    )
+
+#: Questions that name an interface, a version or an address.
+EXACTING = r"(?i)API.{0,20}(?:参数|支持)|(?:版本|\bv)\s*\d|https?://"
+
+
+def policy_route(question: Column, intent: Column, route: Column, knowledge_only: Column, scoped: Column, wants_scope: Column, matches: Column, preparation: Column, level: Column) -> Column:
+    """struct(route, stop_reason) of a question.
+
+    scoped: documents were chosen; wants_scope: the question names a source, matches: how many documents have it (null:
+    none named). A scope that can't be told is asked about first; research waits for a corpus that is ready, and nothing
+    else does.
+    """
+    lost = F.when(wants_scope & (matches == 0), "scope_missing").when(wants_scope & ((matches > 1) | (matches.isNull() & ~scoped)), "scope_ambiguous")
+    found = F.coalesce(wants_scope & (matches == 1), F.lit(False))
+    needs = knowledge_only | scoped | found | intent.isin("specific", "document") | question.rlike(EXACTING)
+    needs = needs | ((level == "high") & (intent != "social") & (route != "clarify"))
+    way = F.when(needs, "research").otherwise(route)
+    waits = F.when((way == "research") & (preparation != "ready"), F.concat(F.lit("corpus_"), preparation))
+    return F.struct(F.when(lost.isNotNull(), "clarify").otherwise(way).alias("route"), F.coalesce(lost, waits, F.lit("")).alias("stop_reason"))
+
+
+def answer_policy(knowledge_only: Column, scoped: Column, level: Column) -> Column:
+    """What an answer may rest on: strict (evidence read in this turn), free (marked guesses too) or marked (general knowledge as such)."""
+    return F.when(knowledge_only | scoped | (level == "high"), "strict").when(level == "low", "free").otherwise("marked")
 
 
 def bbox_metrics(elements: DataFrame, page_height: float = 792.0, margin: float = 72.0) -> DataFrame:
-    """Adds area, longer over shorter side, and whether the box lies at the page's edge; null where a box isn't four numbers."""
-    b = F.when(F.size("bbox") == 4, F.col("bbox"))
+    """Adds area, longer over shorter side, and whether the box lies within the page's upper or lower margin; null (false) without four numbers."""
+    b = F.when(F.size("bbox") >= 4, F.col("bbox"))
     at = lambda k: F.get(b, k)
     w, h = F.abs(at(2) - at(0)), F.abs(at(3) - at(1))
-    edge = (F.greatest(at(1), at(3)) > page_height - margin) | (F.least(at(1), at(3)) < margin)
+    edge = F.coalesce((at(1) >= page_height - margin) | (at(3) <= margin), F.lit(False))
     return elements.withColumn("area", w * h).withColumn("ratio", F.when(F.least(w, h) > 0, F.greatest(w, h) / F.least(w, h))).withColumn("at_edge", edge)
 
 
-def image_skip(kind: Column, has_file: Column, area: Column, ratio: Column, at_edge: Column, words: Column, context: Column, smallest: float = 4000.0, longest: float = 8.0) -> Column:
-    """The first reason to leave an image out, or null. words: its own text and captions nearby; context: text around it."""
+#: File endings of types that are no images.
+OTHER_TYPES = r"(?i)\.(?:pdf|txt|html?|json|xml|csv|md|docx?|xlsx?|pptx?|zip|mp[34]|wav)$"
+
+
+def image_skip(kind: Column, source: Column, has_file: Column, area: Column, ratio: Column, at_edge: Column, words: Column, context: Column, smallest: float = 4000.0, longest: float = 8.0) -> Column:
+    """The first reason to leave an image out, or null. words: its own text and captions nearby; context: text around it.
+
+    Images have the type image and a source; a null has_file is not looked for.
+    """
     under = lambda times: F.coalesce(area < times * smallest, F.lit(False))
     return (
-        F.when(~F.lower(kind).isin("image", "figure", "picture"), "not_image")
+        F.when((kind != "image") | (F.coalesce(source, F.lit("")) == ""), "not_image")
         .when(~has_file, "image_file_missing")
+        .when(source.rlike(OTHER_TYPES), "unsupported_mime")
         .when(under(1), "bbox_area")
         .when((ratio > longest) & under(3), "aspect_ratio_small_area")
         .when(at_edge & under(1.5), "page_edge_small_image")

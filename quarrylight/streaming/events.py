@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -25,12 +24,16 @@ def drain(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
-def step_states(events: DataFrame, timeout_ms: int | None = 180_000) -> DataFrame:
+def step_states(events: DataFrame, timeout_ms: int | None = 180_000, late: str | None = None) -> DataFrame:
     """(run, steps, last_phase, status): each run's state after each micro-batch; runs without news for timeout_ms are interrupted
     (None: never, for streams that end).
 
-    Rows that arrive again (an event id of an earlier batch or older, or one twice in a batch) change nothing.
+    An event that arrives again, in the same or a later micro-batch, counts once, and one that arrives late counts like
+    any other: what has been seen is state of the stream's own, keyed by run and event, not of a run's group. ``late``
+    bounds that state: events more than so much behind the newest are then forgotten, and dropped.
     """
+    key = ["user_id", "event_id"]
+    events = events.dropDuplicates(key) if late is None else events.withWatermark("ts", late).dropDuplicatesWithinWatermark(key)
 
     def update(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         steps, last_id, phase = state.get if state.exists else (0, -1, "")
@@ -38,15 +41,12 @@ def step_states(events: DataFrame, timeout_ms: int | None = 180_000) -> DataFram
             state.remove()
             yield pd.DataFrame({"user_id": [key[0]], "steps": [steps], "last_phase": [phase], "status": ["interrupted"]})
             return
-        known, new = last_id, [np.empty(0, np.int64)]
         for rows in frames:  # a large group comes in several frames, in no order
-            rows = rows[rows["event_id"] > known]
             if len(rows):
-                new.append(rows["event_id"].to_numpy())
+                steps += len(rows)
                 top = rows["event_id"].idxmax()
                 if rows["event_id"][top] > last_id:
                     last_id, phase = int(rows["event_id"][top]), str(rows["event_type"][top])
-        steps += len(np.unique(np.concatenate(new)))
         state.update((steps, last_id, phase))
         if timeout_ms:
             state.setTimeoutDuration(timeout_ms)

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from quarrylight.functions import text
-from quarrylight.operators import chunking, decisions, dense, fusion, layout, lexical, reading
+from quarrylight.operators import chunking, decisions, dense, fusion, layout, lexical
 
 
 def one(spark, column, value):
@@ -35,12 +35,6 @@ def test_chunkers():
     assert "".join(chunking.subtitle_pieces("a,bb.cccccc", 4)) == "a,bb.cccccc"
 
 
-def test_sections():
-    body = "# a\nx\n# b\n```\n# no\n```\ny"
-    assert reading.section(body, 4) == (3, 8, "# b\n```\n# no\n```\ny")
-    assert reading.section("x" * 20_000 + "\ny", 1)[1] == 2
-
-
 def test_fusion_and_ranking(spark):
     d = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], "item_id int, doc_id int, rank int")
     s = spark.createDataFrame([(1, 11, 1), (1, 12, 2)], "item_id int, doc_id int, rank int")
@@ -78,7 +72,28 @@ def test_layout(spark):
 def test_decisions(spark):
     c = spark.createDataFrame([("",), ("short",), ("x" * 50,), ("The text is unclear, it may show a diagram of pumps",)], "t string")
     assert [r.q for r in c.select(decisions.caption_quality(F.col("t")).alias("q")).collect()] == ["empty", "too_short", "", "uncertainty_markers"]
-    b = decisions.bbox_metrics(spark.createDataFrame([([0.0, 100.0, 10.0, 110.0],), ([1.0],)], "bbox array<double>")).collect()
-    assert b[0].area == 100.0 and b[1].area is None
-    r = spark.createDataFrame([("supported", 0, None), ("supported", 1, "gap"), ("missing", 0, None)], "s string, n int, g string")
-    assert [x.o for x in r.select(decisions.report_status(F.col("s"), F.col("n"), F.col("g")).alias("o")).collect()] == ["unsupported", "partial", "missing"]
+    boxes = [[0.0, 100.0, 10.0, 110.0], [1.0], [0.0, 50.0, 10.0, 500.0], [0.0, 10.0, 10.0, 70.0], [0.0, 725.0, 30.0, 735.0, 9.0], None]
+    b = decisions.bbox_metrics(spark.createDataFrame([(k, x) for k, x in enumerate(boxes)], "k int, bbox array<double>")).orderBy("k").collect()
+    assert [x.at_edge for x in b] == [False, False, False, True, True, False] and b[0].area == 100.0 and b[1].area is None and b[4].ratio == 3.0
+    items = [("supported", 0, 0, "none", "stop"), ("supported", 2, 1, "none", "answer"), ("supported", 1, 1, "scope", "search"), ("missing", 0, 0, "corpus_missing", "stop"), ("partial", 1, 1, "output", "read"), ("partial", 1, 1, "conditions", "read"), ("supported", 1, 1, "none", "answer")]
+    r = spark.createDataFrame(items, "s string, ids int, valid int, gap string, act string")
+    got = [tuple(x.o) for x in r.select(decisions.report_status(*map(F.col, ("s", "ids", "valid", "gap", "act"))).alias("o")).collect()]
+    assert got == [("unsupported", "unknown", "stop"), ("unsupported", "unknown", "stop"), ("partial", "scope", "search"), ("unsupported", "unknown", "stop"), ("partial", "output", "answer"), ("partial", "conditions", "clarify"), ("supported", "none", "answer")]
+    asked = [
+        ("hello there", "general", "direct", False, False, False, None, "running", "normal"),
+        ("what about v 3?", "general", "direct", False, False, False, None, "ready", "normal"),
+        ("facts", "general", "direct", False, True, False, None, "failed", "normal"),
+        ("by the guide", "document", "research", False, False, True, 0, "ready", "normal"),
+        ("by the guide", "document", "research", False, False, True, 2, "ready", "normal"),
+        ("by the guide", "document", "research", False, False, True, None, "ready", "normal"),
+        ("by the guide", "general", "direct", False, False, True, 1, "ready", "normal"),
+        ("deep", "general", "clarify", False, False, False, None, "ready", "high"),
+        ("deep", "general", "direct", False, False, False, None, "ready", "high"),
+    ]
+    p = spark.createDataFrame(asked, "q string, intent string, route string, ko boolean, scoped boolean, wants boolean, m int, prep string, lvl string")
+    got = [tuple(x.o) for x in p.select(decisions.policy_route(*map(F.col, p.columns)).alias("o")).collect()]
+    assert got == [("direct", ""), ("research", ""), ("research", "corpus_failed"), ("clarify", "scope_missing"), ("clarify", "scope_ambiguous"), ("clarify", "scope_ambiguous"), ("research", ""), ("clarify", ""), ("research", "")]
+    images = [("image", "a.png", True, 100.0, 1.0, False, "", "x" * 50), ("figure", "a.png", True, 9e4, 1.0, False, "", ""), ("image", "a.pdf", True, 9e4, 1.0, False, "", ""), ("image", "a.png", False, 9e4, 1.0, False, "", ""), ("image", "a.png", None, 9e3, 9.0, False, "", ""), ("image", "a.png", None, 5e3, 2.0, True, "", ""), ("image", "a.png", None, None, None, False, "Our Logo", ""), ("image", "a.png", None, 1e4, 1.0, False, "", "few"), ("image", "a.png", None, 9e4, 1.0, False, "logo", "")]
+    i = spark.createDataFrame(images, "kind string, src string, has boolean, area double, ratio double, edge boolean, words string, ctx string")
+    got = [x.o for x in i.select(decisions.image_skip(*map(F.col, i.columns)).alias("o")).collect()]
+    assert got == ["bbox_area", "not_image", "unsupported_mime", "image_file_missing", "aspect_ratio_small_area", "page_edge_small_image", "noise_keyword_small_image", "sparse_context_small_area", None]
