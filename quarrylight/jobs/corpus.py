@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrylight.functions.text import blank_tokens, bounded_lines, clean, folded, headings, lexical_tokens, line_windows, lines, normal_markdown, normalized_dates, sentences, short_hash, truncated, word_count, word_tokens
-from quarrylight.operators import chunking, corpus, dense, layout, reading, web
+from quarrylight.operators import captions, chunking, corpus, dense, evidence, layout, reading, web
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -131,7 +131,49 @@ def section_titles(spark: SparkSession, sf: str) -> DataFrame:
     return layout.section_titles(elements).select(F.col("doc").alias("doc_id"), F.col("index").cast("long").alias("index"), F.sha2("section_title", 256).alias("title_sha"))
 
 
-QUERIES = {f.__name__: f for f in (tokens_words, tokens_blank, tokens_lexical, windows, scalars, doc_versions, upsert_changed, index_sync, corpus_audit, exact_duplicates, chunk_statistics, read_window, section_window, recursive_chunks, merged_chunks, page_snapshot, page_links, canonical_urls, semantic_segments, section_titles)}
+def _versions(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", short_hash(F.col("text"), 20).alias("version"), "text")
+
+
+def evidence_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """Evidence read from the older state of the corpus, held against the current one; the scope is one language."""
+    docs = _t(spark, sf, "documents")
+    return evidence.validated(_versions(_stored(spark, sf)), _versions(docs), docs.where("lang = 'en'")).select("doc_id", "valid")
+
+
+def note_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Notes that name up to ten older documents each: whether those are current."""
+    noted = _versions(_stored(spark, sf)).select(F.floor(F.col("doc_id") / 10).alias("note_id"), "doc_id", "version")
+    return evidence.note_states(noted, _versions(_t(spark, sf, "documents").where("lang <> 'de'")))
+
+
+def _elements(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of documents as layout elements: pages of 8 lines; of 7 lines one is an image's caption and one a heading."""
+    rows = _t(spark, sf, "documents").select(F.col("doc_id").alias("doc"), F.posexplode(lines(F.col("text"))).alias("index", "content"))
+    kind = F.when(F.col("index") % 7 == 3, "image").when(F.col("index") % 7 == 5, "heading").otherwise("text")
+    return rows.select("doc", "index", F.floor(F.col("index") / 8).cast("int").alias("page"), kind.alias("type"), clean(F.col("content")).alias("content"), F.when(kind == "image", F.concat(F.lit("img-"), F.col("index"), F.lit(".png"))).alias("source"))
+
+
+def caption_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Every image's chunk of its own: its section, its caption and the text around it."""
+    elements = layout.section_titles(captions.with_context(_elements(spark, sf)))
+    images = elements.where("type = 'image'").select("doc", "index", "page", F.concat(F.lit("imgcap-"), F.col("index")).alias("image_id"), F.col("source").alias("path"), F.col("content").alias("caption"), "section_title", "context_before", "context_after")
+    return images.select(F.col("doc").alias("doc_id"), F.col("index").cast("long").alias("index"), F.sha2(captions.separate_content(), 256).alias("chunk_sha"), F.sha2(captions.inline_marker(), 256).alias("marker_sha"))
+
+
+def inline_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages with captions in the place of their images."""
+    elements = layout.section_titles(_elements(spark, sf))
+    known = elements.where("type = 'image'").select("doc", "index", "page", F.concat(F.lit("imgcap-"), F.col("index")).alias("image_id"), F.col("source").alias("path"), F.col("content").alias("caption"), "section_title")
+    return captions.page_documents(captions.reading_units(elements, known)).select(F.col("doc").alias("doc_id"), "page", F.sha2("text", 256).alias("text_sha"))
+
+
+def paged_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents by the splitter for pages."""
+    return chunking.chunk(_t(spark, sf, "documents"), "paged", 700, 120)
+
+
+QUERIES = {f.__name__: f for f in (tokens_words, tokens_blank, tokens_lexical, windows, scalars, doc_versions, upsert_changed, index_sync, corpus_audit, exact_duplicates, chunk_statistics, read_window, section_window, recursive_chunks, merged_chunks, page_snapshot, page_links, canonical_urls, semantic_segments, section_titles, evidence_validation, note_states, caption_chunks, inline_pages, paged_chunks)}
 
 _BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 _L = rf"(SELECT *, CASE WHEN text = '' THEN [] WHEN l[-1] = '' THEN l[:-2] ELSE l END AS ls FROM (SELECT *, string_split_regex(text, '{_BREAK}') AS l FROM documents))"
@@ -142,6 +184,8 @@ _STORED = "(SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN left(text, length(text)
 _CLEAN = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
 
 ORACLES = {
+    "evidence_validation": rf"SELECT o.doc_id, d.lang = 'en' AND d.text = o.text AND regexp_matches(o.text, '\S') AS valid FROM {_STORED} o JOIN documents d USING (doc_id)",
+    "note_states": f"SELECT o.doc_id // 10 AS note_id, CASE WHEN count(*) FILTER (d.lang = 'de') > 0 THEN 'missing' WHEN count(*) FILTER (d.text <> o.text) > 0 THEN 'stale' ELSE 'current' END AS state FROM {_STORED} o JOIN documents d USING (doc_id) GROUP BY 1",
     "tokens_words": _COUNTED.format(r"regexp_extract_all(lower(text), '[a-z0-9_]+|[\x{4e00}-\x{9fff}]+')"),
     "tokens_blank": _COUNTED.format(r"list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '')"),
     "tokens_lexical": _COUNTED.format(r"regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[a-z0-9]+(?:[._+#/-][a-z0-9]+)*|[\x{3400}-\x{9fff}]+')"),

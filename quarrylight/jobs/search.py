@@ -214,6 +214,17 @@ def eval_term_hit(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.term_hits(hits, _asked(spark, sf).select("item_id", "term"))
 
 
+def evidence_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the best documents of each passage: how often one is of the source of the document with its number, and has, with others of that source, all of the passage's terms."""
+    docs = _t(spark, sf, "documents")
+    hits = _best(spark, sf, K).join(_tokens(docs).select("doc_id", "source", "tokens"), "doc_id")
+    asked = _asked(spark, sf).select("item_id", "term")
+    gold = _t(spark, sf, "benchmark").select("item_id").join(docs.select(F.col("doc_id").alias("item_id"), F.col("source").alias("gold")), "item_id")
+    ranks = evaluation.evidence_ranks(hits, gold, asked)
+    share = lambda c: F.round(F.avg(F.col(c).cast("double")), 6)
+    return ranks.agg(F.count("*").alias("cases"), share("found").alias("source_recall"), share("evidence").alias("evidence_recall"), share("reciprocal").alias("mrr"))
+
+
 _W = r"[a-z0-9_]+|[\x{4e00}-\x{9fff}]+"
 
 
@@ -260,7 +271,7 @@ def _fused(alpha: str) -> str:
     return f"SELECT item_id, doc_id, {alpha} * coalesce(a.v, 0) + (1 - {alpha}) * coalesce(b.v, 0) AS score FROM ({_norm('d')}) a FULL JOIN ({_norm('l')}) b USING (item_id, doc_id)"
 
 
-QUERIES = {f.__name__: f for f in (product_search, bm25_stats, bm25_plus_topk, bm25_okapi_topk, scoped_bm25_topk, routed_bm25_topk, diversified_topk, doc_router, lexical_search, routed_fusion, dense_topk, dense_threshold, dense_label_recall, mmr_topk, rrf_equal, rrf_weighted, alpha_fusion, experiment_summary, eval_term_hit)}
+QUERIES = {f.__name__: f for f in (product_search, bm25_stats, bm25_plus_topk, bm25_okapi_topk, scoped_bm25_topk, routed_bm25_topk, diversified_topk, doc_router, lexical_search, routed_fusion, dense_topk, dense_threshold, dense_label_recall, mmr_topk, rrf_equal, rrf_weighted, alpha_fusion, experiment_summary, eval_term_hit, evidence_recall)}
 
 _LINES = r"""b0 AS (SELECT doc_id, source, CASE WHEN text = '' THEN [] WHEN l[-1] = '' THEN l[:-2] ELSE l END AS l FROM (SELECT doc_id, source, text, string_split_regex(text, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]') AS l FROM documents)),
 b AS (SELECT doc_id, source, flatten(list_transform(l, lambda s: list_transform(range(0, greatest(len(s), 1), 300), lambda k: substr(s, k + 1, 300)))) AS l FROM b0),
@@ -305,5 +316,10 @@ SELECT item_id, doc_id AS page_id, dense_rank, dense_score, lexical_rank, lexica
     "experiment_summary": f"WITH {_bm25_sql(True)}, {_ITEM}, l AS ({_ranked('', 20)}), g AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id), "
     + ", ".join(f"f{k} AS (SELECT {a}::DOUBLE AS alpha, item_id, doc_id, score FROM ({_fused(f'{a}::DOUBLE')}) QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) <= {K})" for k, a in enumerate((0.3, 0.5, 0.7, 1.0)))
     + " SELECT alpha, count(*) AS hits, count(quality) AS judged, round(avg(quality), 6) AS good_share, round(avg(round(score, 6)), 5) AS mean_score FROM (" + " UNION ALL ".join(f"SELECT * FROM f{k}" for k in range(4)) + ") LEFT JOIN g USING (doc_id) GROUP BY alpha",
+    "evidence_recall": f"""WITH {_bm25_sql(True)}, r AS ({_ranked('', K)}), gd AS (SELECT item_id, source AS gold FROM benchmark JOIN documents ON doc_id = item_id),
+h AS (SELECT r.item_id, r.doc_id, r.rank FROM r JOIN documents USING (doc_id) JOIN gd ON gd.item_id = r.item_id AND gd.gold = source),
+have AS (SELECT item_id, count(DISTINCT term) AS have FROM h JOIN p USING (doc_id) JOIN q USING (item_id, term) GROUP BY item_id),
+c AS (SELECT gd.item_id, min(rank) AS first, (SELECT count(*) FROM q WHERE q.item_id = gd.item_id) AS need, coalesce(any_value(have), 0) AS have FROM gd LEFT JOIN h USING (item_id) LEFT JOIN have USING (item_id) GROUP BY gd.item_id)
+SELECT count(*) AS cases, round(avg((first IS NOT NULL)::INT), 6) AS source_recall, round(avg((first IS NOT NULL AND have = need)::INT), 6) AS evidence_recall, round(avg(coalesce(1.0::DOUBLE / first, 0)), 6) AS mrr FROM c""",
     "eval_term_hit": f"WITH {_bm25_sql(True)}, r AS ({_ranked('', 4)}), h AS (SELECT item_id, doc_id, count(*) AS have FROM r JOIN p USING (doc_id) JOIN q USING (item_id, term) GROUP BY ALL), b AS (SELECT item_id, max(have) AS best FROM h GROUP BY item_id) SELECT q.item_id, coalesce(any_value(best) = count(*), false) AS hit FROM q LEFT JOIN b USING (item_id) GROUP BY q.item_id",
 }

@@ -24,6 +24,26 @@ def term_hits(hits: DataFrame, terms: DataFrame, query_col: str = "item_id", id_
     return need.join(best, query_col, "left").select(query_col, F.coalesce(F.col("best") == F.col("need"), F.lit(False)).alias("hit"))
 
 
+def source_hits(hits: DataFrame, gold: DataFrame, query_col: str, source_col: str) -> DataFrame:
+    """(query, hit): whether one hit's source ends with the expected one; a case that expects none counts as hit. gold: (query, gold)."""
+    ends = F.coalesce(F.endswith(hits[source_col], gold["gold"]), F.lit(False))
+    rows = gold.join(hits, gold[query_col] == hits[query_col], "left").groupBy(gold[query_col], gold["gold"]).agg(F.bool_or(ends).alias("__any"))
+    return rows.select(query_col, ((F.coalesce("gold", F.lit("")) == "") | F.col("__any")).alias("hit"))
+
+
+def evidence_ranks(hits: DataFrame, gold: DataFrame, terms: DataFrame, query_col: str = "item_id", source_col: str = "source") -> DataFrame:
+    """(query, found, reciprocal, evidence): as source_ranks, and whether the hits of the expected source have all terms together.
+
+    hits: (query, source, rank, tokens); gold: (query, gold); terms: distinct (query, term).
+    """
+    ranks = source_ranks(hits, gold, query_col, source_col)
+    right = hits.join(gold, query_col).where(F.col(source_col) == F.col("gold"))
+    have = right.select(query_col, F.explode(F.array_distinct("tokens")).alias("term")).distinct().join(terms, [query_col, "term"]).groupBy(query_col).agg(F.count("*").alias("have"))
+    need = terms.groupBy(query_col).agg(F.count("*").alias("need"))
+    rows = ranks.join(need, query_col, "left").join(have, query_col, "left")
+    return rows.select(query_col, "found", "reciprocal", (F.col("found") & (F.coalesce("have", F.lit(0)) == F.coalesce("need", F.lit(0)))).alias("evidence"))
+
+
 def history(turns: DataFrame, last: int = 9, conv_col: str = "conv_id", turn_col: str = "turn") -> DataFrame:
     """The last turns of each conversation, in order: (conv, n, roles, chars)."""
     w = Window.partitionBy(conv_col).orderBy(F.col(turn_col).desc(), "role", "text")
