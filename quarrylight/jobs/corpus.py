@@ -200,7 +200,7 @@ array_to_string(list_transform(list_sort(list_distinct(regexp_extract_all(text,
 substr(sha256(text), 1, 24) AS chunk_key FROM {_L}""",
     "doc_versions": "SELECT doc_id, substr(sha256(source || ':' || doc_id), 1, 20) AS key, substr(sha256(text), 1, 20) AS version FROM documents",
     "upsert_changed": rf"SELECT substr(sha256(d.doc_id::VARCHAR), 1, 20) AS key, substr(sha256(d.text), 1, 20) AS version, (o.text IS DISTINCT FROM d.text) AND NOT regexp_full_match(d.text, '\s*') AS changed, regexp_full_match(d.text, '\s*') AS refused FROM documents d LEFT JOIN {_STORED} o USING (doc_id)",
-    "index_sync": f"SELECT doc_id, 'add' AS action FROM {_STORED} WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT DISTINCT doc_id, 'delete' FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM {_STORED})",
+    "index_sync": "SELECT DISTINCT doc_id, 'add' AS action FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT DISTINCT doc_id, 'delete' FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)",
     "corpus_audit": "SELECT lang, count(*) AS files, sum(strlen(text))::BIGINT AS bytes, sum(length(text))::BIGINT AS chars, bool_and(length(text) > 0) AS all_filled, count(DISTINCT sha256(text)) AS contents FROM documents GROUP BY lang",
     "exact_duplicates": "SELECT sha256(text) AS sha, count(*) AS copies, min(doc_id) AS first_id, max(doc_id) AS last_id FROM documents GROUP BY 1 HAVING count(*) > 1",
     "chunk_statistics": f"SELECT source, count(*) AS chunks, min(length(x)) AS shortest, max(length(x)) AS longest, round(avg(length(x)), 2) AS mean_chars FROM (SELECT source, array_to_string(wl, chr(10)) AS x FROM {_WIN}) GROUP BY source",

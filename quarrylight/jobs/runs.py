@@ -55,9 +55,12 @@ def conversation_history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def observed_urls(spark: SparkSession, sf: str) -> DataFrame:
-    """Addresses and mail hosts that users named; what assistants say doesn't count."""
-    said = _t(spark, sf, "conversations").where("role = 'user'").select("conv_id", F.regexp_extract_all("text", F.lit(web.URL + "|@[A-Za-z0-9.-]+"), F.lit(0)).alias("urls"))
-    return said.select("conv_id", F.explode("urls").alias("url")).groupBy("conv_id", "url").agg(F.count("*").alias("times"))
+    """Addresses and mail hosts that users named or documents hold, with their canonical form; what assistants say doesn't count."""
+    said = _t(spark, sf, "conversations").where("role = 'user'").select(F.lit("user").alias("origin"), F.col("conv_id").alias("id"), "text")
+    read = _t(spark, sf, "documents").select(F.lit("document").alias("origin"), F.col("doc_id").alias("id"), "text")
+    found = said.unionByName(read).select("origin", "id", F.explode(F.regexp_extract_all("text", F.lit(web.URL + "|@[A-Za-z0-9.-]+"), F.lit(0))).alias("url"))
+    bare = F.regexp_replace("url", "[.,;，。；]+$", "")
+    return found.select("origin", "id", bare.alias("url")).groupBy("origin", "id", "url").agg(F.count("*").alias("times")).withColumn("canonical", web.canonical(F.col("url")))
 
 
 def execution_modes(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,7 +88,9 @@ ORACLES = {
     "stream_steps": "SELECT user_id, arg_max(event_type, event_id) AS last_phase, count(*) AS steps FROM events GROUP BY user_id",
     "stream_windows": "WITH w AS (SELECT time_bucket(INTERVAL 1 hour, ts) AS begin, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL) SELECT * FROM w WHERE begin + INTERVAL 1 hour <= (SELECT max(ts) - INTERVAL 10 minutes FROM events)",
     "conversation_history": "WITH k AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role, text) AS n FROM conversations) SELECT conv_id, count(*) AS n, string_agg(role, ',' ORDER BY turn, role, text) AS roles, sum(length(text))::BIGINT AS chars FROM k WHERE n <= 9 GROUP BY conv_id",
-    "observed_urls": r"""SELECT conv_id, url, count(*) AS times FROM (SELECT conv_id, unnest(regexp_extract_all(text, 'https?://[^\s<>"'')\]]+|@[A-Za-z0-9.-]+')) AS url FROM conversations WHERE role = 'user') GROUP BY ALL""",
+    "observed_urls": r"""WITH t AS (SELECT 'user' AS origin, conv_id AS id, text FROM conversations WHERE role = 'user' UNION ALL SELECT 'document', doc_id, text FROM documents),
+u AS (SELECT origin, id, regexp_replace(unnest(regexp_extract_all(text, 'https?://[^\s<>"'')\]]+|@[A-Za-z0-9.-]+')), '[.,;，。；]+$', '') AS url FROM t)
+SELECT origin, id, url, CASE WHEN regexp_matches(url, '^https://[^/@\s]+') THEN regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', ''), '\.md$', '') END AS canonical, count(*) AS times FROM u GROUP BY ALL""",
     "execution_modes": r"""SELECT conv_id, turn, CASE WHEN turn = 0 AND length(text) < 180 AND NOT regexp_matches(lower(text), '比较|对比|审计|设计|方案|分别|compare|audit|design') THEN 'quick' ELSE 'research' END AS mode,
 regexp_matches(text, '(?i)^(?:你好|您好|嗨|谢谢|多谢|再见|hello|hi|thanks)[！!。.?？\s]*$') AS social, len(regexp_extract_all(lower(text), '[a-z0-9_]+|[\x{4e00}-\x{9fff}]+')) AS n_tokens FROM conversations WHERE role = 'user'""",
     "repair_decisions": """WITH r AS (SELECT user_id, count(*) FILTER (event_type = 'error') AS errors, count(*) FILTER (event_type = 'purchase') AS supported, count(*) FILTER (event_type IN ('purchase', 'signup')) AS items,

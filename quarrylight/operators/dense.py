@@ -15,22 +15,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 2048
+#: Most queries that are broadcast to the vectors' blocks; more of them meet the blocks by a shuffle.
+BROADCAST_QUERIES = 20_000
 
 
-def _blocks(vectors: DataFrame, id_col: str, vector_col: str, prefix: str) -> DataFrame:
-    n = max(1, -(-vectors.count() // BLOCK))
-    rows = vectors.where(F.col(vector_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    dealt = rows.withColumn(f"{prefix}b", F.pmod(F.xxhash64("id"), F.lit(n)))
-    return dealt.groupBy(f"{prefix}b").agg(F.collect_list("id").alias(f"{prefix}ids"), F.collect_list("v").alias(f"{prefix}vs"))
+def _as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        raw = [v.values.to_numpy(zero_copy_only=False).astype(np.float64).tobytes() for v in b.column(1)]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary())], names=["id", "x"])
+
+
+def _blocks(vectors: DataFrame, id_col: str, vector_col: str, prefix: str) -> tuple[DataFrame, int]:
+    """(ids, xs) of each block, a vector's doubles as bytes; and how many vectors there are."""
+    count = vectors.count()
+    kind = vectors.schema[id_col].dataType.simpleString()
+    rows = vectors.where(F.col(vector_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v")).mapInArrow(_as_bytes, f"id {kind}, x binary")
+    dealt = rows.withColumn(f"{prefix}b", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-count // BLOCK)))))
+    return dealt.groupBy(f"{prefix}b").agg(F.collect_list("id").alias(f"{prefix}ids"), F.collect_list("x").alias(f"{prefix}xs")), count
 
 
 def nearest(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", query_col: str = "query_id", include_self: bool = False) -> DataFrame:
     """(query, id, cosine, rank) of the k vectors nearest to each query by cosine in double precision."""
-    q = _blocks(queries, query_col, vector_col, "q")
-    v = _blocks(vectors, id_col, vector_col, "v")
+    (q, asked), (v, _) = _blocks(queries, query_col, vector_col, "q"), _blocks(vectors, id_col, vector_col, "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit = lambda rows: (x := np.array(rows, np.float64)) / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-300)
+        def unit(raw: list[bytes]) -> np.ndarray:
+            x = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
+            return x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-300)
+
         for b in batches:
             for r in range(b.num_rows):
                 qi, qv, vi, vv = (c[r].as_py() for c in b.columns)
@@ -44,7 +56,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "vec_i
                 keep = np.isfinite(best)
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(qi), order.shape[1])[keep.ravel()]), pa.array(vi[order][keep]), pa.array(best[keep])], names=["q", "id", "cosine"])
 
-    pairs = q.crossJoin(v).select("qids", "qvs", "vids", "vvs")  # blocks, not rows
+    pairs = v.crossJoin(F.broadcast(q) if asked <= BROADCAST_QUERIES else q).select("qids", "qxs", "vids", "vxs")  # blocks, not rows
     kind = vectors.schema[id_col].dataType.simpleString()
     found = pairs.mapInArrow(run, f"q {queries.schema[query_col].dataType.simpleString()}, id {kind}, cosine double")
     order = Window.partitionBy("q").orderBy(F.round("cosine", 6).desc(), "id")
