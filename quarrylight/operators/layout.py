@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -55,3 +58,64 @@ def shared_times(pieces: DataFrame, keys: list[str], order_col: str) -> DataFram
     n, done, total = F.length("piece"), F.sum(F.length("piece")).over(w), F.sum(F.length("piece")).over(Window.partitionBy(*keys))
     span = F.col("end") - F.col("start")
     return pieces.withColumn("piece_start", F.col("start") + span * (done - n) / total).withColumn("piece_end", F.when(done == total, F.col("end")).otherwise(F.col("start") + span * done / total))
+
+
+def block_text() -> Column:
+    """The first of a block's texts that isn't blank: text, content, table and code bodies, equation, then its captions, a line each."""
+    own = [F.trim(F.col(c)) for c in ("text", "content", "table_body", "code_body", "equation")]
+    listed = [F.array_join(F.filter(F.transform(c, lambda x: F.trim(x)), lambda x: x != ""), "\n") for c in ("image_caption", "table_caption", "chart_caption")]
+    filled = F.filter(F.array(*own, *listed), lambda x: x != "")
+    return F.coalesce(F.get(filled, 0), F.lit(""))
+
+
+def type_counts(elements: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """(doc, type, n)."""
+    return elements.groupBy(doc_col, F.lower("type").alias("type")).agg(F.count("*").alias("n"))
+
+
+def chosen_artifacts(files: DataFrame, wanted_stem: Column, preferred_parent: Column | None = None, by: str = "doc") -> DataFrame:
+    """(doc, path): of each document's files, one in the preferred folder before others, then one of the wanted stem, of few parts, first by name."""
+    parent, name = F.regexp_extract("path", "^(.*)/[^/]*$", 1), F.element_at(F.split("path", "/"), -1)
+    stem = F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
+    apart = F.lit(1) if preferred_parent is None else F.when(parent == preferred_parent, 0).otherwise(1)
+    score = F.struct(apart, F.when(stem == wanted_stem, 0).otherwise(1), F.size(F.split("path", "/")), F.col("path"))
+    return files.groupBy(by).agg(F.min_by("path", score).alias("path"))
+
+
+#: Keys under which a layout's nodes hold others.
+CHILDREN = ("kids", "list items", "rows", "cells")
+
+
+def flattened(layouts: DataFrame, doc_col: str = "doc", json_col: str = "layout") -> DataFrame:
+    """(doc, index, type, page, content, source, bbox) of the nodes of nested layouts, parents first, in order.
+
+    Nodes without type, content and source are passed through. A layout that is no JSON gives no row.
+    """
+
+    @F.pandas_udf("array<struct<type: string, page: int, content: string, source: string, bbox: array<double>>>")
+    def walk(texts: pd.Series) -> pd.Series:
+        return texts.map(_nodes)
+
+    rows = layouts.select(doc_col, F.posexplode(walk(F.col(json_col))).alias("index", "e"))
+    return rows.select(doc_col, "index", "e.*")
+
+
+def _nodes(text: str | None) -> list[dict]:
+    try:
+        waiting = [json.loads(text or "null")]
+    except ValueError:
+        return []
+    out = []
+    while waiting:  # a stack: what is nested deeply needs no recursion
+        node = waiting.pop()
+        if isinstance(node, list):
+            waiting.extend(reversed(node))
+        elif isinstance(node, dict):
+            content = " ".join(str(node.get("content") or "").split())
+            kind, source = str(node.get("type") or "").lower(), node.get("source") or node.get("data")
+            if kind or content or source:
+                page, box = node.get("page number") or node.get("page"), node.get("bounding box") or node.get("bbox")
+                good = isinstance(box, list) and all(isinstance(x, (int, float)) for x in box)
+                out.append({"type": kind, "page": page if isinstance(page, int) else None, "content": content, "source": None if source is None else str(source), "bbox": list(map(float, box)) if good else None})
+            waiting.extend(node[k] for k in reversed(CHILDREN) if node.get(k) is not None)
+    return out
