@@ -18,19 +18,23 @@ def _counted(docs: DataFrame, tokens) -> DataFrame:
 
 
 def tokens_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Words and pairs of ideographs: number and distinct number in every document."""
     return _counted(_t(spark, sf, "documents"), word_tokens(F.col("text")))
 
 
 def tokens_blank(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for tokens between blanks."""
     return _counted(_t(spark, sf, "documents"), blank_tokens(F.col("text")))
 
 
 def tokens_lexical(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for folded words with inner joiners and pairs and triples of ideographs."""
     docs = _t(spark, sf, "documents").select("doc_id", folded(F.col("text")).alias("folded"))
     return _counted(docs, lexical_tokens(F.col("folded")))
 
 
 def windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Overlapping windows of bounded lines of every document."""
     docs = _t(spark, sf, "documents").select("doc_id", F.explode(line_windows(bounded_lines(F.col("text")))).alias("w"))
     text = F.array_join("w.lines", "\n")
     return docs.select("doc_id", F.col("w.start_line").cast("long").alias("start_line"), F.size("w.lines").cast("long").alias("n_lines"), F.sha2(text, 256).alias("sha"))
@@ -54,6 +58,7 @@ def scalars(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of origins and versions of contents."""
     docs = _t(spark, sf, "documents")
     return corpus.versions(docs, F.concat_ws(":", "source", F.col("doc_id").cast("string")), F.col("text")).select("doc_id", "key", "version")
 
@@ -66,6 +71,7 @@ def _stored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def upsert_changed(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents arriving at an older state of the corpus: what is new or changed, and what is refused as blank."""
     keyed = lambda d: corpus.versions(d, F.col("doc_id").cast("string"), F.col("text")).select("key", "version", "doc_id", "text")
     _, report = corpus.upsert(keyed(_stored(spark, sf)), keyed(_t(spark, sf, "documents")))
     return report
@@ -77,14 +83,17 @@ def index_sync(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corpus_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Files, bytes, characters and distinct contents of each language."""
     return corpus.audit(_t(spark, sf, "documents"), "lang")
 
 
 def exact_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Contents that several documents have."""
     return corpus.copies(_t(spark, sf, "documents"))
 
 
 def chunk_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Number and sizes of the windows of each source."""
     docs = _t(spark, sf, "documents").select("source", F.explode(line_windows(bounded_lines(F.col("text")))).alias("w"))
     return corpus.chunk_statistics(docs.select("source", F.array_join("w.lines", "\n").alias("text")), "source")
 
@@ -95,26 +104,32 @@ def read_window(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def section_window(spark: SparkSession, sf: str) -> DataFrame:
+    """The section around the third bounded line of every document."""
     return reading.sections(_t(spark, sf, "documents"), 3)
 
 
 def recursive_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents by the plain recursive splitter, each chunk led by the end of the one before."""
     return chunking.chunk(_t(spark, sf, "documents"), "recursive", 512, 64)
 
 
 def merged_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents by the merging splitter, with the place of each chunk."""
     return chunking.chunk(_t(spark, sf, "documents"), "merging", 872, 160)
 
 
 def page_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """Title, headings, links, words and slug of every page."""
     return web.snapshot(_t(spark, sf, "pages"))
 
 
 def page_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct links of every page, inside or outside of its host."""
     return web.links(_t(spark, sf, "pages"))
 
 
 def canonical_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """The canonical form of every address."""
     return _t(spark, sf, "pages").select("page_id", web.canonical(F.col("url")).alias("canonical"))
 
 

@@ -16,22 +16,27 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def stage_telemetry(spark: SparkSession, sf: str) -> DataFrame:
+    """Events and their total time by run and phase."""
     return events.stage_times(_t(spark, sf, "events"))
 
 
 def usage_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Each run's calls and counter, null unless all calls have reported it."""
     return events.usage_ledger(_t(spark, sf, "events"))
 
 
 def event_reduce(spark: SparkSession, sf: str) -> DataFrame:
+    """The last phase and value of each run, and how long it took."""
     return events.reduced(_t(spark, sf, "events"))
 
 
 def event_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Events by hour and phase."""
     return events.windowed(_t(spark, sf, "events"))
 
 
 def event_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions of a run, ended by gaps of half an hour."""
     return events.sessions(_t(spark, sf, "events"))
 
 
@@ -51,6 +56,7 @@ def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def conversation_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The last nine rows of each conversation."""
     return evaluation.history(_t(spark, sf, "conversations"))
 
 
@@ -64,6 +70,7 @@ def observed_urls(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def execution_modes(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether a turn of a user is answered quickly, and whether it is a greeting."""
     turns = _t(spark, sf, "conversations").where("role = 'user'")
     return turns.select("conv_id", "turn", decisions.execution_mode(F.col("text"), F.col("turn") == 0).alias("mode"), decisions.is_social(F.col("text")).alias("social"), F.size(word_tokens(F.col("text"))).cast("long").alias("n_tokens"))
 

@@ -146,11 +146,13 @@ def _fiftieth(vectors: DataFrame) -> DataFrame:
 
 
 def dense_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The five vectors nearest to every fiftieth."""
     v = _vectors(spark, sf)
     return dense.nearest(_fiftieth(v), v, 5).select("query_id", "vec_id", F.col("rank").cast("long").alias("rank"), F.round("cosine", 6).alias("cosine"))
 
 
 def dense_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the eight nearest, those of a least similarity."""
     v = _vectors(spark, sf)
     return dense.nearest(_fiftieth(v), v, 8).where(F.round("cosine", 6) >= 0.35).select("query_id", "vec_id", F.round("cosine", 6).alias("cosine"))
 
@@ -166,6 +168,7 @@ def dense_label_recall(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mmr_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """Four of the sixteen nearest, chosen to be near the query and apart from one another."""
     v = _vectors(spark, sf)
     return dense.diverse(dense.nearest(_fiftieth(v), v, 16), v)
 
