@@ -1,11 +1,13 @@
 """Search over whole passages and whole rankings, on small tables."""
 
 import math
+import random
 from collections import Counter
 
 import pytest
 
 from quarrylight.jobs import search
+from quarrylight.operators import lexical
 
 ASKED = " ".join(f"w{k}" for k in range(1, 15))
 
@@ -60,3 +62,27 @@ def test_no_group_fills_the_places_of_others(spark, tmp_path):
     docs = [(1, "\n".join("w1 w1 w1 w1" for _ in range(500)), "en", "a"), (2, "w1 " + "pad " * 80, "en", "a"), (3, "w1 " + "pad " * 90, "en", "a"), (4, "pad", "en", "a")]
     got = search.product_search(spark, tables(spark, tmp_path / "b", docs, ["w1"])).orderBy("place").collect()
     assert [r.doc_id for r in got] == [1, 1, 2, 3, 1, 1]
+
+
+def test_passes_blocks_and_slices_change_nothing(spark, monkeypatch):
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(40)]
+    docs = [(k, [rng.choice(words) for _ in range(rng.randint(1, 30))], f"s{k % 4}", k % 3 != 0) for k in range(300)]
+    docs = spark.createDataFrame(docs, "doc_id long, tokens array<string>, source string, may boolean").repartition(3)
+    asked = [(q, t, 1 + len(t) % 2) for q in range(11) for t in sorted({rng.choice(words) for _ in range(6)})]
+    terms = spark.createDataFrame([*asked, (50, "unknown", 1)], "item_id long, term string, qf long")
+    routes = spark.createDataFrame([(q, d) for q in (1, 2) for d in range(0, 300, 7)], "item_id long, doc_id long")
+
+    def everything():
+        out = []
+        for plus in (True, False):
+            found = lexical.search(docs, terms, plus, 5, group_col="source", allowed_col="may")
+            out.append(sorted(map(tuple, lexical.diverse_top(found, "source", 2, 3).collect())))
+            out.append(sorted(map(tuple, lexical.top_k(lexical.search(docs, terms, plus, 4, routes=routes), 4).collect())))
+        return out
+
+    whole = everything()
+    assert {r[1] for r in whole[1] if r[0] in (1, 2)} <= set(range(0, 300, 7)) and all(r[1] % 3 for r in whole[0]) and {r[0] for r in whole[1]} == set(range(11))
+    for name, value in (("PASS", 20), ("ITEMS", 3), ("CELLS", 60)):
+        monkeypatch.setattr(lexical, name, value)
+    assert everything() == whole
