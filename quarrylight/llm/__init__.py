@@ -19,6 +19,7 @@ MODULES = {
     "op8_minhash": "minhash",
     "op9_extraction": "extraction",
     "op10_exact_dedup": "exact_dedup",
+    "op11_decontamination": "decontamination",
 }
 
 
