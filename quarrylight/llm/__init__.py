@@ -20,6 +20,8 @@ MODULES = {
     "op9_extraction": "extraction",
     "op10_exact_dedup": "exact_dedup",
     "op11_decontamination": "decontamination",
+    "op12_whitening": "whitening",
+    "op13_vector_codes": "vector_codes",
 }
 
 
