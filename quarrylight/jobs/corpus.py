@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrylight.functions.text import blank_tokens, bounded_lines, clean, folded, headings, lexical_tokens, line_windows, lines, normal_markdown, normalized_dates, sentences, short_hash, truncated, word_count, word_tokens
-from quarrylight.operators import captions, chunking, corpus, dense, evidence, layout, reading, web
+from quarrylight.operators import captions, chunking, corpus, embedding, evidence, layout, ordered, reading, semantic, web
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -63,11 +63,14 @@ def doc_versions(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.versions(docs, F.concat_ws(":", "source", F.col("doc_id").cast("string")), F.col("text")).select("doc_id", "key", "version")
 
 
+def _older(docs: DataFrame) -> DataFrame:
+    """Texts as they were: every fifth one shorter by its last character."""
+    return docs.withColumn("text", F.when(F.col("doc_id") % 5 == 0, F.expr("left(text, length(text) - 1)")).otherwise(F.col("text")))
+
+
 def _stored(spark: SparkSession, sf: str) -> DataFrame:
-    """An older state of the corpus: every third document absent, every fifth one shorter by its last character."""
-    docs = _t(spark, sf, "documents").where("doc_id % 3 <> 0")
-    older = F.when(F.col("doc_id") % 5 == 0, F.expr("left(text, length(text) - 1)")).otherwise(F.col("text"))
-    return docs.withColumn("text", older)
+    """An older state of the corpus, before every third document came."""
+    return _older(_t(spark, sf, "documents").where("doc_id % 3 <> 0"))
 
 
 def upsert_changed(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,8 +138,13 @@ def canonical_urls(spark: SparkSession, sf: str) -> DataFrame:
 
 def semantic_segments(spark: SparkSession, sf: str) -> DataFrame:
     """Vectors of a label in id order as the sentences of a text: segments between breaks of similarity."""
-    similar = dense.adjacent_similarity(_t(spark, sf, "embeddings"), "label", "vec_id")
-    return dense.segments(similar, "label", "vec_id").select("vec_id", "label", F.round("sim", 6).alias("sim"), F.col("part").cast("long").alias("part"), F.col("sub").cast("long").alias("sub"))
+    return ordered.segments(_t(spark, sf, "embeddings"), "label", "vec_id").withColumn("sim", F.round("sim", 6))
+
+
+def semantic_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents cut where neighbouring sentences share least; vectors of sentences are hashed counts of their tokens."""
+    cut = semantic.chunks(_t(spark, sf, "documents").select("doc_id", "text"), embedding.hashing())
+    return cut.select("doc_id", F.col("chunk").cast("long").alias("chunk"), F.col("n_sentences").cast("long").alias("n_sentences"), F.sha2("text", 256).alias("sha"))
 
 
 def section_titles(spark: SparkSession, sf: str) -> DataFrame:
@@ -151,15 +159,16 @@ def _versions(docs: DataFrame) -> DataFrame:
 
 
 def evidence_validation(spark: SparkSession, sf: str) -> DataFrame:
-    """Evidence read from the older state of the corpus, held against the current one; the scope is one language."""
+    """Evidence read from every document as it was, held against those of today; the scope is one language."""
     docs = _t(spark, sf, "documents")
-    return evidence.validated(_versions(_stored(spark, sf)), _versions(docs), docs.where("lang = 'en'")).select("doc_id", "valid")
+    return evidence.validated(_versions(_older(docs)), _versions(docs), docs.where("lang = 'en'")).select("doc_id", "valid")
 
 
 def note_states(spark: SparkSession, sf: str) -> DataFrame:
-    """Notes that name up to ten older documents each: whether those are current."""
-    noted = _versions(_stored(spark, sf)).select(F.floor(F.col("doc_id") / 10).alias("note_id"), "doc_id", "version")
-    return evidence.note_states(noted, _versions(_t(spark, sf, "documents").where("lang <> 'de'")))
+    """Notes that name up to ten documents each, as they were: whether those are current. A corpus without its German documents lacks some."""
+    docs = _t(spark, sf, "documents")
+    noted = _versions(_older(docs)).select(F.floor(F.col("doc_id") / 10).alias("note_id"), "doc_id", "version")
+    return evidence.note_states(noted, _versions(docs.where("NOT lang <=> 'de'")))
 
 
 def _elements(spark: SparkSession, sf: str) -> DataFrame:
@@ -188,19 +197,20 @@ def paged_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return chunking.chunk(_t(spark, sf, "documents"), "paged", 700, 120)
 
 
-QUERIES = {f.__name__: f for f in (tokens_words, tokens_blank, tokens_lexical, windows, scalars, doc_versions, upsert_changed, index_sync, corpus_audit, exact_duplicates, chunk_statistics, read_window, section_window, recursive_chunks, merged_chunks, page_snapshot, page_links, canonical_urls, semantic_segments, section_titles, evidence_validation, note_states, caption_chunks, inline_pages, paged_chunks)}
+QUERIES = {f.__name__: f for f in (tokens_words, tokens_blank, tokens_lexical, windows, scalars, doc_versions, upsert_changed, index_sync, corpus_audit, exact_duplicates, chunk_statistics, read_window, section_window, recursive_chunks, merged_chunks, page_snapshot, page_links, canonical_urls, semantic_segments, semantic_chunks, section_titles, evidence_validation, note_states, caption_chunks, inline_pages, paged_chunks)}
 
 _BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 _L = rf"(SELECT *, CASE WHEN text = '' THEN [] WHEN l[-1] = '' THEN l[:-2] ELSE l END AS ls FROM (SELECT *, string_split_regex(text, '{_BREAK}') AS l FROM documents))"
 _B = f"(SELECT *, flatten(list_transform(ls, lambda s: list_transform(range(0, greatest(len(s), 1), 300), lambda k: substr(s, k + 1, 300)))) AS bl FROM {_L})"
 _WIN = f"(SELECT doc_id, source, st + 1 AS start_line, list_slice(bl, st + 1, st + 24) AS wl FROM (SELECT *, unnest(range(0, len(bl), 16)) AS st FROM {_B}))"
 _COUNTED = "SELECT doc_id, len(t) AS n_tokens, len(list_distinct(t)) AS n_distinct FROM (SELECT doc_id, {} AS t FROM documents)"
-_STORED = "(SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN left(text, length(text) - 1) ELSE text END AS text FROM documents WHERE doc_id % 3 <> 0)"
+_OLDER = "(SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN left(text, length(text) - 1) ELSE text END AS text FROM documents)"
+_STORED = f"(SELECT * FROM {_OLDER} WHERE doc_id % 3 <> 0)"
 _CLEAN = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
 
 ORACLES = {
-    "evidence_validation": rf"SELECT o.doc_id, d.lang = 'en' AND d.text = o.text AND regexp_matches(o.text, '\S') AS valid FROM {_STORED} o JOIN documents d USING (doc_id)",
-    "note_states": f"SELECT o.doc_id // 10 AS note_id, CASE WHEN count(*) FILTER (d.lang = 'de') > 0 THEN 'missing' WHEN count(*) FILTER (d.text <> o.text) > 0 THEN 'stale' ELSE 'current' END AS state FROM {_STORED} o JOIN documents d USING (doc_id) GROUP BY 1",
+    "evidence_validation": rf"SELECT o.doc_id, coalesce(d.lang = 'en', false) AND d.text = o.text AND regexp_matches(o.text, '\S') AS valid FROM {_OLDER} o JOIN documents d USING (doc_id)",
+    "note_states": f"SELECT o.doc_id // 10 AS note_id, CASE WHEN count(*) FILTER (d.lang = 'de') > 0 THEN 'missing' WHEN count(*) FILTER (d.text <> o.text) > 0 THEN 'stale' ELSE 'current' END AS state FROM {_OLDER} o JOIN documents d USING (doc_id) GROUP BY 1",
     "tokens_words": _COUNTED.format(r"regexp_extract_all(lower(text), '[a-z0-9_]+|[\x{4e00}-\x{9fff}]+')"),
     "tokens_blank": _COUNTED.format(r"list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '')"),
     "tokens_lexical": _COUNTED.format(r"regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[a-z0-9]+(?:[._+#/-][a-z0-9]+)*|[\x{3400}-\x{9fff}]+')"),
@@ -234,8 +244,18 @@ SELECT DISTINCT page_id, target, regexp_extract(target, '^https?://([^/?#]+)', 1
     "canonical_urls": r"SELECT page_id, CASE WHEN regexp_matches(url, '^https://[^/@\s]+') THEN regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', ''), '\.md$', '') END AS canonical FROM pages",
     "semantic_segments": """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, lag(embedding::DOUBLE[]) OVER (PARTITION BY label ORDER BY vec_id) AS w FROM embeddings),
 s AS (SELECT vec_id, label, list_dot_product(v, w) / sqrt(list_dot_product(v, v) * list_dot_product(w, w)) AS sim FROM e), c AS (SELECT label, quantile_cont(sim, 0.3::DOUBLE) AS cut FROM s GROUP BY label),
-p AS (SELECT vec_id, label, sim, sum(coalesce(round(sim, 9) < round(cut, 9), false)::INT) OVER (PARTITION BY label ORDER BY vec_id) AS part FROM s JOIN c USING (label))
+p AS (SELECT vec_id, s.label, sim, sum(coalesce(round(sim, 9) < round(cut, 9), false)::INT) OVER (PARTITION BY s.label ORDER BY vec_id) AS part FROM s JOIN c ON s.label IS NOT DISTINCT FROM c.label)
 SELECT vec_id, label, round(sim, 6) AS sim, part::BIGINT AS part, (row_number() OVER (PARTITION BY label, part ORDER BY vec_id) - 1) // 10 AS sub FROM p""",
+    "semantic_chunks": r"""WITH d AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '[^。！？.!?\n]*[。！？.!?\n]|[^。！？.!?\n]+$'), lambda x: trim(x, E' \t\n\r\x0b\x0c')), lambda x: x <> '') AS ss FROM documents),
+x AS (SELECT doc_id, generate_subscripts(ss, 1) AS i, unnest(ss) AS s, len(ss) AS n FROM d),
+b AS MATERIALIZED (SELECT doc_id, i, ('0x' || substr(md5(t), 1, 8))::BIGINT % 256 AS place, count(*) AS c FROM (SELECT doc_id, i, unnest(regexp_extract_all(lower(s), '[a-z0-9_]+|[\x{4e00}-\x{9fff}]+')) AS t FROM x) GROUP BY ALL),
+m AS (SELECT doc_id, i, sum(c * c)::DOUBLE AS q FROM b GROUP BY ALL),
+p AS (SELECT a.doc_id, a.i, sum(a.c * z.c)::DOUBLE AS dot FROM b a JOIN b z ON z.doc_id = a.doc_id AND z.i = a.i + 1 AND z.place = a.place GROUP BY ALL),
+v AS (SELECT x.doc_id, x.i, x.s, x.n, CASE WHEN x.i < x.n THEN coalesce(p.dot / sqrt(m.q * w.q), 0) END AS sim FROM x LEFT JOIN p USING (doc_id, i) LEFT JOIN m USING (doc_id, i) LEFT JOIN m w ON w.doc_id = x.doc_id AND w.i = x.i + 1),
+c AS (SELECT doc_id, quantile_cont(sim, 0.3::DOUBLE) AS cut FROM v GROUP BY doc_id),
+k AS (SELECT v.*, coalesce(sum(coalesce(round(sim, 9) < round(cut, 9), false)::INT) OVER (PARTITION BY v.doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run FROM v JOIN c USING (doc_id)),
+y AS (SELECT *, (row_number() OVER (PARTITION BY doc_id, run ORDER BY i) - 1) // 10 AS piece FROM k)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY run, piece) - 1 AS chunk, count(*) AS n_sentences, sha256(string_agg(s, '' ORDER BY i)) AS sha FROM y GROUP BY doc_id, run, piece""",
     "section_titles": f"""WITH x AS (SELECT doc_id, generate_subscripts(ls, 1) - 1 AS index, unnest(ls) AS content FROM {_L}), h AS (SELECT *, index // 8 AS page, CASE WHEN index % 5 = 2 THEN content END AS head FROM x)
 SELECT doc_id, index, sha256(coalesce(last_value(head IGNORE NULLS) OVER (PARTITION BY doc_id, page ORDER BY index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), last_value(head IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '')) AS title_sha FROM h""",
 }

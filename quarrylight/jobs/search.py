@@ -45,7 +45,7 @@ def product_search(spark: SparkSession, sf: str) -> DataFrame:
     windows = docs.select("doc_id", F.col("w.start_line").cast("long").alias("start_line"), F.concat(word_tokens(F.col("source")), F.col("w.tokens")).alias("t"))
     found = lexical.search(lexical.with_tokens(windows, F.col("t")), _asked(spark, sf), True, 2 + K, id_cols=("doc_id", "start_line"), group_col="doc_id")
     out = lexical.diverse_top(found, "doc_id", 2, K, id_cols=("doc_id", "start_line"))
-    return out.select("item_id", "doc_id", "start_line", F.col("place").cast("long").alias("place"), "score")
+    return out.select("item_id", "doc_id", "start_line", F.col("place").cast("long").alias("place"), F.round("score", 6).alias("score"))
 
 
 def bm25_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,7 +112,7 @@ def _routed_lexical(spark: SparkSession, sf: str, k: int) -> DataFrame:
 
 def lexical_search(spark: SparkSession, sf: str) -> DataFrame:
     """Routed lexical search of pages by words with inner joiners; documents without a positive score go after the cut."""
-    return _routed_lexical(spark, sf, K).select("item_id", "page_id", F.col("rank").cast("long").alias("rank"), "score")
+    return _routed_lexical(spark, sf, K).select("item_id", "page_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
 def routed_fusion(spark: SparkSession, sf: str) -> DataFrame:

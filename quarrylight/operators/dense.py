@@ -90,20 +90,3 @@ def dot(a: Column, b: Column) -> Column:
 def cosine(a: Column, b: Column) -> Column:
     """Of two double arrays."""
     return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
-
-
-def adjacent_similarity(vectors: DataFrame, group_col: str, order_col: str, vector_col: str = "embedding") -> DataFrame:
-    """Adds sim: the cosine with the row before it in its group; null at the first."""
-    w = Window.partitionBy(group_col).orderBy(order_col)
-    v = F.col(vector_col).cast("array<double>")
-    before = F.lag(v).over(w)
-    return vectors.withColumn("sim", cosine(v, before))
-
-
-def segments(similar: DataFrame, group_col: str, order_col: str, share: float = 0.3, longest: int = 10) -> DataFrame:
-    """Adds segment: a new one begins where sim falls under the group's percentile, or after ``longest`` rows."""
-    cut = similar.groupBy(group_col).agg(F.percentile("sim", F.lit(share)).alias("cut"))
-    w = Window.partitionBy(group_col).orderBy(order_col)
-    broken = similar.join(cut, group_col).withColumn("part", F.sum((F.coalesce(F.round("sim", 9) < F.round("cut", 9), F.lit(False))).cast("int")).over(w))
-    nth = F.row_number().over(Window.partitionBy(group_col, "part").orderBy(order_col)) - 1
-    return broken.withColumn("sub", F.floor(nth / longest).cast("int"))

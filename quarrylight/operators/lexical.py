@@ -125,8 +125,8 @@ def search(docs: DataFrame, terms: DataFrame, plus: bool, k: int, query_col: str
     """(query, ids, group, score): rows of documents that share a term with the query, k of the best of each query and task at least.
 
     docs: id_cols (numbers), tokens, maybe a group and whether a document may be found (it counts in the statistics
-    anyhow). With a group: k of the best of each query, group and task. Scores are rounded to 6 places, of equal ones
-    the smaller ids come first. With plus, a term that a document lacks still counts delta * idf. With routes (query,
+    anyhow). With a group: k of the best of each query, group and task. Rows are ordered by scores
+    rounded to 6 places, of equal ones the smaller ids come first; the scores themselves come back as they are. With plus, a term that a document lacks still counts delta * idf. With routes (query,
     id), a query that occurs there finds only documents that it is routed to.
     """
     spark, out = docs.sparkSession, None
@@ -187,8 +187,8 @@ def search(docs: DataFrame, terms: DataFrame, plus: bool, k: int, query_col: str
                     if reach is not None:
                         met[:, : reach.shape[1] - begin] &= reach[:, begin : begin + ITEMS]
                     d, q = np.nonzero(met)
-                    score = np.round((weight @ table)[d, q] + base[np.minimum(begin + q, len(base) - 1)], 6)
-                    order = np.lexsort((*(i[d] for i in reversed(ids)), -score, group[d], q))
+                    score = (weight @ table)[d, q] + base[np.minimum(begin + q, len(base) - 1)]
+                    order = np.lexsort((*(i[d] for i in reversed(ids)), -np.round(score, 6), group[d], q))
                     d, q, score = d[order], q[order], score[order]
                     new = np.r_[True, (q[1:] != q[:-1]) | (group[d][1:] != group[d][:-1])]
                     nth = np.arange(len(q)) - np.maximum.accumulate(np.where(new, np.arange(len(q)), 0))
@@ -201,9 +201,10 @@ def search(docs: DataFrame, terms: DataFrame, plus: bool, k: int, query_col: str
     return spark.createDataFrame([], schema) if out is None else out
 
 
-def top_k(scored: DataFrame, k: int, query_col: str = "item_id", id_col: str = "doc_id", score_col: str = "score") -> DataFrame:
-    """Adds rank (from 1) by score rounded to 6 places, then id; keeps k a query. Spark cuts each task's rows to k before the shuffle."""
-    order = Window.partitionBy(query_col).orderBy(F.round(score_col, 6).desc(), id_col)
+def top_k(scored: DataFrame, k: int, query_col: str = "item_id", id_col: str | tuple[str, ...] = "doc_id", score_col: str = "score", places: int = 6) -> DataFrame:
+    """Adds rank (from 1) by rounded score, then id; keeps k a query. Spark cuts each task's rows to k before the shuffle."""
+    ids = (id_col,) if isinstance(id_col, str) else id_col
+    order = Window.partitionBy(query_col).orderBy(F.round(score_col, places).desc(), *ids)
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
