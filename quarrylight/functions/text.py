@@ -57,8 +57,8 @@ def lexical_tokens(folded_text: Column) -> Column:
 
 def lines(text: Column) -> Column:
     """Lines without their breaks; a break at the end opens no line."""
-    split = F.split(text, LINE_BREAK)
-    return F.when(F.length(text) == 0, F.array().cast("array<string>")).when(F.element_at(split, -1) == "", F.slice(split, 1, F.size(split) - 1)).otherwise(split)
+    kept = lambda s: F.when(F.element_at(s, -1) == "", F.slice(s, 1, F.size(s) - 1)).otherwise(s)
+    return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(F.flatten(F.transform(F.array(F.split(text, LINE_BREAK)), kept)))
 
 
 def bounded_lines(text: Column, chars: int = LINE_CHARS) -> Column:
@@ -69,8 +69,9 @@ def bounded_lines(text: Column, chars: int = LINE_CHARS) -> Column:
 
 def line_windows(bounded: Column, size: int = WINDOW_LINES, step: int = WINDOW_STEP) -> Column:
     """array<struct<start_line, lines>>: overlapping windows; start_line counts from 1."""
-    starts = F.when(F.size(bounded) > 0, F.sequence(F.lit(0), F.size(bounded) - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda s: F.struct((s + 1).alias("start_line"), F.slice(bounded, s + 1, F.lit(size)).alias("lines")))
+    starts = lambda b: F.when(F.size(b) > 0, F.sequence(F.lit(0), F.size(b) - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
+    cut = lambda b: F.transform(starts(b), lambda s: F.struct((s + 1).alias("start_line"), F.slice(b, s + 1, F.lit(size)).alias("lines")))
+    return F.flatten(F.transform(F.array(bounded), cut))  # lines are named once, so that they are cut once
 
 
 def windowed_tokens(bounded: Column, size: int = WINDOW_LINES, step: int = WINDOW_STEP) -> Column:

@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def root_folder(spark: SparkSession) -> str:
@@ -46,3 +46,10 @@ def folder(spark: SparkSession, name: str) -> str:
 
     atexit.register(clean)
     return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in a folder of its own, read back: made once, whatever reads it, and safe from lost executors."""
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrylight.jobs.shared import folder
+from quarrylight.jobs.shared import written
 from quarrylight.operators.dense import cosine
 
 #: Rows of a range.
@@ -16,17 +16,11 @@ ROWS = 20_000
 BINS = 1 << 12
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def in_ranges(df: DataFrame, group_col: str, order_col: str, rows: int = ROWS) -> DataFrame:
     """df as g, o, its other columns, and range: numbers that rise with (group, order), written once."""
     renamed = df.select(F.col(group_col).alias("g"), F.col(order_col).alias("o"), *(c for c in df.columns if c not in (group_col, order_col)))
     dealt = renamed.repartitionByRange(max(1, -(-df.count() // rows)), "g", "o")
-    return _written(dealt.withColumn("range", F.spark_partition_id()), "ranges")
+    return written(dealt.withColumn("range", F.spark_partition_id()), "ranges")
 
 
 def _within() -> Window:
@@ -69,7 +63,7 @@ def exact_percentile(values: DataFrame, share: float) -> DataFrame:
     put in order, with their numbers. A group's values never meet in one task, and equal ones are counted before they move.
     """
     rows = values.where(F.col("x").isNotNull()).withColumn("bin", F.floor((F.col("x") + 1) / 2 * BINS).cast("int"))
-    counts = _written(rows.groupBy("g", "bin", "x").agg(F.count("*").alias("c")), "percentile")
+    counts = written(rows.groupBy("g", "bin", "x").agg(F.count("*").alias("c")), "percentile")
     steps = counts.groupBy("g", "bin").agg(F.sum("c").alias("n"))
     total = Window.partitionBy("g")
     steps = steps.withColumn("all", F.sum("n").over(total)).withColumn("before", F.sum("n").over(total.orderBy("bin")) - F.col("n"))
@@ -91,7 +85,7 @@ def segments(vectors: DataFrame, group_col: str, order_col: str, vector_col: str
     """
     given = vectors.select(group_col, order_col, F.col(vector_col).cast("array<double>").alias("v"))
     alike = with_previous(in_ranges(given, group_col, order_col, rows), "v").withColumn("sim", cosine(F.col("v"), F.col("before"))).drop("v", "before")
-    alike = _written(alike, "similar")
+    alike = written(alike, "similar")
     cuts = exact_percentile(alike.select("g", F.col("sim").alias("x")), share).select(F.col("g").alias("__g"), "cut")
     told = alike.join(F.broadcast(cuts) if cuts.limit(100_001).count() <= 100_000 else cuts, F.col("g").eqNullSafe(F.col("__g")), "left")
     broken = told.withColumn("broken", F.coalesce(F.round("sim", 9) < F.round("cut", 9), F.lit(False))).drop("__g", "cut")

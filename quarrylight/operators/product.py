@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrylight.functions.text import LETTER, bounded_lines, line_windows, word_tokens
+from quarrylight.jobs.shared import written
 from quarrylight.operators import dense, evidence, fusion, lexical
 from quarrylight.operators.embedding import Embedder, embedded
 from quarrylight.sources.vector_table import VectorTable, content_id
@@ -89,7 +90,7 @@ def search(docs: DataFrame, title: Column, queries: DataFrame, limit: int = 6, t
     limit = max(1, min(limit, 10))
     given = docs if scope is None else docs.join(scope.select("doc_id").distinct(), "doc_id", "left_semi")
     terms = lexical.query_terms(queries, word_tokens(F.col("text")))
-    found = windows(given, title)
+    found = written(windows(given, title), "windows")  # cut into words once, read by every pass
     if table is None or scope is not None:
         scored = lexical.search(found.drop("text"), terms, True, PER_DOCUMENT + limit, id_cols=("doc_id", "start_line"), group_col="doc_id")
         ranked = lexical.diverse_top(scored, "doc_id", PER_DOCUMENT, limit, id_cols=("doc_id", "start_line"))
