@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import re
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -12,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrylight.jobs.shared import is_local, root_folder
+
 _OWN_DIR: str | None = None
 _CLEANED: set[str] = set()
 
@@ -19,17 +20,14 @@ _CLEANED: set[str] = set()
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir.
 
-    Where that is unset: the warehouse folder, which all executors share too; only a driver that runs its tasks itself
-    (local mode, as in tests) takes a folder of its own.
+    Where that is unset: a folder of its own if the driver runs all tasks itself (local mode, as in tests), else the
+    warehouse, which must lie in a store that executors share; one on each machine's own disk is an error.
     """
     global _OWN_DIR
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or not is_local(spark.sparkContext.master):
+        return root_folder(spark).rstrip("/")
     if _OWN_DIR is None:
-        _OWN_DIR = "file://" + tempfile.mkdtemp(prefix="quarrylight-")
+        _OWN_DIR = root_folder(spark)
     return _OWN_DIR
 
 

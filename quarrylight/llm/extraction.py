@@ -9,8 +9,10 @@ footers, sidebars, notices, adverts, forms and comments.
 Scripts, styles, comments, markup and what browsers never show as text are no blocks. Character references are decoded,
 white space inside a block becomes one blank, and content blocks are joined in page order by one blank.
 
-Defined cases: html that is null, empty or without content gives an empty text; unclosed tags, comments and scripts run
-to the end of the page, quotes in a tag count only after an equals sign, ``<!-->`` and ``<!--->`` are whole comments; pages
+Defined cases: html that is null, empty or without content gives an empty text; unclosed tags, comments, scripts and
+styles run to the end of the page, but elements that never show and have no end tag in the rest of the page hide nothing,
+a head ends at the first tag that can't stand in it, and a title without an end runs to the body or else to the next tag;
+quotes in a tag count only after an equals sign, ``<!-->`` and ``<!--->`` are whole comments; pages
 of any length and depth are read in time linear in their length; rows repeat as in the input; an empty table gives an
 empty result; input columns besides those named are neither read nor returned.
 """
@@ -32,10 +34,12 @@ from pyspark.sql import functions as F
 from .common import text_batches, text_or_empty
 
 WEIGHTS = 1 << 14
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mrow mtext mspace mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style".split())
-NEVER = frozenset("head title noscript template svg math iframe object select option textarea button datalist canvas audio video".split())
+RAW = frozenset("script style title textarea".split())
+NEVER = frozenset("head noscript template svg iframe object select option button datalist canvas audio video".split())
+#: What a head may hold; any other tag ends it, since its own end tag may be left out.
+IN_HEAD = frozenset("meta link title style script base noscript template head html".split())
 #: An opening tag ends open elements of these names, up to the nearest of the second set.
 IMPLIED = {
     "li": (frozenset({"li", "p"}), frozenset({"ul", "ol", "menu"})),
@@ -52,15 +56,17 @@ _TAG = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[A-Za-z]{2,}")
 _RAW_END = {t: re.compile(rf"</{t}\b", re.I) for t in RAW}
+_BODY = re.compile(r"<body\b", re.I)
+_ENDS = {t: re.compile(rf"</{t}\b", re.I) for t in NEVER}
 
 
 class Path:
-    """An open element: its tag, the element around it, its depth, and the buckets that it adds to those of its ancestors."""
+    """An open element: its tag, the element around it, its depth, whether a class, id or role names it, and the buckets that it adds to those of its ancestors."""
 
-    __slots__ = ("depth", "new", "outer", "tag")
+    __slots__ = ("depth", "named", "new", "outer", "tag")
 
-    def __init__(self, tag: str, outer: Path | None, new: tuple[int, ...]):
-        self.tag, self.outer, self.new = tag, outer, new
+    def __init__(self, tag: str, outer: Path | None, new: tuple[int, ...], named: bool):
+        self.tag, self.outer, self.new, self.named = tag, outer, new, named
         self.depth = outer.depth + 1 if outer else 1
 
 
@@ -127,11 +133,19 @@ def blocks(page: str) -> list[Block]:
         nonlocal hidden
         outer = stack[-1] if stack else None
         buckets = {*_element(tag, attributes), _pair(outer.tag, tag)} if outer else {*_element(tag, attributes)}
-        stack.append(Path(tag, outer, tuple(buckets - seen)))
+        stack.append(Path(tag, outer, tuple(buckets - seen), _NAMES.search(attributes) is not None))
         seen.update(buckets)
         opened[tag] = opened.get(tag, 0) + 1
         hidden += tag in NEVER
 
+    last_end: dict[str, int] = {}
+
+    def ends_later(tag: str) -> bool:
+        """Whether an end tag of that name follows; the last one of the page is looked for once."""
+        if tag not in last_end:
+            last_end[tag] = max((x.start() for x in _ENDS[tag].finditer(page)), default=-1)
+        return last_end[tag] >= at
+
     m = _TAG.search(page, 0)
     while m:
         if m.start() > at:
@@ -140,10 +154,18 @@ def blocks(page: str) -> list[Block]:
         tag = m.group(2)
         if tag:
             tag, closing = tag.lower(), m.group(1)
+            if not closing and opened.get("head") and tag not in IN_HEAD:
+                pop_to(next(k for k, element in enumerate(stack) if element.tag == "head"))
             if tag in RAW:
                 if not closing:
                     end = _RAW_END[tag].search(page, at)
-                    at = len(page) if end is None else page.find(">", end.end()) + 1 or len(page)
+                    if end is not None:
+                        at = page.find(">", end.end()) + 1 or len(page)
+                    elif tag in ("script", "style"):
+                        at = len(page)
+                    else:  # of a title without an end only what stands before the next tag, or the body, is lost
+                        body = _BODY.search(page, at)
+                        at = body.start() if body else page.find("<", at) if "<" in page[at:] else len(page)
             elif tag == "a":
                 link = 0 if closing else 1
             elif tag == "br":
@@ -175,7 +197,7 @@ def blocks(page: str) -> list[Block]:
                                 if not left:
                                     break
                         pop_to(cut)
-                    if not m.group(3).endswith("/"):
+                    if not m.group(3).endswith("/") and (tag not in NEVER or tag == "head" or ends_later(tag)):
                         push(tag, m.group(3))
         m = _TAG.search(page, at)
     add(page[at:])
@@ -189,12 +211,12 @@ CUES = re.compile(r"cookie|consent|privacy|newsletter|subscri|sign (?:in|up)|log
 
 
 @lru_cache(maxsize=20_000)
-def _own(tag: str, depth: int) -> tuple[int, int]:
-    return _hash(f"own:{tag}"), _hash(f"depth:{depth}")
+def _own(tag: str, depth: int, named: bool) -> tuple[int, int]:
+    return _hash(f"own:{tag}:{named}"), _hash(f"depth:{depth}")
 
 
 def own_features(path: Path | None) -> tuple[int, int]:
-    return _own(path.tag, min(path.depth, 6)) if path else _own("none", 0)
+    return _own(path.tag, min(path.depth, 6), path.named) if path else _own("none", 0, False)
 
 
 def path_features(path: Path | None) -> set[int]:
@@ -324,7 +346,7 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
                 block(rng.choice(("p", "div", "h3", "li")), rng.choice((text, f"{cue} {text}")), False)
             parts.append(f"</{tag}>")
         else:
-            block(tag, rng.choice((sentence(), words(2, 6), f'{cue} {words(1, 5)} <a href="#">{words(1, 3)}</a>', cue or words(1, 3))), False, attributes)
+            block(tag, rng.choice((sentence(), words(2, 6), " ".join(sentence() for _ in range(rng.randint(2, 6))), f'{cue} {words(1, 5)} <a href="#">{words(1, 3)}</a>', cue or words(1, 3))), False, attributes)
 
     boilerplate = [
         lambda: menu("nav", named("nav menu navbar breadcrumb")),
@@ -355,16 +377,17 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
         parts.append(f"</{t}>")
 
     def article() -> None:
-        tag, attributes = rng.choice((("article", ""), ("article", ""), ("article", named("post article entry")), ("main", ""), ("div", named("content article-body post entry story main-content")), ("div", ' role="main"'), ("section", named("article content story"))))
-        wrap = rng.random() < 0.3
-        parts.append(f"<main{rng.choice(('', ' id=\"main\"'))}>" * wrap + f"<{tag}{attributes}>")
+        tag, attributes = rng.choice((("article", ""), ("article", ""), ("article", named("post article entry")), ("main", ""), ("div", named("content article-body post entry story main-content")), ("div", ' role="main"'), ("section", named("article content story")))) if rng.random() < 0.9 else rng.choice((("div", ""), ("", "")))
+        wrap = rng.random() < 0.3 if tag else False
+        bare = tag in ("", "div") and not attributes  # prose in plain divs or straight in the body
+        parts.append(f"<main{rng.choice(('', ' id=\"main\"'))}>" * wrap + f"<{tag}{attributes}>" * bool(tag))
         if rng.random() < 0.8:
             block("h1", words(2, 9).capitalize() + rng.choice(("", ".")), True)
         for _ in range(rng.randint(1, 9)):
             kind = rng.random()
             text = " ".join(sentence() for _ in range(rng.randint(1, 6)))
             if kind < 0.7:
-                block("p", rng.choice((text, f"<b>{text}", text.replace(" ", f' <a href="/x">{word()}</a> ', 1), word() + ".")), True)
+                block("div" if bare and rng.random() < 0.5 else "p", rng.choice((text, f"<b>{text}", text.replace(" ", f' <a href="/x">{word()}</a> ', 1), word() + ".")), True)
             elif kind < 0.78:
                 block(rng.choice(("h2", "h3")), words(1, 6).capitalize(), True)
             elif kind < 0.84:
@@ -385,11 +408,11 @@ def labelled_page(rng: random.Random) -> tuple[str, list[bool]]:
                 rng.choice(inside)()
         if rng.random() < 0.15:
             comments()
-        parts.append(f"</{tag}>" + "</main>" * wrap)
+        parts.append(f"</{tag}>" * bool(tag) + "</main>" * wrap)
 
     shell = rng.randint(0, 4) if deep else 0
     parts.append("<!DOCTYPE html><html><head><title>x</title></head><body>" + "<div>" * shell)
-    for _ in range(rng.randint(1, 4)):
+    for _ in range(rng.choice((0, 1, 2, 3, 4, 4))):
         rng.choice(boilerplate)()
     article()
     if rng.random() < 0.3:

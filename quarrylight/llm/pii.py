@@ -90,13 +90,14 @@ def base_spans(text: str) -> list[Span]:
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\s]")
 _TRIGGER = re.compile(r"[0-9]|@|[(\[{]\s?at\s?[)\]}]|\b(?P<word>at)\b", re.I)
 _AT = re.compile(r"@|[(\[{]\s?at\s?[)\]}]|\bat\b", re.I)
-_DOT = re.compile(r"\w\.\w|[(\[{]\s?(?:dot|\.)\s?[)\]}]|\bdot\b", re.I)
+_DOT = re.compile(r"\w\.\w|\w\s\.\s\w|[(\[{]\s?(?:dot|\.)\s?[)\]}]|\bdot\b", re.I)
 #: What an address or a dotted quad is made of, whatever stands for at sign and dots.
 _ATS = r"(?:\s?@\s?|\s?[(\[{]\s?at\s?[)\]}]\s?|\sat\s)"
 _DOTS = r"(?:\s?\.\s?|\s?[(\[{]\s?(?:dot|\.)\s?[)\]}]\s?|\sdot\s)"
 _ADDRESS = re.compile(rf"[\w+%-]+(?:{_DOTS}[\w+%-]+)*{_ATS}[\w-]+(?:{_DOTS}[\w-]+)*{_DOTS}[^\W\d_]{{2,}}", re.I)
 _QUAD = re.compile(rf"\d{{1,3}}(?:{_DOTS}\d{{1,3}}){{3}}", re.I)
 _WORDS = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[\w-]+")
 
 
 def _shape(text: str) -> str:
@@ -104,6 +105,11 @@ def _shape(text: str) -> str:
     return re.sub(r"[0-9]+", lambda m: str(min(len(m.group()), 9)), _WORDS.sub("a", text))
 
 
+def _known(word: str) -> str:
+    """A word that makes a place of what follows, or any name: names themselves are no feature, so that unseen ones count alike."""
+    return word.lower() if word.lower() in PLACES else "name"
+
+
 def regions(text: str, taken: list[Span]) -> list[tuple[int, int]]:
     """Parts around digits and at signs, also written out where a dot is near, that no base span covers; base spans bound them."""
     if not _TRIGGER.search(text):
@@ -208,7 +214,10 @@ class Lattice:
             f"groups:{'-'.join(map(str, sizes[:8]))}",
             f"book:{numbers[0] in ('978', '979') if numbers else False}:{digits == 13}",
             f"thousands:{len(sizes) > 2 and sizes[0] <= 3 and set(sizes[1:]) == {3} and set(between) <= {',', '.'}}",
-            f"local:{names[0].lower() if len(names) == 1 else len(names)}:{bool(re.search('[0-9._-]', local))}" if at else "local:none",
+            f"local:{_known(names[0]) if len(names) == 1 else len(names)}:{bool(re.search('[0-9._-]', local))}" if at else "local:none",
+            f"thing:{before.group(1).lower() in THINGS if before else False}:{_known(names[0]) if len(names) == 1 else len(names)}" if at else "thing:none",
+            f"cue:{not CONTACT.isdisjoint(_WORD.findall(text[max(0, s - 48) : s].lower()))}:{_known(names[0]) == 'name' if names else False}" if at else "cue:none",
+            f"provider:{not PROVIDERS.isdisjoint(w.lower() for w in letters)}" if at else "provider:none",
             f"host:{any(w.lower() == 'www' for w in letters)}:{'@' in span}:{bool(re.search(r'[(\[{]', span))}:{bool(re.search(r'(?i)\bdot\b', span))}" if at else "host:none",
             f"spaced:{any(c.isspace() for c in local)}:{len(re.findall(r'(?i)\bdot\b', local))}" if at else "spaced:none",
             f"first:{span[0] if not span[0].isalnum() else 'd' if span[0].isdigit() else 'a'}:{span.count('(') == span.count(')')}",
@@ -296,9 +305,18 @@ class SemiMarkov:
 
 # ---- training sentences -------------------------------------------------------------------------------------------
 
-#: Words before "at" and a host that make a place of it, not an address.
-PLACES = """look looking meet met see visit found posted available hosted based read listen work works working study arrive arrived stop stay live
-lives download online sold shown listed published more details here us it them starts ends aimed order buy live page site server error file docs prices""".split()
+#: Words before "at" and a host that make a place of it, not an address; and words that make the next one a thing.
+PLACES = """look looking meet met see visit found find posted available hosted based read listen work works working study arrive arrived stop stay live
+lives download downloads online sold shown listed published more details here us it them starts ends aimed order orders buy page site server error file docs prices
+tickets news shop store deals offers reviews blog forum wiki help archive mirror demo map maps jobs careers events program programs people friends team staff office
+school home desk anyone everyone someone engineer manager editor writer developer researcher professor student director intern employee ceo
+website webpage copy copies code source sources data paper papers video videos article articles documentation guide information info register registered
+apply join watch stream play free now today again directly check checked started worked employed""".split()
+THINGS = ("the", "a", "an", "our", "your", "their", "its", "this", "that", "these", "some", "all", "any", "of", "new", "more", "many", "every", "and", "for", "le", "la", "les", "der", "die", "das", "el", "los")
+#: Words that tell of an address some way before it; hosts that give addresses to anybody.
+CONTACT = frozenset("mail email e-mail mails emails address addresses contact write writes wrote reach send sends ask asked reply kontakt schreiben schreib adresse courriel écrivez écrire correo escriba escríbame escribir dirección".split())
+PROVIDERS = frozenset("gmail googlemail hotmail outlook yahoo live msn icloud aol gmx web mail proton protonmail laposte orange free t-online freenet".split())
+ADDRESSING = ("write to", "mail", "email", "contact", "reach me as", "my mail is", "my address is", "address:", "send it to", "ask", "e-mail:", "Kontakt:", "escriba a", "écrivez à", "reach us under", "mail me:", "please send it to", "questions to", "contact me:")
 #: Words that lead to an address, number or card; and to numbers that are none.
 LEADS = ("call", "tel", "phone:", "mail", "contact", "write to", "e-mail", "reach", "mobile", "fax", "tél.", "telefon", "teléfono", "ip", "host", "server", "card", "visa", "no.", "from", "pay with", "at", "email me:", "ask")
 COUNTS = ("isbn", "order", "ref", "invoice", "version", "sum", "total", "population", "date", "on", "serial", "ssn", "since", "page", "score", "section", "about", "paid", "tracking", "the")
@@ -316,10 +334,11 @@ def _sentence(rng: random.Random) -> list[tuple[str, int]]:
         return body + last
 
     def email() -> str:
-        at, dot = rng.choice(((" at ", " dot "), (" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", " dot "), ("(at)", "."), (" AT ", " DOT "), (" (at) ", "."), (" @ ", " . "), (" at ", "."), (" at ", "."), (" at ", "."), ("{at}", "{dot}")))
+        at, dot = rng.choice(((" at ", " dot "), (" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", " dot "), ("(at)", "."), (" AT ", " DOT "), (" (at) ", "."), (" @ ", " . "), ("{at}", "{dot}")) + ((" at ", "."),) * 8)
         joint = rng.choice((".", "_", "-", dot if dot != " . " else ".", dot if dot != " . " else "."))
-        user = word() + rng.choice(("", "", joint + word(), d(2), joint + d(2), joint + rng.choice("abcdefg") + joint + word() if rng.random() < 0.3 else ""))
-        host = rng.choice(("mail" + d(1), word(), word() + "-" + word())) + dot + rng.choice(("", "", "example" + dot))
+        user = word() + rng.choice(("", "", "", joint + word(), d(2), joint + d(2), joint + rng.choice("abcdefg") + joint + word() if rng.random() < 0.3 else ""))
+        user = user.capitalize() if rng.random() < 0.15 else user
+        host = rng.choice(("mail" + d(1), word(), word(), word() + "-" + word(), rng.choice(sorted(PROVIDERS)))) + dot + rng.choice(("", "", "example" + dot))
         return user + at + host + end().replace(".", dot)
 
     def phone() -> str:
@@ -366,8 +385,12 @@ def _sentence(rng: random.Random) -> list[tuple[str, int]]:
                 lambda: f"{card(False)[:4]} {d(4)} {d(4)} {d(3)}",
                 lambda: d(rng.randint(15, 24)),
                 lambda: f"at {word()} the {word()}.",
-                lambda: f"{rng.choice(PLACES)} at {rng.choice(('', 'www.'))}{word()}.{end()}",
-                lambda: f"{rng.choice(PLACES)} at {rng.choice(('', 'www.'))}{word()}.{end()}",
+                lambda: f"{rng.choice(PLACES)} at {rng.choice(('', '', 'www.'))}{word()}.{end()}",
+                lambda: f"{rng.choice(PLACES)} at {rng.choice(('', '', 'www.'))}{word()}.{end()}",
+                lambda: f"{rng.choice(PLACES)} at {word()}.{end()}",
+                lambda: f"{rng.choice(THINGS)} {word()} at {rng.choice(('', '', 'www.'))}{word()}.{end()}",
+                lambda: f"{rng.choice(THINGS)} {word()} at {word()}.{end()}",
+                lambda: f"{word()} at www.{word()}.{end()}",
                 lambda: f"{rng.choice(PLACES)} at {word()} dot {word()}",
                 lambda: f"version {d(1)}.{d(2)}",
                 lambda: f"id {d(6)}-{d(4)}",
@@ -391,7 +414,9 @@ def _sentence(rng: random.Random) -> list[tuple[str, int]]:
     for _ in range(rng.randint(1, 2)):
         if rng.random() < 0.45:
             label, make = rng.choice(makers)
-            if rng.random() < 0.5:
+            if label == 1 and rng.random() < 0.7:
+                parts.append((rng.choice(ADDRESSING), 0))
+            elif rng.random() < 0.5:
                 parts.append((rng.choice(LEADS), 0))
             made = make()
             parts.append((made.strip(), label))

@@ -52,3 +52,51 @@ def test_deep_pages_cost_linear_time():
         began = time.process_time()
         extraction.main_text(page, model)
         assert time.process_time() - began < 5, tag
+
+
+PROSE = ["The ver unde mo listan quever the on, and io re staver.", "Enla reverun the osté staver io cheun listan.", "Mo li un de io cheun the last one of ver unde."]
+
+
+def test_valid_pages_without_optional_tags_keep_their_text():
+    model = extraction.trained()
+    paragraphs = "".join(f"<p>{p}</p>" for p in PROSE)
+    for head in ("<html><head><title>x</title><body>", "<head><meta charset=utf-8><title>x</title>", "<title>x</title>", "<html><head><title>x<body>", "<head><title>x</title><style>p{}</style><script>1<2</script>", "<head><noscript><link href=a></noscript><body>"):
+        assert extraction.main_text(f"{head}<article>{paragraphs}</article>", model) == " ".join(PROSE), head
+    for odd in ("<noscript>", "<object data=x>", "<video src=x>", "<button>", "<svg>", "<select>"):
+        page = f"<body><article><p>{PROSE[0]}</p>{odd}<p>{PROSE[1]}</p><p>{PROSE[2]}</p></article>"
+        assert extraction.main_text(page, model) == " ".join(PROSE), odd
+    assert [b.text for b in extraction.blocks("<noscript>a</noscript><p>b<noscript>c")] == ["b", "c"]
+    assert [b.text for b in extraction.blocks("<p>a<textarea>b</textarea> c<textarea>d")] == ["a c"]
+    assert [b.text for b in extraction.blocks("<head><title>x</title>loose<p>y</p>")] == ["y"]
+
+
+def test_formulas_stay_in_their_paragraph():
+    model = extraction.trained()
+    page = f"<body><article><p>{PROSE[0]}</p><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be the ver.</p><p>{PROSE[1]}</p></article>"
+    assert extraction.main_text(page, model) == f"{PROSE[0]} Let x=2 be the ver. {PROSE[1]}"
+
+
+def test_prose_in_plain_divs():
+    model = extraction.trained()
+    long = [" ".join(PROSE), " ".join(reversed(PROSE))]
+    for page in ("<body>{}</body>", "<body><div>{}</div></body>", "<body><nav class=menu><ul><li><a href=/a>Mo re</a></ul></nav><div>{}</div><footer>© All rights reserved</footer>"):
+        assert extraction.main_text(page.format("".join(f"<div>{p}</div>" for p in long)), model) == " ".join(long), page
+
+
+def test_viterbi_finds_the_best_labelling_of_all():
+    import itertools
+
+    model, rng = extraction.trained(), random.Random(8)
+    for _ in range(40):
+        found = extraction.blocks(extraction.labelled_page(rng)[0])[:9]
+        best = model.decode(found)
+        if not found:
+            continue
+        scores = {labels: total(model, found, labels) for labels in itertools.product((0, 1), repeat=len(found))}
+        assert abs(scores[tuple(map(int, best))] - max(scores.values())) < 1e-9
+
+
+def total(model, found, labels):
+    known = {}
+    scores = [model.score(b, known) for b in found]
+    return model.start[labels[0]] + sum(s * y for s, y in zip(scores, labels)) + sum(model.transitions[a, b] for a, b in zip(labels, labels[1:]))
