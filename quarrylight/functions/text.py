@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 #: Token patterns and character ranges.
 WORD_PATTERN = r"[a-zA-Z0-9_]+|[\x{4e00}-\x{9fff}]+"
-LEXICAL_PATTERN = r"[a-z0-9]+(?:[._+#/-][a-z0-9]+)*|[\x{3400}-\x{9fff}]+"
+JOINERS, FEW_JOINERS = "._+#/-", "._/-"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 LETTER = r"[A-Za-z\x{4e00}-\x{9fff}]"
 HEADING = r"(?m)^#{1,3}\s+(.+)$"
@@ -47,9 +47,10 @@ def folded(text: Column) -> Column:
     return F.pandas_udf(_fold, "string")(text)
 
 
-def lexical_tokens(folded_text: Column) -> Column:
-    """Words with inner joiners; runs of ideographs as all pairs, then all triples. Takes text that folded() has made."""
-    found = F.regexp_extract_all(folded_text, F.lit(LEXICAL_PATTERN), F.lit(0))
+def lexical_tokens(folded_text: Column, joiners: str = JOINERS) -> Column:
+    """Words with inner joiners; runs of ideographs as all pairs, then all triples. Takes text that folded() has made; with FEW_JOINERS plus
+    and hash signs part words."""
+    found = F.regexp_extract_all(folded_text, F.lit(rf"[a-z0-9]+(?:[{joiners}][a-z0-9]+)*|[\x{{3400}}-\x{{9fff}}]+"), F.lit(0))
     run = r"^[\x{3400}-\x{9fff}]+$"
     many = lambda t: F.when(F.length(t) >= 3, F.concat(_grams(t, 2), _grams(t, 3))).otherwise(_grams(t, 2))
     return F.flatten(F.transform(found, lambda t: F.when(t.rlike(run) & (F.length(t) > 1), many(t)).otherwise(F.array(t))))
@@ -102,8 +103,9 @@ def normal_markdown(text: Column) -> Column:
 
 
 def headings(markdown: Column) -> Column:
-    plain = lambda h: F.trim(F.regexp_replace(h, r"\[([^\]]*)\]\([^)]*\)", "$1"))
-    return F.array_distinct(F.transform(F.regexp_extract_all(markdown, F.lit(HEADING), F.lit(1)), plain))
+    """Distinct headings of the first three levels, without the links in them."""
+    plain = lambda h: F.regexp_replace(F.regexp_replace(h, r"\s*\[[^\]]*\]\([^)]*\)", ""), r"^\s+|\s+$", "")
+    return F.array_distinct(F.filter(F.transform(F.regexp_extract_all(markdown, F.lit(HEADING), F.lit(1)), plain), lambda h: h != ""))
 
 
 def word_count(text: Column) -> Column:
@@ -111,8 +113,12 @@ def word_count(text: Column) -> Column:
 
 
 def url_slug(url: Column, longest: int = 100) -> Column:
-    body = F.regexp_replace(F.regexp_replace(url, r"^https?://", ""), r"[^A-Za-z0-9._-]+", "_")
-    return F.substring(F.regexp_replace(body, r"^[._-]+|[._-]+$", ""), 1, longest)
+    """Host, path and query of an address as a file name: each other character becomes a low line; page if nothing is left."""
+    bare = F.regexp_replace(F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"#.*$", "")
+    place, query = F.regexp_extract(bare, r"^[^?]*", 0), F.regexp_extract(bare, r"\?(.+)$", 1)
+    raw = F.concat(F.regexp_replace(place, r"^/+|/+$", ""), F.when(query != "", F.concat(F.lit("_"), query)).otherwise(""))
+    name = F.regexp_replace(F.regexp_replace(raw, r"[^\p{L}\p{N}._-]", "_"), r"^[._-]+|[._-]+$", "")
+    return F.substring(F.when(name == "", "page").otherwise(name), 1, longest)
 
 
 def lookup_text(folded_text: Column) -> Column:
@@ -144,3 +150,9 @@ def subtitle_time(seconds: Column) -> Column:
     ms = F.round(seconds * 1000).cast("long")
     whole = F.floor(ms / 1000)
     return F.format_string("%02d:%02d:%02d,%03d", F.floor(whole / 3600), F.floor(whole / 60) % 60, whole % 60, ms % 1000)
+
+
+def numbered(lines_: Column, first: Column | int = 1) -> Column:
+    """Lines as one text, each led by its number."""
+    start = F.lit(first) if isinstance(first, int) else first
+    return F.array_join(F.transform(lines_, lambda line, k: F.concat((start + k).cast("string"), F.lit(": "), line)), "\n")

@@ -237,7 +237,7 @@ regexp_extract_all(html, '(?is)<h[1-3][^>]*>(.*?)</h[1-3]>', 1) AS heads, list_d
 trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<title[^>]*>.*?</title>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS body FROM pages)
 SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, CASE WHEN title <> '' THEN title ELSE coalesce(trim(regexp_replace(regexp_replace(heads[1], '<[^>]*>', '', 'g'), '\s+', ' ', 'g')), '') END AS title,
 len(heads) AS n_headings, len(links) AS n_links, len(regexp_extract_all(body, '[\x{4e00}-\x{9fff}]|[\p{L}\p{N}_]+')) AS n_words,
-substr(regexp_replace(regexp_replace(regexp_replace(url, '^https?://', ''), '[^A-Za-z0-9._-]+', '_', 'g'), '^[._-]+|[._-]+$', '', 'g'), 1, 100) AS slug FROM s""",
+substr(coalesce(nullif(regexp_replace(regexp_replace(rtrim(regexp_extract(url, '^https?://([^?#]*)', 1), '/') || CASE WHEN regexp_extract(url, '\?([^#]+)', 1) <> '' THEN '_' || regexp_extract(url, '\?([^#]+)', 1) ELSE '' END, '[^\p{L}\p{N}._-]', '_', 'g'), '^[._-]+|[._-]+$', '', 'g'), ''), 'page'), 1, 100) AS slug FROM s""",
     "page_links": r"""WITH r AS (SELECT page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS base, unnest(list_distinct(regexp_extract_all(html, '(?i)<a\s[^>]*href="([^"]*)"', 1))) AS href FROM pages),
 h AS (SELECT page_id, base, regexp_replace(href, '#.*$', '') AS href FROM r), t AS (SELECT page_id, base, CASE WHEN href LIKE '/%' AND href NOT LIKE '//%' THEN base || href ELSE href END AS target FROM h)
 SELECT DISTINCT page_id, target, regexp_extract(target, '^https?://([^/?#]+)', 1) = regexp_extract(base, '^https?://([^/?#]+)', 1) AS internal FROM t WHERE regexp_matches(target, '^https?://')""",

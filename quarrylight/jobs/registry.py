@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import corpus, product, records, runs, search
+from . import cases, corpus, pages, product, records, runs, search
 
-MODULES = [search, corpus, product, records, runs]
+MODULES = [search, corpus, product, pages, cases, records, runs]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

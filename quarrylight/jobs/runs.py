@@ -9,6 +9,7 @@ from quarrylight.functions.text import word_tokens
 from quarrylight.jobs.shared import folder
 from quarrylight.operators import decisions, evaluation, events, web
 from quarrylight.streaming import events as streams
+from quarrylight.streaming import turns
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -55,6 +56,31 @@ def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("begin", F.col("begin").cast("timestamp_ntz"))
 
 
+def _answer_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations as answer streams, in chunks of 512 bytes: a step for each turn, a token and the usage for each turn of an assistant,
+    a step of a foreign run, and an end if the last turn is odd (done) or every fourth one (error)."""
+    said = _t(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("run_id"), "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    step = turns.frame("step", F.struct("run_id", F.col("turn").cast("string").alias("id"), F.col("role").alias("phase"), F.lit("running").alias("status")))
+    foreign = turns.frame("step", F.struct(F.lit("other").alias("run_id"), F.lit("x").alias("id")))
+    token = turns.frame("token", F.struct("text"))
+    usage = turns.frame("usage", F.struct("run_id", F.col("turn").alias("reported_calls")))
+    told = said.withColumn("f", F.when(F.col("role") == "assistant", F.concat(step, foreign, token, usage)).otherwise(F.concat(step, foreign)))
+    whole = told.groupBy("run_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "f"))), lambda x: x["f"]), "").alias("text"), F.max("turn").alias("last"))
+    end = F.when(F.col("last") % 2 == 1, turns.frame("done", F.struct(F.lit(True).alias("ok")))).when(F.col("last") % 4 == 0, turns.frame("error", F.struct(F.lit("no answer").alias("message")))).otherwise("")
+    return turns.cut(whole.select("run_id", F.concat("text", end).alias("text")), 512)
+
+
+def turn_states(spark: SparkSession, sf: str) -> DataFrame:
+    """The last state of each answer: its stream is read in four micro-batches, chunks of a run in any of them."""
+    base = folder(spark, "turns")
+    chunks = _answer_chunks(spark, sf)
+    chunks.repartition(4, F.xxhash64("run_id", "seq")).write.parquet(f"{base}/chunks")
+    stream = spark.readStream.schema(chunks.schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/chunks")
+    out = turns.latest(streams.drain(turns.turns(stream), f"{base}/out", f"{base}/state"))
+    interrupted = F.size(F.filter("steps", lambda s: s["status"] == "interrupted")).cast("long")
+    return out.select("run_id", "frames", "outcome", F.sha2("answer", 256).alias("answer_sha"), "reported_calls", F.size("steps").cast("long").alias("steps"), interrupted.alias("interrupted"), "error", (F.col("total_ms").isNotNull()).alias("timed"))
+
+
 def conversation_history(spark: SparkSession, sf: str) -> DataFrame:
     """The last nine rows of each conversation."""
     return evaluation.history(_t(spark, sf, "conversations"))
@@ -84,7 +110,7 @@ def repair_decisions(spark: SparkSession, sf: str) -> DataFrame:
     return runs.select("user_id", decision.alias("decision"))
 
 
-QUERIES = {f.__name__: f for f in (stage_telemetry, usage_ledger, event_reduce, event_windows, event_sessions, stream_steps, stream_windows, conversation_history, observed_urls, execution_modes, repair_decisions)}
+QUERIES = {f.__name__: f for f in (stage_telemetry, usage_ledger, event_reduce, event_windows, event_sessions, stream_steps, stream_windows, turn_states, conversation_history, observed_urls, execution_modes, repair_decisions)}
 
 ORACLES = {
     "stage_telemetry": "SELECT user_id, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
@@ -94,6 +120,10 @@ ORACLES = {
     "event_sessions": "WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 minutes THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM g) SELECT user_id, min(ts) AS begin, count(*) AS n FROM s GROUP BY user_id, s",
     "stream_steps": "SELECT user_id, arg_max(event_type, event_id) AS last_phase, count(*) AS steps FROM events GROUP BY user_id",
     "stream_windows": "WITH w AS (SELECT time_bucket(INTERVAL 1 hour, ts) AS begin, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL) SELECT * FROM w WHERE begin + INTERVAL 1 hour <= (SELECT max(ts) - INTERVAL 10 minutes FROM events)",
+    "turn_states": """WITH c AS (SELECT conv_id::VARCHAR AS run_id, max(turn) AS last, count(*) AS n, count(*) FILTER (role = 'assistant') AS a, coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS answer,
+max(turn) FILTER (role = 'assistant') AS reported_calls FROM conversations GROUP BY conv_id)
+SELECT run_id, 2 * n + 2 * a + (last % 2 = 1 OR last % 4 = 0)::INT AS frames, CASE WHEN last % 2 = 1 THEN 'completed' WHEN last % 4 = 0 THEN 'failed' ELSE 'running' END AS outcome, sha256(answer) AS answer_sha, reported_calls,
+n AS steps, CASE WHEN last % 4 = 0 THEN n ELSE 0 END AS interrupted, CASE WHEN last % 4 = 0 THEN 'no answer' END AS error, last % 2 = 1 AS timed FROM c""",
     "conversation_history": "WITH k AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role, text) AS n FROM conversations) SELECT conv_id, count(*) AS n, string_agg(role, ',' ORDER BY turn, role, text) AS roles, sum(length(text))::BIGINT AS chars FROM k WHERE n <= 9 GROUP BY conv_id",
     "observed_urls": r"""WITH t AS (SELECT 'user' AS origin, conv_id AS id, text FROM conversations WHERE role = 'user' UNION ALL SELECT 'document', doc_id, text FROM documents),
 u AS (SELECT origin, id, regexp_replace(unnest(regexp_extract_all(text, 'https?://[^\s<>"'')\]]+|@[A-Za-z0-9.-]+')), '[.,;，。；]+$', '') AS url FROM t)

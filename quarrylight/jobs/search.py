@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarrylight.functions.text import blank_tokens, bounded_lines, clean, folded, lexical_tokens, windowed_tokens, word_tokens
-from quarrylight.operators import dense, evaluation, fusion, lexical, web
+from quarrylight.operators import dense, evaluation, fusion, lexical, vector_index, web
 
 K = 6
 
@@ -151,6 +151,13 @@ def dense_topk(spark: SparkSession, sf: str) -> DataFrame:
     return dense.nearest(_fiftieth(v), v, 5).select("query_id", "vec_id", F.col("rank").cast("long").alias("rank"), F.round("cosine", 6).alias("cosine"))
 
 
+def ann_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by an inverted-file index over all vectors, which looks at as many lists as hold 0.95 of a sample's neighbours."""
+    v = _vectors(spark, sf)
+    found = vector_index.build(v).search(_fiftieth(v), 5)
+    return found.select("query_id", "vec_id", F.col("rank").cast("long").alias("rank"), F.round("cosine", 6).alias("cosine"))
+
+
 def dense_threshold(spark: SparkSession, sf: str) -> DataFrame:
     """Of the eight nearest, those of a least similarity."""
     v = _vectors(spark, sf)
@@ -274,7 +281,7 @@ def _fused(alpha: str) -> str:
     return f"SELECT item_id, doc_id, {alpha} * coalesce(a.v, 0) + (1 - {alpha}) * coalesce(b.v, 0) AS score FROM ({_norm('d')}) a FULL JOIN ({_norm('l')}) b USING (item_id, doc_id)"
 
 
-QUERIES = {f.__name__: f for f in (product_search, bm25_stats, bm25_plus_topk, bm25_okapi_topk, scoped_bm25_topk, routed_bm25_topk, diversified_topk, doc_router, lexical_search, routed_fusion, dense_topk, dense_threshold, dense_label_recall, mmr_topk, rrf_equal, rrf_weighted, alpha_fusion, experiment_summary, eval_term_hit, evidence_recall)}
+QUERIES = {f.__name__: f for f in (product_search, bm25_stats, bm25_plus_topk, bm25_okapi_topk, scoped_bm25_topk, routed_bm25_topk, diversified_topk, doc_router, lexical_search, routed_fusion, dense_topk, ann_topk, dense_threshold, dense_label_recall, mmr_topk, rrf_equal, rrf_weighted, alpha_fusion, experiment_summary, eval_term_hit, evidence_recall)}
 
 _LINES = r"""b0 AS (SELECT doc_id, source, CASE WHEN text = '' THEN [] WHEN l[-1] = '' THEN l[:-2] ELSE l END AS l FROM (SELECT doc_id, source, text, string_split_regex(text, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]') AS l FROM documents)),
 b AS (SELECT doc_id, source, flatten(list_transform(l, lambda s: list_transform(range(0, greatest(len(s), 1), 300), lambda k: substr(s, k + 1, 300)))) AS l FROM b0),

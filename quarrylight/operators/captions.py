@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarrylight.operators.decisions import is_placeholder
+
 from quarrylight.functions.text import clean, truncated
 
 #: Types of elements that hold running text, and the forms of caption texts.
@@ -93,3 +95,13 @@ def caption_join(images: DataFrame, captions: DataFrame, doc_col: str = "doc") -
     """(images with their captions, images still to be captioned): captions made before are used again by the element's place."""
     known = images.join(captions.select(doc_col, "index", "image_id", "caption"), [doc_col, "index"])
     return known, images.join(captions.select(doc_col, "index"), [doc_col, "index"], "left_anti")
+
+
+def persisted(made: DataFrame, stored: DataFrame, dry_run: bool, doc_col: str = "doc") -> DataFrame:
+    """What to write of captions (doc, index, ...): in a dry run stored ones stay in place of placeholders, so that none is lost."""
+    if not dry_run:
+        return made
+    good = stored.where(~is_placeholder(F.col("caption")))
+    lost = made.where(is_placeholder(F.col("caption"))).select(doc_col, "index").join(good, [doc_col, "index"], "left_semi")
+    kept = made.join(lost, [doc_col, "index"], "left_anti")
+    return kept.unionByName(good.join(lost, [doc_col, "index"], "left_semi").select(*made.columns))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -99,16 +101,14 @@ def chunk(docs: DataFrame, mode: str = "recursive", size: int = 512, overlap: in
 
 
 def subtitle_pieces(text: str, most: int) -> list[str]:
-    """A transcript segment in pieces: parts up to an end mark, trimmed and packed up to ``most`` characters; a longer part is cut hard on its own."""
+    """A transcript segment in pieces of at most ``most`` characters: as many whole parts as fit, a part running to an end mark; a longer part is cut hard on its own."""
     if len(text) <= most:
         return [text]
-    out, held = [], ""
-    for part in map(str.strip, re.findall(f"[^{END_MARKS}]+[{END_MARKS}]?", text) or [text]):
-        if len(held) + len(part) > most and held:
-            out.append(held)
-            held = ""
-        if len(part) > most:
-            out += [part[i : i + most] for i in range(0, len(part), most)]
-        else:
-            held += part
-    return out + [held] if held else out
+    parts = [text[m.start() : m.end() + 1].strip() for m in re.finditer(f"[^{END_MARKS}]+", text)] or [text]
+    reach, pieces, k = [0, *accumulate(map(len, parts))], [], 0
+    while k < len(parts):
+        fit = max(bisect_right(reach, reach[k] + most) - 1, k + 1)  # parts k to fit make one piece
+        whole = "".join(parts[k:fit])
+        pieces += [whole[i : i + most] for i in range(0, len(whole), most)]
+        k = fit
+    return pieces

@@ -106,6 +106,18 @@ def image_skip(kind: Column, source: Column, has_file: Column, area: Column, rat
     )
 
 
+#: Shortest caption that counts as one, and how captions of dry runs begin.
+SHORTEST_CAPTION = 40
+PLACEHOLDER = "DRY RUN CAPTION"
+
+
 def caption_quality(caption: Column) -> Column:
-    doubt = F.exists(F.array(*map(F.lit, DOUBT)), lambda m: F.contains(F.lower(caption), m))
-    return F.when(F.trim(F.coalesce(caption, F.lit(""))) == "", "empty").when(F.length(F.trim(caption)) < 40, "too_short").when(doubt, "uncertainty_markers").otherwise("")
+    """Why a caption is poor, with the limit or the words that say so; empty if it is good."""
+    text = F.lower(F.trim(F.regexp_replace(F.coalesce(caption, F.lit("")), r"^\s+|\s+$", "")))
+    doubts = F.filter(F.array(*map(F.lit, DOUBT)), lambda m: F.contains(text, m))
+    told = F.concat(F.lit("uncertainty_markers: "), F.array_join(doubts, ", "))
+    return F.when(text == "", "empty").when(F.length(text) < SHORTEST_CAPTION, f"too_short(<{SHORTEST_CAPTION} chars)").when(F.size(doubts) > 0, told).otherwise("")
+
+
+def is_placeholder(caption: Column) -> Column:
+    return F.coalesce(F.startswith(caption, F.lit(PLACEHOLDER)), F.lit(False))

@@ -48,3 +48,32 @@ def canonical(url: Column) -> Column:
     """Secure addresses without query, fragment, trailing slash and markdown suffix; null for others."""
     bare = F.regexp_replace(url, r"[?#].*$", "")
     return F.when(url.rlike(r"^https://[^/@\s]+"), F.regexp_replace(F.regexp_replace(bare, r"/+$", ""), r"\.md$", ""))
+
+
+#: Most characters of a page that is taken in.
+PAGE_CHARS = 1_000_000
+
+
+def taken_in(pages: DataFrame, url_col: str = "url", text_col: str = "text", longest: int = PAGE_CHARS) -> tuple[DataFrame, DataFrame]:
+    """(pages to take in, pages refused with a reason): addresses must be http ones without a user, texts neither blank nor too long."""
+    url, text = F.coalesce(F.col(url_col), F.lit("")), F.coalesce(F.col(text_col), F.lit(""))
+    reason = (
+        F.when(~url.rlike(r"(?i)^https?://(?:[^/?#@]*@)?[^/?#@:]"), "no http address")
+        .when(url.rlike(r"^[^/]*//[^/?#]*@"), "address with a user")
+        .when(~text.rlike(r"\S"), "empty")
+        .when(F.length(text) > longest, "too long")
+    )
+    marked = pages.withColumn("reason", reason)
+    return marked.where("reason is null").drop("reason"), marked.where("reason is not null")
+
+
+def catalogue(indexes: DataFrame, host: str, prefix: str, text_col: str = "text") -> DataFrame:
+    """(columns of indexes but the text, place, title, url): Markdown pages that an index links to on a host below a path, each once at its
+    first place with its last title."""
+    found = F.regexp_extract_all(text_col, F.lit(r"\[[^\]]+\]\(https://[^\s)]+\)"), F.lit(0))
+    others = [c for c in indexes.columns if c != text_col]
+    each = indexes.select(*others, F.posexplode(found).alias("place", "__l"))
+    linked = each.select(*others, "place", F.regexp_extract("__l", r"^\[([^\]]+)\]", 1).alias("title"), F.regexp_extract("__l", r"\((https://[^\s)]+)\)$", 1).alias("url"))
+    path = F.regexp_extract("url", r"^https://[^/?#]*([^?#]*)", 1)
+    on = (F.regexp_extract("url", r"^https://([^/?#]*)", 1) == host) & path.startswith(prefix) & path.endswith(".md") & ~F.contains("url", F.lit("?"))
+    return linked.where(on).groupBy(*others, "url").agg(F.min("place").alias("place"), F.max_by("title", "place").alias("title")).select(*others, "place", "title", "url")

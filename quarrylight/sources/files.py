@@ -46,7 +46,7 @@ def versioned_documents(spark: SparkSession, root: str, version: str | None = No
     reason = F.when(~F.col("__valid"), "not UTF-8").when(F.col("text") == "", "empty")
     name = F.element_at(F.split("source", "/"), -1)
     named = F.trim(F.regexp_extract("text", TITLE, 1))
-    identity = F.concat(F.lit('{"source":"'), F.col("source"), F.lit('","source_sha256":"'), F.col("source_sha256"), F.lit('"}'))
+    identity = F.to_json(F.struct("source", "source_sha256"))  # keys in order, quotes and backslashes of names escaped
     good = rows.where(reason.isNull()).select(
         F.concat(F.lit("txt-"), short_hash(identity, 24)).alias("document_id"),
         "source",
@@ -65,10 +65,30 @@ def eval_cases(spark: SparkSession, path: str) -> DataFrame:
     """(id, query, expected_source, expected_terms, expected_status) of a JSON-lines file; lines without a query are refused when read."""
     schema = "id string, query string, expected_source string, expected_terms array<string>, expected_status string"
     rows = json_lines(spark, path, schema)
+    if rows.isEmpty():
+        raise ValueError(f"no evaluation cases in {path}")
     query = F.when(F.coalesce(F.trim("query"), F.lit("")) != "", F.col("query")).otherwise(F.raise_error(F.lit("an evaluation case needs a query")))
     return rows.withColumn("query", query)
 
 
+def chunk_corpus(spark: SparkSession, path: str) -> DataFrame:
+    """(chunk_id, chunk_type, source, page, text, metadata: JSON) of a JSON-lines file of chunks; lines without a text are left out.
+
+    What a chunk's metadata says of its id, type, source (source_pdf) and page counts before what stands beside it.
+    """
+    told = spark.read.text(path).where(F.col("value").rlike(r"\S")).select(F.parse_json("value").alias("v"))
+    first = lambda inner, outer, kind="string": F.coalesce(F.try_variant_get("v", f"$.metadata.{inner}", kind), F.try_variant_get("v", f"$.{outer}", kind))
+    rows = told.select(
+        first("chunk_id", "id").alias("chunk_id"),
+        first("chunk_type", "chunk_type").alias("chunk_type"),
+        first("source_pdf", "source_pdf").alias("source"),
+        first("page", "page", "int").alias("page"),
+        F.try_variant_get("v", "$.text", "string").alias("text"),
+        F.to_json(F.try_variant_get("v", "$.metadata", "variant")).alias("metadata"),
+    )
+    return rows.where(F.coalesce("text", F.lit("")) != "")
+
+
 def write_json_lines(rows: DataFrame, path: str, compression: str = "none") -> None:
     """A JSON object for each row, a line each, in as many files as there are partitions."""
     rows.write.option("compression", compression).option("ignoreNullFields", "false").json(path)

@@ -33,17 +33,21 @@ def spark():
     session.stop()
 
 
-@pytest.fixture(scope="session")
-def duck():
+def connected(sf):
     import duckdb
 
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     return con
 
 
+@pytest.fixture(scope="session")
+def duck():
+    return connected(SF)
+
+
 @pytest.fixture(scope="session")
 def sf():
     return SF

@@ -71,7 +71,7 @@ def test_layout(spark):
 
 def test_decisions(spark):
     c = spark.createDataFrame([("",), ("short",), ("x" * 50,), ("The text is unclear, it may show a diagram of pumps",)], "t string")
-    assert [r.q for r in c.select(decisions.caption_quality(F.col("t")).alias("q")).collect()] == ["empty", "too_short", "", "uncertainty_markers"]
+    assert [r.q for r in c.select(decisions.caption_quality(F.col("t")).alias("q")).collect()] == ["empty", "too_short(<40 chars)", "", "uncertainty_markers: unclear"]
     boxes = [[0.0, 100.0, 10.0, 110.0], [1.0], [0.0, 50.0, 10.0, 500.0], [0.0, 10.0, 10.0, 70.0], [0.0, 725.0, 30.0, 735.0, 9.0], None]
     b = decisions.bbox_metrics(spark.createDataFrame([(k, x) for k, x in enumerate(boxes)], "k int, bbox array<double>")).orderBy("k").collect()
     assert [x.at_edge for x in b] == [False, False, False, True, True, False] and b[0].area == 100.0 and b[1].area is None and b[4].ratio == 3.0

@@ -1,12 +1,26 @@
-"""Every registered query that SQL can express gives the rows that DuckDB gives, on the smallest tables."""
+"""Every registered query that SQL can express gives the rows that DuckDB gives, on the tables of 0.01."""
 
 import collections
 
 import pandas as pd
 import pytest
 
+from conftest import connected
+
 from quarrylight.jobs import registry
 
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def sf():
+    return SF
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connected(SF)
+
 
 def rows(df):
     names = sorted(df.columns)
