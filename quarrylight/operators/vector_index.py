@@ -65,9 +65,11 @@ class Index:
 
     def search(self, queries: DataFrame, k: int, probes: int | None = None, query_col: str = "query_id", vector_col: str = "embedding", id_col: str = "vec_id", include_self: bool = False) -> DataFrame:
         """(query, id, cosine, rank) of the k best vectors of the lists that each query looks at, by exact cosine."""
+        kinds = [queries.schema[query_col].dataType.simpleString(), dict(self.blocks.dtypes)["ids"].removeprefix("array<").removesuffix(">")]
+        if not len(self.centroids):  # an index of nothing
+            return queries.sparkSession.createDataFrame([], f"`{query_col}` {kinds[0]}, `{id_col}` {kinds[1]}, cosine double, rank int")
         asked = _with_lists(usable(queries, query_col, vector_col), self.centroids, min(probes or self.probes, len(self.centroids)))
-        kind = asked.schema["id"].dataType.simpleString()
-        found = _compare(_query_blocks(asked), self.blocks, k, include_self, kind)
+        found = _compare(_query_blocks(asked), self.blocks, k, include_self, *kinds)
         order = Window.partitionBy("q").orderBy(F.round("cosine", 6).desc(), "id")
         ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         return ranked.select(F.col("q").alias(query_col), F.col("id").alias(id_col), "cosine", "rank")
@@ -100,7 +102,7 @@ def _query_blocks(asked: DataFrame) -> DataFrame:
     return _dealt(asked, ASKED, "q")
 
 
-def _compare(queries: DataFrame, blocks: DataFrame, k: int, include_self: bool, kind: str) -> DataFrame:
+def _compare(queries: DataFrame, blocks: DataFrame, k: int, include_self: bool, kind: str, other: str) -> DataFrame:
     """(q, id, cosine): the k best of each query in each pair of blocks of one list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +120,6 @@ def _compare(queries: DataFrame, blocks: DataFrame, k: int, include_self: bool,
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qi, order.shape[1])[keep.ravel()]), pa.array(vi[order][keep]), pa.array(best[keep])], names=["q", "id", "cosine"])
 
     pairs = blocks.select("list", "ids", "xs").join(queries, "list").select("qids", "qxs", "ids", "xs")
-    other = dict(blocks.dtypes)["ids"].removeprefix("array<").removesuffix(">")
     return pairs.mapInArrow(run, f"q {kind}, id {other}, cosine double")
 
 
