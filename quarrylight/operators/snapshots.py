@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quarrylight.functions.markdown import markdown
 from quarrylight.functions.text import clean, headings, normal_markdown, url_slug, word_count
 from quarrylight.functions.urls import resolved
+from quarrylight.jobs.shared import written
 
 #: For each provider the paths of its fields, first ones first. Links are references, or objects with an address in them.
 PATHS = {
@@ -79,7 +80,9 @@ def of_payloads(payloads: DataFrame, id_col: str = "page_id") -> tuple[DataFrame
         .when(F.col("__f.status") >= 400, F.concat(F.lit("status "), F.col("__f.status").cast("string")))
         .when(F.coalesce(F.length(F.trim("__f.markdown")) == 0, F.lit(True)), "no markdown")
     )
-    marked = read.withColumn("reason", reason)
+    kept = F.when(F.col("reason").isNotNull(), F.col("payload")).alias("payload")
+    # written once: both results read it, and a filter on the reason would else read every payload anew for each of its terms
+    marked = written(read.withColumn("reason", reason).select("__id", "provider", "source_url", kept, "__f", "reason"), "payloads")
     apart = marked.where("reason is not null").select(F.col("__id").alias(id_col), "provider", "source_url", "payload", "reason")
     good = marked.where("reason is null").select(F.col("__id").alias(id_col), "provider", "source_url", "__f.*")
     return finished(good, id_col), apart
