@@ -102,6 +102,30 @@ def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], count_col: s
     return near.unionByName(rest)
 
 
+#: Size of a bit table, whatever the input's size: 16 MB.
+BITS = 1 << 27
+
+
+def bit_table(bits: DataFrame, bit: Column) -> DataFrame:
+    """(bucket, bits): a bit table with the given bits, numbered from 0 and below BITS, set."""
+    numbered = bits.select((bit + 1).alias("bit"))
+    return numbered.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+
+
+def bit_of(*key: str) -> Column:
+    """A key's bit, below BITS."""
+    return F.pmod(F.xxhash64(*key), F.lit(BITS))
+
+
+def with_bit(rows: DataFrame, table: DataFrame, name: str, *key: str) -> DataFrame:
+    """Adds whether the table has the bit of a row's key set: true for keys that it was made of, and for a few others by chance."""
+    found = rows.withColumn("__bit", bit_of(*key) + 1).withColumn("bucket", F.bitmap_bucket_number("__bit"))
+    found = found.join(F.broadcast(table), "bucket", "left").withColumn("__at", F.bitmap_bit_position("__bit").cast("int"))
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("__at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.coalesce(F.call_function("shiftright", byte, F.col("__at") % 8).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    return found.select(*rows.columns, is_set.alias(name))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     modest_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

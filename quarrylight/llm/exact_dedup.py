@@ -17,53 +17,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, materialize, renamed, spread_join, text_or_empty
+from .common import bit_of, bit_table, documents, materialize, renamed, spread_join, text_or_empty, with_bit
 
 #: Most keys (of some 16 bytes) that are broadcast; beyond that the same join shuffles narrow rows.
 BROADCAST_KEYS = 200_000
-#: Size of the bit table of open keys.
-BITS = 1 << 27
 
 
 def normalised(text_col: str = "text") -> Column:
     return F.regexp_replace(text_or_empty(text_col), r"[\x20\x09-\x0D]+", " ")
 
 
+def is_small(df: DataFrame, bound: int = BROADCAST_KEYS) -> bool:
+    return df.limit(bound + 1).count() <= bound
+
+
 def small(df: DataFrame, bound: int = BROADCAST_KEYS) -> DataFrame:
     """Marks a table for broadcast if it has been counted and found small enough; a shuffle join serves otherwise."""
-    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
+    return F.broadcast(df) if is_small(df, bound) else df
 
 
 def _sketch(text: Column, prefix_chars: int) -> list[Column]:
     return [F.length(text).alias("__n"), F.xxhash64(F.substring(text, 1, prefix_chars)).alias("__prefix")]
 
 
-def _bit(*key: str) -> Column:
-    """A key's bit, from 1 to BITS."""
-    return F.pmod(F.xxhash64(*key), F.lit(BITS)) + 1
-
-
 def open_keys(docs: DataFrame, text_col: str, prefix_chars: int) -> DataFrame:
     """(bucket, bits): the bit table of (length, prefix hash) pairs that more than one row has."""
     pairs = docs.select(*_sketch(normalised(text_col), prefix_chars)).groupBy("__n", "__prefix").agg(F.count("*").alias("c"))
     pairs = materialize(pairs, "exact-keys")
     lengths = pairs.groupBy("__n").agg(F.sum("c").alias("rows"), F.count("*").alias("pairs")).where("rows > 1").select("__n", "pairs")
-    again = spread_join(pairs, materialize(lengths, "exact-lengths"), ["__n"], "pairs").where("c > 1").select(_bit("__n", "__prefix").alias("bit"))
-    table = again.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-    return materialize(table, "exact-open")
+    again = spread_join(pairs, materialize(lengths, "exact-lengths"), ["__n"], "pairs").where("c > 1")
+    return materialize(bit_table(again, bit_of("__n", "__prefix")), "exact-open")
 
 
 def with_digests(docs: DataFrame, text_col: str, prefix_chars: int, every: bool = False) -> DataFrame:
     """Adds __sha, the full hash of rows that are open (null for others; taken of all with ``every``), and __open."""
     table = open_keys(docs, text_col, prefix_chars)
     rows = docs.withColumn("__t", normalised(text_col))
-    rows = rows.select("*", *_sketch(F.col("__t"), prefix_chars))
-    rows = rows.withColumn("__bit", _bit("__n", "__prefix")).withColumn("bucket", F.bitmap_bucket_number("__bit"))
-    rows = rows.join(F.broadcast(table), "bucket", "left").withColumn("__at", F.bitmap_bit_position("__bit").cast("int"))
-    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("__at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_open = F.coalesce(F.call_function("shiftright", byte, F.col("__at") % 8).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    rows = with_bit(rows.select("*", *_sketch(F.col("__t"), prefix_chars)), table, "__open", "__n", "__prefix")
     sha = F.sha2("__t", 256)
-    return rows.select(*docs.columns, is_open.alias("__open"), (sha if every else F.when(is_open, sha)).alias("__sha"))
+    return rows.select(*docs.columns, "__open", (sha if every else F.when(F.col("__open"), sha)).alias("__sha"))
 
 
 def _decided(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

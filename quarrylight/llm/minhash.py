@@ -9,10 +9,13 @@ A bucket's pairs are never listed. First its members are compared with one pivot
 in the members; the links found join most of a group of near copies into one component. Only buckets that still hold
 several components go on, and there only pairs between different components count: members outside the bucket's
 largest component are compared with all members in blocks, inside tasks, each pair in the first band it shares. Of the
-pairs that survive, a task returns the few best for each member, and which members had any; once those are confirmed
-and joined, members that had survivors in buckets that are still divided are compared again, this time with their full
-sets in the task, which confirms all surviving pairs between components and returns the links that join them. Links
-inside a component can't change the result, so what is left out is exactly what needs no look.
+pairs that survive, a task returns the few best for each member, and which members had more; once those are confirmed
+and joined, members with more in buckets that are still divided are compared again, this time with their full sets in
+the task, which confirms all surviving pairs between components and returns the links that join them. Links inside a
+component can't change the result, so what is left out is exactly what needs no look.
+
+Signatures are shuffled for classes that share a bucket only, which a bit table of fixed size tells the scan; tables of
+signatures and sets are deleted as soon as nothing reads them. Classes are named by numbers.
 
 Defined cases: texts that are null, empty or blank have no shingles and are linked with nothing (kept, each on its
 own); texts with fewer words than a shingle have one shingle, the whole sequence; of rows that repeat id and words one
@@ -33,9 +36,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, materialize, renamed, spread_join, text_batches, text_or_empty
+from .common import BITS, bit_of, bit_table, documents, drop_table, materialize, renamed, spread_join, text_batches, text_or_empty, with_bit
 from .components import components
-from .exact_dedup import small
+from .exact_dedup import is_small
 
 
 @dataclass(frozen=True)
@@ -69,6 +72,10 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(33))
 
 
+def _digest(raw: bytes) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
 def shingle_set(text: str, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles. bytes.lower and bytes.split know ASCII letters and white space only."""
     tokens = text.encode("utf-8", "surrogatepass").lower().split()
@@ -146,11 +153,54 @@ def sketches(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFra
             if full:
                 sigs = signatures([sets[k] for k in full], rule)
                 for k, one, bands in zip(full, sigs, band_keys(sigs, rule)):
-                    fp[k], sig[k], keys[k] = hashlib.blake2b(sets[k].tobytes(), digest_size=16).hexdigest(), one.tobytes(), bands
+                    fp[k], sig[k], keys[k] = _digest(sets[k].tobytes()), one.tobytes(), bands
             n = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), n, pa.array(fp, pa.string()), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "fp", "sig", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), n, pa.array(fp, pa.binary()), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "fp", "sig", "keys"])
+
+    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("t")).mapInArrow(run, f"id {kind}, n long, fp binary, sig binary, keys array<long>")
+
 
-    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("t")).mapInArrow(run, f"id {kind}, n long, fp string, sig binary, keys array<long>")
+def class_table(sketch: DataFrame) -> DataFrame:
+    """(cls, fp, rep, size, n, sig, keys): classes of equal sets with a number, their smallest id and the number of their rows.
+
+    A bit table of the digests that recur tells the scan which rows are open; all others are classes as they stand and
+    aren't shuffled. Once written, the numbers are fixed; what follows names classes by them.
+    """
+    full = sketch.where("fp is not null")
+    again = materialize(bit_table(full.groupBy("fp").count().where("count > 1"), bit_of("fp")), "near-again")
+    marked = with_bit(full, again, "again", "fp")
+    alone = marked.where("not again").select("fp", F.col("id").alias("rep"), F.lit(1).cast("long").alias("size"), "n", "sig", "keys")
+    shared = marked.where("again").groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("size"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig"), F.any_value("keys").alias("keys"))
+    return alone.unionByName(shared).select(F.monotonically_increasing_id().alias("cls"), "*")
+
+
+def sharing(classes: DataFrame, shared: DataFrame) -> DataFrame:
+    """(cls, fp, rep, n, sig, keys) of the classes that may be in a bucket with others, with the keys of those buckets only.
+
+    The scan asks a bit table of fixed size for each key, so a class without such keys goes nowhere. A bit that another
+    key has set keeps a key in vain, which the join with the buckets drops.
+    """
+    table = bytearray(BITS // 8)
+    for bucket, bits in bit_table(shared, F.pmod("key", F.lit(BITS))).toLocalIterator():
+        table[(bucket - 1) * len(bits) : bucket * len(bits)] = bits
+    sent = classes.sparkSession.sparkContext.broadcast(bytes(table))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(sent.value, np.uint8)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = b.column(5).flatten().to_numpy().reshape(b.num_rows, -1)
+            at = keys & (BITS - 1)
+            hit = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+            some = np.flatnonzero(hit.any(1))
+            kept = pa.ListArray.from_arrays(np.r_[0, np.cumsum(hit[some].sum(1))].astype(np.int32), pa.array(keys[hit]))
+            yield pa.RecordBatch.from_arrays([*(b.column(k).take(pa.array(some)) for k in range(5)), kept], names=["cls", "fp", "rep", "n", "sig", "keys"])
+
+    wide = classes.select("cls", "fp", "rep", "n", "sig", "keys")
+    out = materialize(wide.mapInArrow(run, wide.schema), "sharing")
+    sent.destroy()
+    return out
 
 
 def _matrix(column: pa.Array, rule: Rule) -> np.ndarray:
@@ -159,7 +209,7 @@ def _matrix(column: pa.Array, rule: Rule) -> np.ndarray:
 
 def prune(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Of pairs (a, b) of classes, those whose sizes and signatures leave the threshold possible."""
-    side = lambda x: classes.select(F.col("fp").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}"))
+    side = lambda x: classes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}"))
     sized = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * F.least("na", "nb") >= rule.percent * F.greatest("na", "nb"))
 
     plan = least_matches(rule)
@@ -170,7 +220,7 @@ def prune(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
                 kept = survivors(_matrix(x.column(2), rule), _matrix(x.column(3), rule), rule, plan)
                 yield pa.RecordBatch.from_arrays([x.column(0).take(pa.array(kept)), x.column(1).take(pa.array(kept))], names=["a", "b"])
 
-    return sized.select("a", "b", "sa", "sb").mapInArrow(run, "a string, b string")
+    return sized.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def _linked(a: np.ndarray, b: np.ndarray, rule: Rule) -> bool:
@@ -178,30 +228,36 @@ def _linked(a: np.ndarray, b: np.ndarray, rule: Rule) -> bool:
     return 100 * both >= rule.percent * (len(a) + len(b) - both)
 
 
-def full_sets(fps: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
-    """(fp, s): the full sets of the classes in fps.
+def full_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
+    """(cls, s): the full sets of the classes in wanted.
 
-    Made once from one document of each class; a document whose set isn't the class's is passed over (rows may share an id).
+    Made once from one document of each class; a document whose set isn't the class's is passed over (rows may share an
+    id). Where the ids are too many to broadcast, a bit table of them picks the texts that are shuffled.
     """
-    wanted = small(materialize(fps.distinct().join(classes.select("fp", "rep"), "fp"), "wanted"))
-    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("t")).join(wanted, F.col("id").eqNullSafe(F.col("rep"))).select("fp", "t")
+    wanted = materialize(wanted.distinct().join(classes.select("cls", "fp", "rep"), "cls"), "wanted")
+    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("t"))
+    if is_small(wanted):
+        near = F.broadcast(wanted)
+    else:
+        texts, near = with_bit(texts, materialize(bit_table(wanted, bit_of("rep")), "wanted-bits"), "wanted", "id").where("wanted").drop("wanted"), wanted
+    texts = texts.join(near, F.col("id").eqNullSafe(F.col("rep"))).select("cls", "fp", "t")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_batches(batches, 200):
             out = []
-            for fp, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for cls, fp, t in zip(*(b.column(k).to_pylist() for k in range(3))):
                 raw = shingle_set(t, rule.words).tobytes()
-                if hashlib.blake2b(raw, digest_size=16).hexdigest() == fp:
-                    out.append((fp, raw))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.string(), pa.binary()))], names=["fp", "s"])
+                if _digest(raw) == fp:
+                    out.append((cls, raw))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.int64(), pa.binary()))], names=["cls", "s"])
 
-    return materialize(texts.mapInArrow(make, "fp string, s binary"), "sets")
+    return materialize(texts.mapInArrow(make, "cls long, s binary"), "sets")
 
 
 def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
     """Of pairs (a, b) of classes, those whose full sets are linked."""
-    sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("fp")), classes, docs, rule, id_col, text_col)
-    side = lambda x: sets.select(F.col("fp").alias(x), F.col("s").alias(f"s{x}"))
+    sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("cls")), classes, docs, rule, id_col, text_col)
+    side = lambda x: sets.select(F.col("cls").alias(x), F.col("s").alias(f"s{x}"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in text_batches(batches, 500):
@@ -209,25 +265,31 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule, i
             at = pa.array([k for k, (a, b) in enumerate(sides) if _linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), rule)], pa.int64())
             yield pa.RecordBatch.from_arrays([x.column(0).take(at), x.column(1).take(at)], names=["a", "b"])
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(check, "a string, b string")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
+    confirmed = materialize(both.mapInArrow(check, "a long, b long"), "confirmed")
+    drop_table(sets)
+    return confirmed
 
 
 def _blocks(members: DataFrame, rule: Rule) -> DataFrame:
-    """(key, fp, comp, n, outside, block...) of undecided buckets, dealt into block pairs.
+    """(key, cls, comp, n, carried..., u, v, i, j) of undecided buckets, dealt into block pairs.
 
-    Members outside the bucket's largest component form one side, all members the other; each side is cut into blocks
-    by a hash, and each block goes to the tasks of all blocks of the other side.
+    Members outside the bucket's largest component form side u, all members side v; each side is cut into blocks by a
+    hash, and each block goes to the tasks of all blocks of the other side. A member of both sides of a block pair goes
+    there once.
     """
     sizes = members.groupBy("key", "comp").agg(F.count("*").alias("c"))
     per = sizes.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("m"))
     sided = members.join(per, "key").withColumn("outside", F.col("comp") != F.col("top.comp"))
     cut = lambda c: F.greatest(F.lit(1), F.ceil(c / rule.block)).cast("int")
     sided = sided.withColumn("nu", cut(F.col("m") - F.col("top.c"))).withColumn("nv", cut(F.col("m")))
-    spread = lambda c: F.pmod(F.xxhash64("fp", "key"), c).cast("int")
-    carried = [c for c in members.columns if c not in ("key", "fp", "comp", "n")]
-    us = sided.where("outside").select("key", "fp", "comp", "n", *carried, F.lit(True).alias("u"), spread(F.col("nu")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("j"))
-    vs = sided.select("key", "fp", "comp", "n", *carried, F.lit(False).alias("u"), F.explode(F.sequence(F.lit(0), F.col("nu") - 1)).alias("i"), spread(F.col("nv")).alias("j"))
-    return us.unionByName(vs)
+    spread = lambda c: F.pmod(F.xxhash64("cls", "key"), c).cast("int")
+    sided = sided.withColumn("iu", spread(F.col("nu"))).withColumn("jv", spread(F.col("nv")))
+    carried = [c for c in members.columns if c not in ("key", "cls", "comp", "n")]
+    side = lambda rows, u, v: rows.select("key", "cls", "comp", "n", *carried, u.alias("u"), v.alias("v"), "i", "j")
+    us = sided.where("outside").withColumn("i", F.col("iu")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nv") - 1)))
+    vs = sided.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nu") - 1))).withColumn("j", F.col("jv")).where("not outside or i <> iu")
+    return side(us, F.lit(True), F.col("j") == F.col("jv")).unionByName(side(vs, F.lit(False), F.lit(True)))
 
 
 class _Joined:
@@ -246,23 +308,23 @@ def _across(rule: Rule, exact: bool):
     """Compares the two sides of each block pair. Rows come sorted by (key, i, j); a block pair may span batches.
 
     Rows out are (key, a, b). Not exact: the best surviving pairs of each member outside, and (key, a, null) for each
-    member that has any. Exact, with sets in the rows: confirmed links between components, as many as join them.
+    member of a surviving pair that isn't among them. Exact, with sets in the rows: confirmed links between components, as many as join them.
     """
     plan, step = least_matches(rule), 20_000
 
     def compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         key, i, j = (rows.column(c).to_numpy() for c in ("key", "i", "j"))
-        outside, n = rows.column("u").to_numpy(zero_copy_only=False), rows.column("n").to_numpy()
+        sides, n = [rows.column(c).to_numpy(zero_copy_only=False) for c in ("u", "v")], rows.column("n").to_numpy()
         comp = rows.column("comp").combine_chunks().dictionary_encode().indices.to_numpy()
-        sig, fp = _matrix(rows.column("sig"), rule), rows.column("fp").combine_chunks()
+        sig, cls = _matrix(rows.column("sig"), rule), rows.column("cls").combine_chunks()
         keys = band_keys(sig, rule)
         sets = rows.column("s") if exact else None
         ends = np.r_[np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1, len(key)]
         left, right, waiting = [], [], 0
 
         def batch(a: np.ndarray, b: np.ndarray | None, at: np.ndarray) -> pa.RecordBatch:
-            other = pa.nulls(len(a), pa.string()) if b is None else fp.take(pa.array(b))
-            return pa.RecordBatch.from_arrays([pa.array(key[at]), fp.take(pa.array(a)), other], names=["key", "a", "b"])
+            other = pa.nulls(len(a), pa.int64()) if b is None else cls.take(pa.array(b))
+            return pa.RecordBatch.from_arrays([pa.array(key[at]), cls.take(pa.array(a)), other], names=["key", "a", "b"])
 
         def flush() -> Iterator[pa.RecordBatch]:
             a, b = np.concatenate(left), np.concatenate(right)
@@ -274,11 +336,11 @@ def _across(rule: Rule, exact: bool):
             order = np.lexsort((-(sig[a] == sig[b]).sum(1), a)) if len(a) else np.zeros(0, int)
             a, b = a[order], b[order]
             if not exact:
-                some = np.unique(np.r_[a, b])
-                yield batch(some, None, some)
                 nth = np.arange(len(a)) - np.maximum.accumulate(np.where(np.r_[True, a[1:] != a[:-1]], np.arange(len(a)), 0)) if len(a) else order
                 few = nth < rule.best
                 yield batch(a[few], b[few], a[few])
+                more = np.unique(np.r_[a[~few], b[~few]])
+                yield batch(more, None, more)
                 return
             joined, made, known = _Joined(), [], {}
             for x, y in zip(a.tolist(), b.tolist()):
@@ -296,7 +358,7 @@ def _across(rule: Rule, exact: bool):
                 yield batch(x, y, x)
 
         for start, end in zip(np.r_[0, ends[:-1]], ends):
-            us, vs = (start + np.flatnonzero(outside[start:end] == x) for x in (True, False))
+            us, vs = (start + np.flatnonzero(x[start:end]) for x in sides)
             for k in range(0, len(us), max(1, step // max(1, len(vs)))):
                 part = us[k : k + max(1, step // max(1, len(vs)))]
                 a, b = np.repeat(part, len(vs)), np.tile(vs, len(part))
@@ -330,7 +392,7 @@ def _across(rule: Rule, exact: bool):
 
 def _compared(members: DataFrame, rule: Rule, exact: bool, name: str) -> DataFrame:
     blocks = _blocks(members, rule).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return materialize(blocks.mapInArrow(_across(rule, exact), "key long, a string, b string"), name)
+    return materialize(blocks.mapInArrow(_across(rule, exact), "key long, a long, b long"), name)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -339,48 +401,49 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def _with_components(members: DataFrame, comps: DataFrame) -> DataFrame:
     """Adds each member's component and keeps the buckets that hold several."""
-    named = members.join(comps.select(F.col("a").alias("fp"), F.col("b").alias("c")), "fp", "left").select("key", "fp", F.coalesce("c", "fp").alias("comp"))
+    named = members.join(comps.select(F.col("a").alias("cls"), F.col("b").alias("c")), "cls", "left").select("key", "cls", F.coalesce("c", "cls").alias("comp"))
     several = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
     return named.join(several, "key", "left_semi")
 
 
-def links(docs: DataFrame, sketch: DataFrame, rule: Rule, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(classes, components of classes): fp, n, rep (smallest id), size; and (a, b) as components() gives them."""
-    classes = sketch.where("fp is not null").groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("size"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig"), F.any_value("keys").alias("keys"))
-    classes = materialize(classes, "classes")
-    banded = classes.select("fp", F.explode("keys").alias("key"))
+def links(docs: DataFrame, wide: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
+    """Components of classes: (a, b) as components() gives them. The table of classes is dropped as soon as those that share a bucket are known."""
+    banded = wide.select(F.explode("keys").alias("key"))
     shared = materialize(banded.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "buckets")
-    members = materialize(spread_join(banded, shared, ["key"], "m").select("key", "fp"), "members")
-    comps, open_ = None, members.withColumn("comp", F.col("fp"))
+    classes = sharing(wide, shared)
+    drop_table(wide)
+    members = materialize(spread_join(classes.select("cls", F.explode("keys").alias("key")), shared, ["key"], "m").select("key", "cls"), "members")
+    light = classes.select("cls", "n", "sig")
+    comps, open_ = None, members.withColumn("comp", F.col("cls"))
     for k in range(rule.stars):
-        least = F.min_by("fp", F.xxhash64("fp", F.lit(k))).alias("pivot")
+        least = F.min_by("cls", F.xxhash64("cls", F.lit(k))).alias("pivot")
         pool = open_
         if k:  # the pivot of a later round comes from outside the bucket's largest component
             sizes = open_.groupBy("key", "comp").count()
             top = sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("top"))
             pool = open_.join(top, "key").where("comp <> top")
         pivots = materialize(pool.groupBy("key").agg(least), "pivots")  # a table of its own: a skewed join without a grouping can be split
-        pairs = _ordered(open_.join(pivots, "key").select(F.col("fp").alias("a"), F.col("pivot").alias("b")))
-        kept = materialize(prune(pairs, classes, rule), "survivors")
+        pairs = _ordered(open_.join(pivots, "key").select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
+        kept = materialize(prune(pairs, light, rule), "survivors")
         comps = _joined_by(comps, confirm(kept, classes, docs, rule, id_col, text_col))
         open_ = materialize(_with_components(members, comps), "open")
         if open_.isEmpty():
-            return classes, comps
-    light = classes.select("fp", "n", "sig")
-    near = _compared(open_.join(light, "fp"), rule, False, "near")
+            return comps
+    near = _compared(open_.join(light, "cls"), rule, False, "near")
     best = materialize(_ordered(near.where("b is not null")), "best")
     comps = _joined_by(comps, confirm(best, classes, docs, rule, id_col, text_col))
-    flagged = near.where("b is null").select("key", F.col("a").alias("fp")).distinct()
+    flagged = near.where("b is null").select("key", F.col("a").alias("cls")).distinct()
     open_ = materialize(_with_components(flagged, comps), "open")
     if not open_.isEmpty():
-        sets = full_sets(open_.select("fp"), classes, docs, rule, id_col, text_col)
-        comps = _joined_by(comps, _compared(open_.join(light, "fp").join(sets.dropDuplicates(["fp"]), "fp"), rule, True, "rest").select("a", "b"))
-    return classes, comps
+        sets = full_sets(open_.select("cls"), classes, docs, rule, id_col, text_col)
+        more = _compared(open_.join(light, "cls").join(sets.dropDuplicates(["cls"]), "cls"), rule, True, "rest")
+        drop_table(sets)
+        comps = _joined_by(comps, more.select("a", "b"))
+    return comps
 
 
 def _joined_by(comps: DataFrame | None, links: DataFrame) -> DataFrame:
     """Components after more links."""
-    links = materialize(links, "confirmed")
     if comps is None:
         return components(links)
     return comps if links.isEmpty() else components(comps.unionByName(links))
@@ -389,12 +452,14 @@ def _joined_by(comps: DataFrame | None, links: DataFrame) -> DataFrame:
 def groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept), one row for each input row."""
     sketch = materialize(sketches(docs, rule, id_col, text_col), "sketch")
-    classes, comps = links(docs, sketch, rule, id_col, text_col)
-    named = classes.select("fp", "rep").join(comps.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    wide = materialize(class_table(sketch), "classes")
+    rows = materialize(sketch.groupBy("id", "n", "fp").agg(F.count("*").cast("int").alias("m")), "near-rows")
+    classes = materialize(wide.select("cls", "fp", "rep", "size"), "class-names")
+    drop_table(sketch)  # signatures are held once, and only until it is known which of them are needed
+    comps = links(docs, wide, rule, id_col, text_col)
+    named = classes.join(comps.select(F.col("a").alias("cls"), F.col("b").alias("root")), "cls", "left").select("fp", "rep", "size", F.coalesce("root", "cls").alias("root"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_class = named.join(least, "root").select("fp", "component_id")
-    sized = materialize(of_class.join(classes.select("fp", "size"), "fp"), "of-class")
-    rows = sketch.groupBy("id", "n", "fp").agg(F.count("*").cast("int").alias("m"))
+    sized = materialize(named.join(least, "root").select("fp", "component_id", "size"), "of-class")
     joined = spread_join(rows, sized, ["fp"], "size", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("m"))))
     component = F.when(F.col("fp").isNull(), F.col("id")).otherwise(F.col("component_id"))
     kept = F.col("fp").isNull() | (F.col("id").eqNullSafe(component) & (F.col("copy") == 1))
@@ -409,11 +474,19 @@ def deduplicate(docs: DataFrame, rule: Rule = FIVE_WORDS, id_col: str = "doc_id"
     columns, plain = docs.columns, renamed(docs)
     id_, text = plain.columns[columns.index(id_col)], plain.columns[columns.index(text_col)]
     decided = materialize(groups(plain, rule, id_, text).groupBy(F.col(id_).alias("__id")).agg(F.max("kept").alias("__stays"), F.count("*").alias("__m")), "near-decided")
-    gone = small(decided.where("not __stays").select("__id"))
-    left = plain.join(gone, F.col(id_).eqNullSafe(F.col("__id")), "left_anti")
+    left = _without(plain, decided.where("not __stays").select("__id"), id_)
     return (left.dropDuplicates([id_, text]) if not decided.where("__stays and __m > 1").isEmpty() else left).toDF(*columns)
 
 
+def _without(rows: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """Rows whose id isn't in gone. Where that is too long to broadcast, only rows whose bit it sets are shuffled."""
+    here = F.col(id_col).eqNullSafe(F.col("__id"))
+    if is_small(gone):
+        return rows.join(F.broadcast(gone), here, "left_anti")
+    marked = with_bit(rows, materialize(bit_table(gone, bit_of("__id")), "gone-bits"), "__marked", id_col)
+    return marked.where("not __marked").unionByName(marked.where("__marked").join(gone, here, "left_anti")).select(*rows.columns)
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups(documents(spark, sf_dir))
 
