@@ -14,15 +14,16 @@ they occur; an empty table gives an empty result; input columns besides the two
 from __future__ import annotations
 
 import re
-import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,46 +38,121 @@ GROUP_PIECES = 50_000
 _JOINED = re.compile(r"[,.] (?<=[^\w ]..|_..)")
 
 
+def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of values that begin at starts, end to end."""
+    ends = np.cumsum(lengths)
+    return values[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class KnownWords:
+    """A number for each word; the ids of all words lie end to end in one array."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.ends = np.empty(0, "<u4"), np.zeros(1, np.int64)
+
+    def add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
+        self.ids, self.ends = np.concatenate([self.ids, ids]), np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
+
+    def find(self, words: list[str]) -> np.ndarray:
+        """The words' numbers, -1 where one is not known."""
+        return np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words with these numbers, end to end, and how many each has."""
+        starts = self.ends[numbers]
+        lengths = self.ends[numbers + 1] - starts
+        return ragged(self.ids, starts, lengths), lengths
+
+
 class WordIds:
     """Ids of whole texts by a tokenizers file whose pre-tokens never hold white space.
 
-    Words are encoded once as long as they stay in the cache; the ids of a text are those of its words, joined. Texts
-    are lower-cased first, as the file's normaliser does character by character, except where a capital sigma (whose
-    lower case Python takes from its place in the word) or the look of a special string forbids it.
+    The distinct words of some texts are looked up once; words are encoded once as long as they stay in the cache; the
+    ids of a text are those of its words, joined. Texts are lower-cased first, as the file's normaliser does character
+    by character, except where a capital sigma (whose lower case Python takes from its place in the word) or the look
+    of a special string forbids it.
+
+    New words are encoded many at a time, with blanks between. Words of letters only are one pre-token each, so they
+    end where an id with the end-of-word suffix stands. Between other words goes a sign that is one id and that none of
+    them holds. Where the ends found don't number the words, these are encoded one by one.
     """
 
-    def __init__(self, path: str, cache: int = 250_000):
+    SIGN = "\u25a0"
+
+    def __init__(self, path: str, cache: int = 250_000, chars: int = 4_000_000):
         import tokenizers
 
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self.cache = cache
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
-
-    def _words(self, text: str) -> list[str]:
+        self.cache, self.chars = cache, chars
+        self._young, self._old = KnownWords(), KnownWords()
+        vocab, suffix = self.tokenizer.get_vocab(), getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self._ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self._ends_word[[k for w, k in vocab.items() if suffix and w.endswith(suffix)]] = True
+        sign = self._ids(self.SIGN)
+        self._sign = int(sign[0]) if len(sign) == 1 else -1
+
+    def _words(self, text: str) -> str:
+        """The text with blanks between its words."""
         if "\u03a3" in text or "<|" in text:
-            return text.split(" ")
+            return text
         text = text.lower().replace("\n", " ")
         if not _JOINED.search(text):
             text = text.replace(", ", " , ").replace(". ", " . ")
-        return text.split(" ")
+        return text
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, words: list[str]) -> None:
+        known = self._young
+        letters = [w for w in words if w.isalpha()]
+        ids = self._ids(" ".join(letters))
+        ends = np.flatnonzero(self._ends_word[ids])
+        if len(ends) == len(letters):
+            known.add(letters, ids, np.diff(ends, prepend=-1))
+        others = [w for w in words if w not in known.number and self.SIGN not in w]
+        ids = self._ids("".join(f"{w} {self.SIGN} " for w in others))
+        ends = np.flatnonzero(ids == self._sign)
+        if len(ends) == len(others):
+            known.add(others, np.delete(ids, ends), np.diff(ends, prepend=-1) - 1)
+        alone = [w for w in words if w not in known.number]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
+        known.add(alone, np.fromiter(chain.from_iterable(found), "<u4"), np.array(list(map(len, found)), np.int64))
+
+    def _numbers(self, words: np.ndarray) -> np.ndarray:
+        """Numbers of distinct words among the young ones; what is asked for again comes back from the older generation."""
+        if len(self._young.number) > self.cache:
+            self._old, self._young = self._young, KnownWords()
+        found = self._young.find(words)
+        at = np.flatnonzero(found < 0)
+        if len(at):
+            missing = words[at]
+            old = self._old.find(missing)
+            self._young.add(missing[old >= 0].tolist(), *self._old.take(old[old >= 0]))
+            self._learn(missing[old < 0].tolist())
+            found[at] = self._young.find(missing)
+        return found
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        if len(self._young) > self.cache:  # what is asked for again comes back from the older generation
-            self._old, self._young = self._young, {}
-        young, old = self._young, self._old
-        split = list(map(self._words, texts))
-        unseen = []
-        for w in set().union(*split):
-            if w not in young:
-                if w in old:
-                    young[w] = old[w]
-                else:
-                    unseen.append(w)
-        if unseen:
-            out = self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)
-            young.update([(w, struct.pack(f"<{len(ids)}I", *ids)) for w, ids in zip(unseen, [e.ids for e in out])])
-        return [b"".join(map(young.__getitem__, words)) for words in split]
+        out, part, chars = [], [], 0
+        for text in texts:
+            part.append(self._words(text))
+            chars += len(text)
+            if chars > self.chars:  # what is held of the words at once stays small where texts are long
+                out += self._encode(part)
+                part, chars = [], 0
+        return out + self._encode(part)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        numbers, which = self._numbers(coded.dictionary.to_numpy(zero_copy_only=False)), coded.indices.to_numpy()
+        of_words, lengths = self._young.take(numbers)
+        ids = ragged(of_words, (np.cumsum(lengths) - lengths)[which], lengths[which])
+        at = np.concatenate([[0], np.cumsum(lengths[which])])[split.offsets.to_numpy()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(at, at[1:])]
 
 
 @lru_cache(maxsize=2)

@@ -178,6 +178,38 @@ def test_packing_is_whole_and_tight(spark):
     assert packing.packed_documents(table(spark, [])).count() == 0
 
 
+def test_new_words_are_encoded_many_at_a_time():
+    import tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    lib = tokenizers.Tokenizer.from_file(path)
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdeghinorstuäéñß", k=rng.randint(1, 12))) for _ in range(3000)]
+    words = [w + rng.choice(["", "", "", "&&&", ".%%%", "'s", "7"]) for w in words]
+    odd = ["\u25a0", "a\u25a0b", "\u25a0\u25a0", "\u0301x", "e\u0301", "\u1161\u1100", "\u0130\u03a3", "\t", "\u00a0", "x\u3000y", "\u2028.", "<|endoftext|>", "<|", "</w>", "x</w>", "\u2167", "\u4e2d\u6587", "\U0001f600", "\U00010d50", "\u1c89", "\x00", "_,", "!, ", "", "it's", "\u03c2\u03a3"]
+    texts = [" ".join(words[k : k + 100]) for k in range(0, 3000, 100)]
+    mixed = ["", " ", "\n\n"] + [" ".join(rng.choices(odd + words[:20], k=rng.randint(1, 12))) for _ in range(300)]
+    encoder = packing.WordIds(path, cache=400, chars=3000)
+    for _ in range(2):  # words come back from the older generation or are learnt again
+        for some in (texts, mixed):
+            want = [np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in some]
+            assert encoder.encode_many(some) == want
+    assert encoder.encode_many([]) == []
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.asked = tokenizer, 0
+
+        def encode_batch_fast(self, some, **options):
+            self.asked += len(some)
+            return self.tokenizer.encode_batch_fast(some, **options)
+
+    encoder = packing.WordIds(path)
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    encoder.encode_many(texts)
+    assert counted.asked <= 3  # not one call's overhead for each of 3000 words
+
+
 def test_packing_rounds_only_improve(spark):
     rng = random.Random(3)
     rows = [(k, k, 0, rng.randint(1, 1500)) for k in range(3000)]
