@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarrylight.functions.text import blank_tokens, bounded_lines, clean, folded, lexical_tokens, windowed_tokens, word_tokens
+from quarrylight.jobs.shared import written
 from quarrylight.operators import dense, evaluation, fusion, lexical, vector_index, web
 
 K = 6
@@ -93,8 +94,8 @@ def _folded_queries(spark: SparkSession, sf: str) -> DataFrame:
     return lexical.query_terms(texts, lexical_tokens(F.col("text")))
 
 
-def _routes(spark: SparkSession, sf: str) -> DataFrame:
-    descriptors = _pages(spark, sf).select("page_id", F.explode(F.array_distinct("descriptor")).alias("term"))
+def _routes(spark: SparkSession, sf: str, pages: DataFrame | None = None) -> DataFrame:
+    descriptors = (_pages(spark, sf) if pages is None else pages).select("page_id", F.explode(F.array_distinct("descriptor")).alias("term"))
     return lexical.router(descriptors, _folded_queries(spark, sf), group_col="page_id")
 
 
@@ -103,21 +104,27 @@ def doc_router(spark: SparkSession, sf: str) -> DataFrame:
     return _routes(spark, sf).select("item_id", "page_id", F.round("score", 6).alias("score"))
 
 
-def _routed_lexical(spark: SparkSession, sf: str, k: int) -> DataFrame:
+def _read_once(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(pages, routes) as tables: html is read and cut into tokens once, passages are routed once, however many passes follow."""
+    pages = written(_pages(spark, sf), "pages")
+    return pages, written(_routes(spark, sf, pages).select("item_id", "page_id"), "routes")
+
+
+def _routed_lexical(spark: SparkSession, sf: str, k: int, pages: DataFrame, routes: DataFrame) -> DataFrame:
     """The k best pages of each passage among those it is routed to, or all; then positive scores only."""
-    docs = lexical.with_tokens(_pages(spark, sf), F.col("t"))
-    found = lexical.search(docs, _folded_queries(spark, sf), False, k, id_cols=("page_id",), routes=_routes(spark, sf).select("item_id", "page_id"))
-    return lexical.top_k(found, k, id_col="page_id").where("score > 0")
+    docs = lexical.with_tokens(pages, F.col("t"))
+    found = lexical.search(docs, _folded_queries(spark, sf), False, k, id_cols=("page_id",), routes=routes)
+    return lexical.top_k(found, k, id_col="page_id").where(F.round("score", 6) > 0)
 
 
 def lexical_search(spark: SparkSession, sf: str) -> DataFrame:
     """Routed lexical search of pages by words with inner joiners; documents without a positive score go after the cut."""
-    return _routed_lexical(spark, sf, K).select("item_id", "page_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
+    return _routed_lexical(spark, sf, K, *_read_once(spark, sf)).select("item_id", "page_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
 def routed_fusion(spark: SparkSession, sf: str) -> DataFrame:
     """Dense and lexical rankings of routed pages, fused by weighted reciprocal ranks; with each branch's rank and score."""
-    routes = _routes(spark, sf).select("item_id", "page_id")
+    pages, routes = _read_once(spark, sf)
     asked = routes.select("item_id").distinct().withColumn("routed", F.lit(True))
     v = _vectors(spark, sf).select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     items = _t(spark, sf, "benchmark").select("item_id").join(v.select(F.col("vec_id").alias("item_id"), "embedding"), "item_id")
@@ -126,7 +133,7 @@ def routed_fusion(spark: SparkSession, sf: str) -> DataFrame:
     pairs = routes.join(items, "item_id").join(paged.select(F.col("vec_id").alias("page_id"), F.col("embedding").alias("other")), "page_id")
     near = pairs.select("item_id", "page_id", dense.cosine(F.col("embedding"), F.col("other")).alias("score")).unionByName(free)
     dense_20 = lexical.top_k(near, 20, id_col="page_id")
-    return _branches(dense_20, _routed_lexical(spark, sf, 20), 0.4, 4).join(asked, "item_id", "left").select("*", F.coalesce("routed", F.lit(False)).alias("metadata_routed")).drop("routed")
+    return _branches(dense_20, _routed_lexical(spark, sf, 20, pages, routes), 0.4, 4).join(asked, "item_id", "left").select("*", F.coalesce("routed", F.lit(False)).alias("metadata_routed")).drop("routed")
 
 
 def _branches(dense_20: DataFrame, lexical_20: DataFrame, weight: float, k: int) -> DataFrame:

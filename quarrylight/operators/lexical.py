@@ -46,7 +46,7 @@ def query_terms(queries: DataFrame, tokens: Column, id_col: str = "item_id") ->
 class Asked:
     """Queries of one pass: ids, terms, and postings (term, query, qf) in the order of terms."""
 
-    ids: list
+    ids: pa.Array
     terms: list[str]
     term: np.ndarray
     query: np.ndarray
@@ -63,7 +63,7 @@ def passes(terms: DataFrame, query_col: str) -> Iterator[Asked]:
             ids, words = (table.column(c).combine_chunks().dictionary_encode() for c in (query_col, "term"))
             term, query = words.indices.to_numpy(), ids.indices.to_numpy()
             order = np.lexsort((query, term))
-            yield Asked(ids.dictionary.to_pylist(), words.dictionary.to_pylist(), term[order], query[order], table.column("qf").to_numpy()[order])
+            yield Asked(ids.dictionary, words.dictionary.to_pylist(), term[order], query[order], table.column("qf").to_numpy()[order])
 
 
 def _batches(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
@@ -152,6 +152,9 @@ def search(docs: DataFrame, terms: DataFrame, plus: bool, k: int, query_col: str
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             asked, idf, mean, base = shared.value
             words = pa.array(asked.terms, pa.string())
+            number = {x: k for k, x in enumerate(asked.ids.to_pylist())} if routed else {}
+            free = np.ones(len(asked.ids), bool)
+            free[[number[x] for x in routed if x in number]] = False
             first = np.searchsorted(asked.term, np.arange(len(words) + 1))
             for b in _batches(batches, at):
                 row, term, tf, sizes = _matched(b.column(at), words)
@@ -171,9 +174,7 @@ def search(docs: DataFrame, terms: DataFrame, plus: bool, k: int, query_col: str
                 group = np.unique(b.column(columns.index(group_col)).take(pa.array(here)).to_pandas().astype(str), return_inverse=True)[1] if group_col else np.zeros(len(here), int)
                 reach = None
                 if routed:  # which documents each query may find
-                    number = {x: k for k, x in enumerate(asked.ids)}
-                    reach = np.ones((len(here), len(asked.ids)), bool)
-                    reach[:, [number[x] for x in routed if x in number]] = False
+                    reach = np.tile(free, (len(here), 1))
                     for d, items in enumerate(b.column(may + 1).take(pa.array(here)).to_pylist()):
                         reach[d, [number[x] for x in items or () if x in number]] = True
                 for begin in range(0, len(asked.ids), ITEMS):
@@ -187,14 +188,16 @@ def search(docs: DataFrame, terms: DataFrame, plus: bool, k: int, query_col: str
                     if reach is not None:
                         met[:, : reach.shape[1] - begin] &= reach[:, begin : begin + ITEMS]
                     d, q = np.nonzero(met)
+                    if not len(d):  # routes may leave none
+                        continue
                     score = (weight @ table)[d, q] + base[np.minimum(begin + q, len(base) - 1)]
                     order = np.lexsort((*(i[d] for i in reversed(ids)), -np.round(score, 6), group[d], q))
                     d, q, score = d[order], q[order], score[order]
                     new = np.r_[True, (q[1:] != q[:-1]) | (group[d][1:] != group[d][:-1])]
                     nth = np.arange(len(q)) - np.maximum.accumulate(np.where(new, np.arange(len(q)), 0))
                     best = nth < k
-                    d, q, score = pa.array(here[d[best]]), q[best] + begin, score[best]
-                    yield pa.RecordBatch.from_arrays([pa.array([asked.ids[x] for x in q]), *(b.column(c).take(d) for c in range(len(columns))), pa.array(score)], names=[query_col, *columns, "score"])
+                    d, q, score = pa.array(here[d[best]]), pa.array(q[best] + begin), score[best]
+                    yield pa.RecordBatch.from_arrays([asked.ids.take(q), *(b.column(c).take(d) for c in range(len(columns))), pa.array(score)], names=[query_col, *columns, "score"])
 
         found = given.mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)

@@ -88,3 +88,26 @@ def test_passes_blocks_and_slices_change_nothing(spark, monkeypatch):
     for name, value in (("PASS", 20), ("ITEMS", 3), ("CELLS", 60)):
         monkeypatch.setattr(lexical, name, value)
     assert everything() == whole
+
+
+def of_pages(spark, path):
+    """Two batches a task: in the first a passage meets only a page that it isn't routed to, in the second the page that it is."""
+    titles = ("plain words", "some text", "some other", "more", "unheard words")
+    sf = tables(spark, path, [(1, "x", "en", "a")], ["unheard w1"])
+    rows = [(k, f"http://h/{k}", f"<title>{t}</title><p>w1 body {k}") for k, t in enumerate(titles)] + [(k, f"http://h/{k}", "<title>other</title><p>nothing") for k in range(5, 20)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{sf}/pages.parquet")
+    spark.createDataFrame([(k, [1.0, float(k)], 0) for k in range(20)], "vec_id long, embedding array<double>, label long").write.parquet(f"{sf}/embeddings.parquet")
+    return sf
+
+
+@pytest.fixture
+def batches_of_one(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_batches_in_which_routes_leave_nothing(spark, tmp_path, batches_of_one):
+    assert [(r.item_id, r.page_id, r["rank"]) for r in search.lexical_search(spark, of_pages(spark, tmp_path)).collect()] == [(0, 4, 1)]
