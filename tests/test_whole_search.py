@@ -111,3 +111,7 @@ def batches_of_one(spark):
 
 def test_batches_in_which_routes_leave_nothing(spark, tmp_path, batches_of_one):
     assert [(r.item_id, r.page_id, r["rank"]) for r in search.lexical_search(spark, of_pages(spark, tmp_path)).collect()] == [(0, 4, 1)]
+
+
+def test_fusion_where_routes_leave_nothing_in_a_batch(spark, tmp_path, batches_of_one):
+    assert [(r.page_id, r.dense_rank, r.lexical_rank, r.metadata_routed) for r in search.routed_fusion(spark, of_pages(spark, tmp_path)).collect()] == [(4, 1, 1, True)]
