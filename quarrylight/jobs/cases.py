@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quarrylight.functions.text import blank_tokens, word_tokens
 from quarrylight.jobs import search as lexical_jobs
+from quarrylight.jobs.shared import written
 from quarrylight.operators import dense, experiments, fusion, lexical, repeated, scope
 
 K = 6
@@ -71,7 +72,7 @@ def search_budget(spark: SparkSession, sf: str) -> DataFrame:
     questions = repeated.budgeted(said, 2, "conv_id", "turn").select("conv_id", "turn", "key", "refused", "cached")
 
     def search(queries: DataFrame) -> DataFrame:
-        tokens = lexical.with_tokens(_t(spark, sf, "documents"), word_tokens(F.col("text"))).select("doc_id", "tokens")
+        tokens = written(lexical.with_tokens(_t(spark, sf, "documents"), word_tokens(F.col("text"))).select("doc_id", "tokens"), "tokens")  # read in two passes for each part of the questions
         terms = lexical.query_terms(queries, word_tokens(F.col("text")), "key")
         return lexical.top_k(lexical.search(tokens, terms, True, 1, query_col="key"), 1, query_col="key").select("key", "doc_id")
 

@@ -4,6 +4,10 @@ The queries' terms are counted and go to the tasks; documents stay where they ar
 documents have each of those terms, and all documents and tokens. The second counts terms inside each document, scores a
 batch of documents against all queries as one matrix product, and returns a task's best rows of each query. Only those
 are shuffled. Query sets of more than PASS terms are asked in several passes.
+
+Where every term adds to a score (with plus) and neither groups nor routes matter, only terms that many documents and many
+queries have are multiplied, in single precision; the others are added posting by posting. Rows that come near a query's best so
+far are then scored in double precision. A task keeps those best rows and numbers queries; their ids come last.
 """
 
 from __future__ import annotations
@@ -23,6 +27,12 @@ EMPTY = "_empty_"
 #: Most (query, term) rows that one pass asks for; most cells (documents x tokens) and queries of a matrix in a task.
 PASS, CELLS = 2_000_000, 8_000_000
 ITEMS = 256
+#: Most documents and tokens of a batch; (document, query) cells that are worth a task of their own; share of cells that a term
+#: must have to be multiplied, and most such terms; how far single precision may be off, as a share.
+ROWS, TOKENS = 4096, 2_000_000
+TASK_CELLS = 400_000_000
+HOT_SHARE, HOT = 0.002, 512
+SLACK = 1e-4
 
 
 def with_tokens(docs: DataFrame, tokens: Column) -> DataFrame:
@@ -47,7 +57,7 @@ class Asked:
     """Queries of one pass: ids, terms, and postings (term, query, qf) in the order of terms."""
 
     ids: pa.Array
-    terms: list[str]
+    terms: pa.Array
     term: np.ndarray
     query: np.ndarray
     qf: np.ndarray
@@ -58,12 +68,14 @@ def passes(terms: DataFrame, query_col: str) -> Iterator[Asked]:
     n = max(1, -(-terms.count() // PASS))
     for k in range(n):
         part = terms if n == 1 else terms.where(F.pmod(F.xxhash64(query_col), F.lit(n)) == k)
-        table = part.select(query_col, "term", F.col("qf").cast("double").alias("qf")).toArrow().combine_chunks()
+        each = part.groupBy(query_col).agg(F.collect_list(F.struct("term", F.col("qf").cast("double").alias("qf"))).alias("of"))  # a query's id comes once
+        table = each.toArrow().combine_chunks()
         if table.num_rows:
-            ids, words = (table.column(c).combine_chunks().dictionary_encode() for c in (query_col, "term"))
-            term, query = words.indices.to_numpy(), ids.indices.to_numpy()
+            lists = table.column("of").combine_chunks()
+            words = lists.flatten().field("term").dictionary_encode()
+            term, query = words.indices.to_numpy(), np.repeat(np.arange(len(lists), dtype=np.int32), pc.list_value_length(lists).to_numpy())
             order = np.lexsort((query, term))
-            yield Asked(ids.dictionary, words.dictionary.to_pylist(), term[order], query[order], table.column("qf").to_numpy()[order])
+            yield Asked(table.column(query_col).combine_chunks(), words.dictionary, term[order], query[order], lists.flatten().field("qf").to_numpy()[order])
 
 
 def _batches(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
@@ -78,6 +90,16 @@ def _batches(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBa
             start += n
 
 
+def _slices(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """Slices of batches of at most ROWS documents and TOKENS tokens, in the lists at column ``at``; or one document."""
+    for b in batches:
+        ends, start = b.column(at).offsets.to_numpy().astype(np.int64), 0
+        while start < b.num_rows:
+            n = max(1, min(ROWS, int(np.searchsorted(ends[start + 1 :], ends[start] + TOKENS, "right"))))
+            yield b.slice(start, n)
+            start += n
+
+
 def _matched(lists: pa.ListArray, terms: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, term, occurrences) of queried terms in each list, and the lists' lengths."""
     sizes = np.diff(lists.offsets.to_numpy())
@@ -93,9 +115,9 @@ def statistics(docs: DataFrame, asked: Asked) -> tuple[int, float, np.ndarray]:
     shared = docs.sparkSession.sparkContext.broadcast(asked.terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = pa.array(shared.value, pa.string())
+        terms = shared.value
         df, n, tokens = np.zeros(len(terms), np.int64), 0, 0
-        for b in _batches(batches, 0):
+        for b in _slices(batches, 0):
             _, term, _, sizes = _matched(b.column(0), terms)
             df += np.bincount(term, minlength=len(terms))
             n, tokens = n + len(sizes), tokens + int(sizes.sum())
@@ -148,10 +170,16 @@ def search(docs: DataFrame, terms: DataFrame, plus: bool, k: int, query_col: str
         idf = plus_idf(n, df) if plus else okapi_idf(docs, n, df)
         base = np.bincount(asked.query, asked.qf * DELTA * idf[asked.term] * plus, len(asked.ids))
         shared = spark.sparkContext.broadcast((asked, idf, mean, base))
+        if plus and group_col is None and routes is None:
+            tasks = min(-(-n * len(asked.ids) // TASK_CELLS), 8 * spark.sparkContext.defaultParallelism)
+            dealt = given.drop("__to").repartition(tasks) if tasks > 1 else given.drop("__to")
+            found = _all_plus(dealt, shared, k, query_col, query_kind, id_cols, schema)
+            out = found if out is None else out.unionByName(found)
+            continue
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             asked, idf, mean, base = shared.value
-            words = pa.array(asked.terms, pa.string())
+            words = asked.terms
             number = {x: k for k, x in enumerate(asked.ids.to_pylist())} if routed else {}
             free = np.ones(len(asked.ids), bool)
             free[[number[x] for x in routed if x in number]] = False
@@ -204,6 +232,107 @@ def search(docs: DataFrame, terms: DataFrame, plus: bool, k: int, query_col: str
     return spark.createDataFrame([], schema) if out is None else out
 
 
+def _first_copies(ids: list[np.ndarray], row: np.ndarray, keys: np.ndarray, tf: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
+    """Whether each document is among the first k, by ids, of those with the same terms, occurrences and length: others can't be among the k best."""
+    starts, kept, seen = np.searchsorted(row, np.arange(len(sizes) + 1)), np.zeros(len(sizes), bool), {}
+    for d in np.lexsort(ids[::-1]):
+        part = slice(starts[d], starts[d + 1])
+        same = (keys[part].tobytes(), tf[part].tobytes(), int(sizes[d]))
+        seen[same] = nth = seen.get(same, 0) + 1
+        kept[d] = nth <= k
+    return kept
+
+
+def _best_first(rows: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """Of rows (query, ids, score) the k best of each query, in order."""
+    query, *ids, score = rows
+    order = np.lexsort((*reversed(ids), -np.round(score, 6), query))
+    query = query[order]
+    nth = np.arange(len(query)) - np.searchsorted(query, query)
+    return [c[order[nth < k]] for c in rows]
+
+
+def _all_plus(docs: DataFrame, shared, k: int, query_col: str, query_kind, id_cols: tuple[str, ...], schema: str) -> DataFrame:
+    """The k best (query, ids, score) of each query, where all weights are positive. docs: ids, tokens, may."""
+    at, n_ids = len(id_cols), len(id_cols)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, idf, mean, base = shared.value
+        n_terms, n_queries = len(asked.terms), len(asked.ids)
+        order = np.lexsort((asked.term, asked.query))
+        term_q, query_q, qf_q = asked.term[order], asked.query[order], asked.qf[order]
+        first, askers = np.searchsorted(query_q, np.arange(n_queries + 1)), np.bincount(term_q, minlength=n_terms)
+        least, best = np.zeros(n_queries), None  # what a query's k-th best row so far has without its base
+        for b in _slices(batches, at):
+            row, term, tf, sizes = _matched(b.column(at), asked.terms)
+            ids = [b.column(c).to_numpy(zero_copy_only=False) for c in range(n_ids)]
+            may = b.column(at + 1).to_numpy(zero_copy_only=False)[row]
+            row, term, tf = row[may], term[may], tf[may]
+            may = _first_copies(ids, row, term, tf, sizes, k)[row]
+            row, term, tf = row[may], term[may], tf[may]
+            weight, keys, n_docs = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[row] / mean)), row * n_terms + term, b.num_rows
+            if not len(row):
+                continue
+            there = np.bincount(term, minlength=n_terms)
+            hot = np.flatnonzero(there * askers > HOT_SHARE * n_docs * n_queries)
+            if len(hot) > HOT:
+                hot = hot[np.argsort(-(there * askers)[hot], kind="stable")[:HOT]]
+            place = np.full(n_terms, -1)
+            place[hot] = np.arange(len(hot))
+            is_hot = place[term] >= 0
+            dense = np.zeros((len(hot), n_docs), np.float32)
+            dense[place[term[is_hot]], row[is_hot]] = weight[is_hot]
+            there[hot] = 0
+            start, rest = np.cumsum(there) - there, np.flatnonzero(~is_hot)
+            rest = rest[np.argsort(term[rest], kind="stable")]
+            rest_row, rest_weight = row[rest], weight[rest].astype(np.float32)
+            new: list[list[np.ndarray]] = []
+            for begin in range(0, n_queries, ITEMS):
+                end = min(begin + ITEMS, n_queries)
+                t, q, qf = (c[first[begin] : first[end]] for c in (term_q, query_q, qf_q))
+                q, h = q - begin, place[t]
+                table = np.zeros((end - begin, len(hot)), np.float32)
+                table[q[h >= 0], h[h >= 0]] = qf[h >= 0]
+                score = table @ dense
+                few = there[t] > 0
+                n = there[t[few]]
+                posting = np.repeat(start[t[few]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                np.add.at(score.reshape(-1), np.repeat(q[few].astype(np.int64) * n_docs, n) + rest_row[posting], np.repeat(qf[few].astype(np.float32), n) * rest_weight[posting])
+                top, bound = score.max(1), least[begin:end]
+                near = np.flatnonzero((top > 0) & (top >= bound - SLACK * (1 + bound)))
+                if not len(near):
+                    continue
+                score = score[near]
+                nth = top[near] if k == 1 else np.partition(score, -k, 1)[:, -k] if k < n_docs else np.zeros(len(near))
+                level = np.maximum(bound[near], nth)
+                at_q, d = np.nonzero((score > 0) & (score >= (level - SLACK * (1 + level))[:, None]))
+                at_q = near[at_q] + begin
+                n = first[at_q + 1] - first[at_q]  # all terms of these queries, looked up in these documents
+                pair = np.repeat(np.arange(len(d)), n)
+                posting = np.repeat(first[at_q] - (np.cumsum(n) - n), n) + np.arange(len(pair))
+                want = d[pair] * n_terms + term_q[posting]
+                place_of = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+                found = keys[place_of] == want
+                exact = np.bincount(pair[found], qf_q[posting[found]] * weight[place_of[found]], len(d))
+                new.append([at_q, *(i[d] for i in ids), exact + base[at_q]])
+            if new:
+                rows = [np.concatenate(c) for c in zip(*new)]
+                best = _best_first(rows if best is None else [np.concatenate(c) for c in zip(best, rows)], k)
+                last = np.flatnonzero(np.r_[best[0][1:] != best[0][:-1], True])
+                last = last[np.bincount(best[0], minlength=n_queries)[best[0][last]] == k]
+                least[best[0][last]] = best[-1][last] - base[best[0][last]]
+        if best is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in best], names=["__q", *id_cols, "score"])
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([shared.value[0].ids.take(b.column(0)), *b.columns[1:]], names=[query_col, *id_cols, "score"])
+
+    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in id_cols]
+    found = docs.mapInArrow(run, ", ".join(["__q long", *kinds, "score double"]))
+    return top_k(found, k, "__q", id_cols).drop("rank").mapInArrow(named, schema)
+
+
 def top_k(scored: DataFrame, k: int, query_col: str = "item_id", id_col: str | tuple[str, ...] = "doc_id", score_col: str = "score", places: int = 6) -> DataFrame:
     """Adds rank (from 1) by rounded score, then id; keeps k a query. Spark cuts each task's rows to k before the shuffle."""
     ids = (id_col,) if isinstance(id_col, str) else id_col

@@ -115,3 +115,40 @@ def test_batches_in_which_routes_leave_nothing(spark, tmp_path, batches_of_one):
 
 def test_fusion_where_routes_leave_nothing_in_a_batch(spark, tmp_path, batches_of_one):
     assert [(r.page_id, r.dense_rank, r.lexical_rank, r.metadata_routed) for r in search.routed_fusion(spark, of_pages(spark, tmp_path)).collect()] == [(4, 1, 1, True)]
+
+
+def by_hand(docs, asked, k):
+    """(query, doc) -> score of the k best allowed documents of each query. docs: (id, tokens, may); asked: {query: {term: qf}}."""
+    n, mean, df, out = len(docs), sum(len(t) for _, t, _ in docs) / len(docs), Counter(t for _, ts, _ in docs for t in set(ts)), {}
+    for q, terms in asked.items():
+        idf = {t: math.log((n + 1) / df[t]) for t in terms if df[t]}
+        scored = []
+        for d, ts, may in docs:
+            tf = Counter(t for t in ts if t in idf)
+            if may and tf:
+                scored.append((-round(sum(terms[t] * idf[t] * (1 + c) for t, c in ((t, tf[t] * 2.5 / (tf[t] + 1.5 * (0.25 + 0.75 * len(ts) / mean))) for t in idf)), 6), d))
+        out |= {(q, d): -s for s, d in sorted(scored)[:k]}
+    return out
+
+
+def test_many_queries_with_frequent_and_rare_terms_and_copies(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{min(int(rng.paretovariate(0.6)), 400)}" for _ in range(5000)]
+    docs = [(k, [rng.choice(words) for _ in range(rng.randint(1, 60))], k % 4 != 1) for k in range(400)]
+    docs += [(1000 + k, docs[k % 3][1], k % 3 != 0) for k in range(60)] + [(2000, ["alone"], True), (2001, ["_empty_"], True)]
+    asked = {f"q {q}": Counter(rng.choice(words) for _ in range(rng.randint(1, 25))) for q in range(700)} | {"q of none": Counter(["unheard"]), "q one": Counter(["alone"])}
+    frame = spark.createDataFrame(rng.sample(docs, len(docs)), "doc_id long, tokens array<string>, may boolean").repartition(3)
+    terms = spark.createDataFrame([(q, t, n) for q, ts in asked.items() for t, n in ts.items()], "key string, term string, qf long")
+    for k in (1, 3, 20):
+        got = lexical.top_k(lexical.search(frame, terms, True, k, query_col="key", allowed_col="may"), k, query_col="key").collect()
+        assert {(r.key, r.doc_id): round(r.score, 6) for r in got} == pytest.approx(by_hand(docs, asked, k), abs=2e-6)
+    whole = {(r.key, r.doc_id, round(r.score, 6)) for r in got}
+    for name, value in (("PASS", 3000), ("ITEMS", 100), ("HOT", 3), ("TASK_CELLS", 50_000), ("HOT_SHARE", 0.0)):
+        monkeypatch.setattr(lexical, name, value)
+    assert {(r.key, r.doc_id, round(r.score, 6)) for r in lexical.top_k(lexical.search(frame, terms, True, 20, query_col="key", allowed_col="may"), 20, query_col="key").collect()} == whole
+
+
+def test_a_task_returns_each_query_once_not_once_a_batch(spark, batches_of_one):
+    docs = spark.createDataFrame([(k, ["w1", f"w{k}"]) for k in range(50)], "doc_id long, tokens array<string>").coalesce(1)
+    terms = spark.createDataFrame([(q, "w1", 1) for q in range(20)], "item_id long, term string, qf long")
+    assert lexical.search(docs, terms, True, 1).count() == 20
